@@ -1,0 +1 @@
+"""Empty on purpose: every source of this engine is a batch export, so no stream operator is owed."""
