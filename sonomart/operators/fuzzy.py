@@ -26,7 +26,7 @@ from pyspark.sql.types import IntegerType
 
 from sonomart.functions.text import token_sorted
 from sonomart.operators.keys import keep_first
-from sonomart.operators.staging import stage
+from sonomart.operators.staging import stage, stage_all
 
 CUTOFF = 80
 # Bigrams beyond this many most frequent ones count as equally rare; it only orders the prefix.
@@ -213,9 +213,12 @@ def best_matches(queries: DataFrame, catalogue: DataFrame, cutoff: int = CUTOFF)
     the least rank, as the first row of an ordered catalogue would.
     """
     texts = queries.select(F.col("text").alias("query")).distinct()
-    texts = stage(texts.select("query", token_sorted(F.col("query")).alias("text")).filter("text != ''"), "fuzzy-queries")
     entries = catalogue.select(token_sorted(F.col("text")).alias("text"), F.col("text").alias("entry"), "rank")
-    entries = stage(keep_first(entries.filter("text != ''"), ["text"], ["rank"]), "fuzzy-catalogue")
+    staged = stage_all({
+        "queries": texts.select("query", token_sorted(F.col("query")).alias("text")).filter("text != ''"),
+        "entries": keep_first(entries.filter("text != ''"), ["text"], ["rank"]),
+    })
+    texts, entries = staged["queries"], staged["entries"]
 
     equal = texts.join(entries, "text").select("query", "entry", F.lit(100.0).alias("score"))
     open_texts = texts.join(entries, "text", "left_anti")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +37,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stage independent frames as concurrent Spark jobs, so small ones do not wait for each other."""
+    with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
+        return dict(zip(frames, pool.map(lambda item: stage(item[1], item[0]), frames.items())))
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate; exact for file scans, pessimistic above joins."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -285,6 +285,8 @@ def refresh_segments(
     if days is not None:
         fact = fact.filter(F.col("IDDate").isin(*days))
     base = group_base(fact, dims, group.dims, group.bitmap, segment="IDDate").withColumnRenamed("IDDate", "segmento")
+    # Range partitions keep few files per day, and split a day that is too large for one task.
+    base = base.repartitionByRange("segmento", _song_columns(base)[0])
     base.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("segmento").parquet(path)
 
 

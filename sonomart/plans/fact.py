@@ -17,11 +17,12 @@ PLAY_COLUMNS = ("play_id", "usuario", "endTime", "trackName", "artistName", "msP
 def resolve_keys(plays: DataFrame, songs: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Plays with idHora, idDate, idUsuario, idCancion, idArtista, idAlbum, duration and raw features.
 
-    ``endTime`` is a timestamp; the lookups are unique on their keys, so the row count is kept.
+    ``endTime`` is a timestamp; the lookups are unique on their keys, so the row count is kept. The
+    dimensions should be stored tables, whose size Spark knows.
     """
     tracks = stage(track_lookup(songs, dims["dim_cancion"], dims["dim_album"], FEATURES), "track-lookup")
-    users = stage(dims["dim_usuario"].select("idUsuario", F.col("nombre").alias("usuario")), "user-lookup")
-    artists = stage(dims["dim_artista"].select("idArtista", F.col("nombre").alias("artistName")), "artist-lookup")
+    users = dims["dim_usuario"].select("idUsuario", F.col("nombre").alias("usuario"))
+    artists = dims["dim_artista"].select("idArtista", F.col("nombre").alias("artistName"))
     out = hour_band_join(plays, F.hour("endTime"), dims["dim_hora"])
     out = out.withColumn("idDate", dates.date_key(F.col("endTime")))
     out = lookup_left(out, users, ["usuario"])

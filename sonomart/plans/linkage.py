@@ -20,7 +20,7 @@ from sonomart.operators.audit import real_share, share_report
 from sonomart.operators.fuzzy import CUTOFF, best_matches
 from sonomart.operators.joins import lookup_left, split_match
 from sonomart.operators.keys import keep_first
-from sonomart.operators.staging import stage
+from sonomart.operators.staging import stage, stage_all
 from sonomart.plans.contract import CATALOGUE_FEATURES, NOISY_FEATURES
 
 NORM = ("cancion_norm", "artista_norm")
@@ -101,7 +101,7 @@ def fuzzy_stage(open_rows: DataFrame, catalogue: DataFrame, cutoff: int = CUTOFF
     key = match_key(F.col("cancion_norm"), F.col("artista_norm"))
     usable = catalogue.withColumn("_entry", key)
     queries = open_rows.select(key.alias("text")).distinct()
-    best = stage(best_matches(queries, usable.select(F.col("_entry").alias("text"), "rank"), cutoff), "fuzzy-best")
+    best = best_matches(queries, usable.select(F.col("_entry").alias("text"), "rank"), cutoff)
     rows = keep_first(
         usable.select("_entry", "rank", "album", *CATALOGUE_FEATURES), ["_entry"], ["rank"]
     ).drop("rank")
@@ -125,12 +125,15 @@ def link_tracks(
     ``rank`` names the catalogue columns that order its rows for ties.
     """
     columns = ["album", *CATALOGUE_FEATURES]
-    catalogue = stage(catalogue.withColumn("rank", F.struct(*rank)), "catalogue")
-    open_rows = stage(with_norm_keys(tracks.select("cancion", "artista").distinct()), "tracks")
-    history = stage(history, "history")
+    staged = stage_all({
+        "catalogue": catalogue.withColumn("rank", F.struct(*rank)),
+        "tracks": with_norm_keys(tracks.select("cancion", "artista").distinct()),
+        "history": history,
+    })
+    catalogue, open_rows, history = staged["catalogue"], staged["tracks"], staged["history"]
     found_h, open_rows = split_match(open_rows, history, NORM, origins.history, columns)
     found_c, open_rows = split_match(open_rows, catalogue, NORM, origins.catalogue, columns)
-    titles = stage(keep_first(catalogue, ["cancion_norm"], ["rank"]), "titles")
+    titles = keep_first(catalogue, ["cancion_norm"], ["rank"])
     found_t, open_rows = split_match(open_rows, titles, ["cancion_norm"], origins.title, columns)
     found_f = stage(fuzzy_stage(open_rows, catalogue, cutoff).withColumn("origen", F.lit(origins.fuzzy)), "fuzzy-rows")
     open_rows = open_rows.join(found_f.select("cancion", "artista"),

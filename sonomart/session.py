@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call sites on every column cost more driver time than building the plan itself.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.files.maxPartitionBytes": str(128 << 20),
 }
 

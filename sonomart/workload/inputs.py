@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonomart.operators.staging import stage
+from sonomart.operators.staging import stage, stage_all
 from sonomart.plans import dims as d
 from sonomart.plans.fact import fact_historial
 
 
+_tables: dict[tuple[str, str, str], DataFrame] = {}
+_warehouses: dict[tuple[str, str, bool], tuple[DataFrame, dict[str, DataFrame]]] = {}
+
+
 def table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/{name}.parquet")
+    """Scan of a given table; the file schema is looked up once per session."""
+    key = (spark.sparkContext.applicationId, path, name)
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(f"{path}/{name}.parquet")
+    return _tables[key]
 
 
 def catalogue(spark: SparkSession, path: str) -> DataFrame:
@@ -143,7 +151,7 @@ def dimensions(spark: SparkSession, path: str, days: DataFrame, song_rows: DataF
         "dim_album": d.dim_album(cat, album_labels(spark, path)),
         "dim_cancion": d.dim_cancion(song_rows, d.playlist_tracks(playlists(spark, path))),
     }
-    return {t: stage(df, t) for t, df in d.with_all_unknowns(built).items()}
+    return stage_all(d.with_all_unknowns(built))
 
 
 def star(spark: SparkSession, path: str, large: bool = False, keep_flag: bool = False):
@@ -153,3 +161,12 @@ def star(spark: SparkSession, path: str, large: bool = False, keep_flag: bool =
     song_rows = stage(songs(spark, path), "songs")
     dims = dimensions(spark, path, days, song_rows)
     return fact_historial(rows, song_rows, dims, keep_flag=keep_flag), dims
+
+
+def warehouse(spark: SparkSession, path: str, large: bool = False) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The star as stored tables: built once per session and folder, then read by every report."""
+    key = (spark.sparkContext.applicationId, path, large)
+    if key not in _warehouses:
+        fact, dims = star(spark, path, large)
+        _warehouses[key] = stage(fact, "fact"), dims
+    return _warehouses[key]

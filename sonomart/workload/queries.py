@@ -128,8 +128,8 @@ def generation_bands(spark, path):
 
 
 @query("""
-SELECT CASE WHEN event_type = 'error' THEN NULL ELSE strftime(ts, '%Y%m%d')::INTEGER END AS clave,
-       CASE WHEN event_type = 'error' THEN NULL ELSE hour(ts)::INTEGER END AS hora, count(*) AS n FROM events GROUP BY ALL""")
+SELECT CASE WHEN event_type = 'error' THEN -1 ELSE strftime(ts, '%Y%m%d')::INTEGER END AS clave,
+       CASE WHEN event_type = 'error' THEN -1 ELSE hour(ts)::INTEGER END AS hora, count(*) AS n FROM events GROUP BY ALL""")
 def play_time_parse(spark, path):
     """Text times of all events; malformed ones become null instead of failing the job."""
     raw = inp.table(spark, path, "events").select(
@@ -137,7 +137,9 @@ def play_time_parse(spark, path):
         .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm")).alias("endTime")
     )
     when = raw.select(dates.play_time(F.col("endTime")).alias("t"))
-    return when.groupBy(dates.date_key(F.col("t")).alias("clave"), F.hour("t").alias("hora")).agg(_count().alias("n"))
+    return when.groupBy(
+        joins.unknown_member(dates.date_key(F.col("t"))).alias("clave"), joins.unknown_member(F.hour("t")).alias("hora")
+    ).agg(_count().alias("n"))
 
 
 @query(q.with_(q.CATALOGUE, q.ALBUM) + """
@@ -312,7 +314,7 @@ def fanout_check(spark, path):
 
 
 @query(q.star() + """
-SELECT count(*) AS filas, count_if(is_imputed) AS imputadas, round(100.0::DOUBLE * count_if(is_imputed) / count(*), 1) AS porcentaje
+SELECT count(*) AS filas, count_if(is_imputed)::BIGINT AS imputadas, round(100.0::DOUBLE * count_if(is_imputed) / count(*), 1) AS porcentaje
 FROM fact""")
 def imputation_report(spark, path):
     return audit.imputation_report(inp.star(spark, path, keep_flag=True)[0])
@@ -552,7 +554,7 @@ def origin_report(spark, path):
 
 @query(_CASCADE + """ SELECT total, reales, total - reales AS sinteticos, round(100.0::DOUBLE * reales / total, 1) AS pct_reales,
 round(100.0::DOUBLE * (total - reales) / total, 1) AS pct_sinteticos
-FROM (SELECT count(*) AS total, count_if(origen NOT LIKE 'sintetico%') AS reales FROM linked)""")
+FROM (SELECT count(*) AS total, count_if(origen NOT LIKE 'sintetico%')::BIGINT AS reales FROM linked)""")
 def real_share_report(spark, path):
     return linkage.real_report(_linked(spark, path))
 
@@ -711,14 +713,22 @@ def anchor_text(spark, path):
 
 
 def _cube(spark, path, large=False) -> cb.Cube:
-    fact, dims = inp.star(spark, path, large)
-    return cb.Cube(stage(fact, "fact"), dims)
+    return cb.Cube(*inp.warehouse(spark, path, large))
+
+
+def _as_text(df: DataFrame, dims) -> DataFrame:
+    """Dimension values as text: a rolled-up number or flag is null, and nullable types differ between readers."""
+    return df.withColumns({c: F.col(c).cast("string") for c in dims})
+
 
+def _text_sql(dims) -> str:
+    return ", ".join(f"{c}::VARCHAR AS {c}" for c in dims)
 
-def _cuboid_sql(group: cb.Group, extra: str = "") -> str:
-    dims = ", ".join(group.dims)
-    return (q.cube() + f" SELECT grouping_id({dims}) AS cuboid, {dims}, {q.MEASURES} FROM starview "
-            + q.grouping(group.grouping_sets(), group.dims) + extra)
+
+def _cuboid_sql(group: cb.Group) -> str:
+    inner = (f"SELECT grouping_id({', '.join(group.dims)}) AS cuboid, {', '.join(group.dims)}, {q.MEASURES} FROM starview "
+             + q.grouping(group.grouping_sets(), group.dims))
+    return q.cube() + f" SELECT * REPLACE ({_text_sql(group.dims)}) FROM ({inner})"
 
 
 _G = {g.name: g for g in cb.GROUPS}
@@ -726,7 +736,7 @@ _G = {g.name: g for g in cb.GROUPS}
 
 def _register_cuboids(name: str) -> None:
     def run(spark, path):
-        return _rounded(_cube(spark, path).cuboids(name))
+        return _as_text(_rounded(_cube(spark, path).cuboids(name)), _G[name].dims)
 
     query(_cuboid_sql(_G[name]), f"cube_{name}")(run)
 
@@ -744,12 +754,12 @@ def cube_cross(spark, path):
         F.sum("TEMPO_SUM").alias("tempo"), F.sum("MSNOESCUCHADOS_SUM").alias("ms")), 2)
 
 
-@query(q.cube() + f" SELECT grouping_id(ANIO, MES, DIA) AS cuboid, ANIO, MES, DIA, {q.MEASURES} FROM starview GROUP BY ROLLUP (ANIO, MES, DIA)")
+@query(q.cube() + f" SELECT * REPLACE ({_text_sql(['ANIO', 'MES', 'DIA'])}) FROM (SELECT grouping_id(ANIO, MES, DIA) AS cuboid, ANIO, MES, DIA, {q.MEASURES} FROM starview GROUP BY ROLLUP (ANIO, MES, DIA))")
 def cube_hierarchy(spark, path):
     g = cb.Group("days", ("ANIO", "MES", "DIA"), hierarchies=(("ANIO", "MES", "DIA"),), bitmap=True)
     c = _cube(spark, path)
     c.groups = (g,)
-    return _rounded(c.cuboids("days"))
+    return _as_text(_rounded(c.cuboids("days")), g.dims)
 
 
 _RULED = cb.Group("ruled", ("FRANJAHORARIA", "ESTACION", "FINDE", "GENERACION"), mandatory=("FRANJAHORARIA",), joint=(("ESTACION", "FINDE"),))
@@ -760,7 +770,7 @@ def cube_rules(spark, path):
     """A mandatory dimension and a joint pair."""
     c = _cube(spark, path)
     c.groups = (_RULED,)
-    return _rounded(c.cuboids("ruled"))
+    return _as_text(_rounded(c.cuboids("ruled")), _RULED.dims)
 
 
 @query(q.cube() + """
@@ -781,11 +791,12 @@ def cube_query_uncovered(spark, path):
     return _rounded(_cube(spark, path).query(["FECHASTRING", "ALBUM_ANYO"]))
 
 
-@query(q.cube() + f" SELECT {', '.join(cb.DIMENSIONS)}, count(*) AS _COUNT_, sum(msEscuchados)::BIGINT AS MSESCUCHADOS_SUM, round(sum(valence), 4) AS VALENCE_SUM FROM starview GROUP BY ALL")
+@query(q.cube() + f" SELECT * REPLACE ({_text_sql(cb.DIMENSIONS)}) FROM (SELECT {', '.join(cb.DIMENSIONS)}, count(*) AS _COUNT_, sum(msEscuchados)::BIGINT AS MSESCUCHADOS_SUM, round(sum(valence), 4) AS VALENCE_SUM FROM starview GROUP BY ALL)")
 def cube_full_base(spark, path):
     base = _cube(spark, path).full_base()
-    return _rounded(base.groupBy(*cb.DIMENSIONS).agg(
-        F.sum("_COUNT_").alias("_COUNT_"), F.sum("MSESCUCHADOS_SUM").alias("MSESCUCHADOS_SUM"), F.sum("VALENCE_SUM").alias("VALENCE_SUM")))
+    return _as_text(_rounded(base.groupBy(*cb.DIMENSIONS).agg(
+        F.sum("_COUNT_").alias("_COUNT_"), F.sum("MSESCUCHADOS_SUM").alias("MSESCUCHADOS_SUM"), F.sum("VALENCE_SUM").alias("VALENCE_SUM"))),
+        cb.DIMENSIONS)
 
 
 @query(q.cube() + f" SELECT GENERACION, {q.MEASURES} FROM starview WHERE msEscuchados >= 1000 AND ESTACION = 'Invierno' GROUP BY ALL")
@@ -795,12 +806,12 @@ def cube_model_filter(spark, path):
     return _rounded(c.query(["GENERACION"]))
 
 
-@query(q.cube(True) + f""" SELECT CASE WHEN IDDate < 0 THEN IDDate ELSE strftime(make_date(IDDate // 10000, IDDate // 100 % 100, IDDate % 100)
+@query(q.cube() + f""" SELECT CASE WHEN IDDate < 0 THEN IDDate ELSE strftime(make_date(IDDate // 10000, IDDate // 100 % 100, IDDate % 100)
  - ((make_date(IDDate // 10000, IDDate // 100 % 100, IDDate % 100) - DATE '1970-01-01') % 28)::INTEGER, '%Y%m%d')::INTEGER END AS segmento, FRANJAHORARIA, {q.MEASURES}
 FROM starview GROUP BY ALL""")
 def cube_segments(spark, path):
     """Day segments written incrementally, one of them rebuilt, then compacted to spans of 28 days."""
-    c = _cube(spark, path, large=True)
+    c = _cube(spark, path)
     g = cb.Group("band", ("FRANJAHORARIA",), bitmap=True)
     target = f"{checkpoint_root(spark)}/segments-{uuid.uuid4().hex}"
     cb.refresh_segments(c.fact, c.dims, g, target)
@@ -813,7 +824,7 @@ def cube_segments(spark, path):
 @query(q.cube() + " SELECT FRANJAHORARIA, count(DISTINCT IDCancion) AS canciones FROM starview GROUP BY ALL")
 def distinct_songs(spark, path):
     """Exact distinct songs through mergeable bitmaps."""
-    fact, dims = inp.star(spark, path)
+    fact, dims = inp.warehouse(spark, path)
     base = stage(cb.group_base(fact, dims, ["FRANJAHORARIA", "FINDE"], bitmap=True), "bitmaps")
     return cb.roll_up(base, ["FRANJAHORARIA"]).select("FRANJAHORARIA", F.col(cb.DISTINCT_SONGS).alias("canciones"))
 
@@ -821,19 +832,19 @@ def distinct_songs(spark, path):
 @query(q.cube(True) + """ SELECT FRANJAHORARIA, FINDE, count(*) AS plays, round(avg(energy), 6) AS avg_energy
 FROM starview GROUP BY ALL""")
 def energy_by_band(spark, path):
-    fact, dims = inp.star(spark, path, large=True)
+    fact, dims = inp.warehouse(spark, path, large=True)
     return _rounded(cb.mean_by(fact, dims, ["FRANJAHORARIA", "FINDE"], "energy"), 6)
 
 
 @query(q.cube(True) + " SELECT ARTISTA_GENERO, count(*) AS plays, round(avg(danceability), 6) AS avg_danceability FROM starview GROUP BY ALL")
 def dance_by_genre(spark, path):
-    fact, dims = inp.star(spark, path, large=True)
+    fact, dims = inp.warehouse(spark, path, large=True)
     return _rounded(cb.mean_by(fact, dims, ["ARTISTA_GENERO"], "danceability"), 6)
 
 
 @query(q.cube() + f""" SELECT count(*) AS plays, {', '.join(f'count({c}) AS {c}' for c in cb.DIMENSIONS)} FROM starview""")
 def star_view(spark, path):
     """The fact joined to all six dimensions with the 23 dimension names."""
-    fact, dims = inp.star(spark, path)
+    fact, dims = inp.warehouse(spark, path)
     view = cb.star_view(fact, dims, list(cb.DIMENSIONS))
     return view.agg(_count().alias("plays"), *[F.count(c).alias(c) for c in cb.DIMENSIONS])
