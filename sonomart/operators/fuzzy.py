@@ -12,8 +12,11 @@ pair needs ``LCS >= ceil(c * (n + m) / 200)``. Three exact ways find all such pa
 * very short texts have too few bigrams. They meet on a common subsequence, by equi-join on all texts
   left after deleting the few characters the cutoff allows.
 
-Cheap JVM conditions (length, position, shared bigrams, edit distance) then thin the candidates inside
+Cheap JVM conditions (length, character signature, position, shared bigrams, edit distance) then thin the candidates inside
 the join stage, and only the survivors are scored.
+
+The explodes are outer ones although no array is empty: Spark would otherwise add an is-not-empty filter
+that computes each array expression a second time.
 """
 
 from __future__ import annotations
@@ -31,6 +34,9 @@ from sonomart.operators.staging import stage, stage_all
 CUTOFF = 80
 # Bigrams beyond this many most frequent ones count as equally rare; it only orders the prefix.
 RANKED_BIGRAMS = 4000
+_POINT = 1 << 21
+# Rows of one bigram pair that meet in one unit of the pair join, per side.
+UNIT_ROWS = 5000
 
 
 def _lcs_block(left: list[str], right: list[str]) -> np.ndarray:
@@ -94,25 +100,48 @@ def _short_limits(cutoff: int) -> tuple[int, int]:
 
 
 def _with_bigrams(texts: DataFrame) -> DataFrame:
-    """(text, grams): set of bigrams; a repeated bigram carries the number of its occurrence."""
+    """(text, grams, sig0, sig1): bigrams as numbers, and a 128-bit signature of the characters.
+
+    A bigram is two code points of 21 bits and the number of its occurrence, in one long. A signature
+    bit is set by the characters, counted like the bigrams, that hash to it.
+    """
+    points = F.transform(
+        F.sequence(F.lit(1), F.length("text")),
+        lambda i: F.ascii(F.substring(F.col("text"), i, F.lit(1))).cast("bigint"),
+    )
     pairs = F.transform(
-        F.sequence(F.lit(1), F.length("text") - 1), lambda i: F.substring(F.col("text"), i, F.lit(2))
+        F.slice("points", F.lit(2), F.size("points")), lambda p, i: (F.get("points", i) * _POINT + p) * _POINT
     )
     seen = F.transform(
-        "pairs",
-        lambda g, i: F.concat(g, F.size(F.filter(F.slice("pairs", F.lit(1), i + 1), lambda h: h == g)).cast("string")),
+        "pairs", lambda g, i: g + F.size(F.filter(F.slice("pairs", F.lit(1), i), lambda h: h == g))
+    )
+    bits = F.transform(
+        "points",
+        lambda p, i: F.pmod(F.xxhash64(p, F.size(F.filter(F.slice("points", F.lit(1), i), lambda h: h == p))), F.lit(128)).cast("int"),
+    )
+
+    def signature(first: int) -> Column:
+        one = F.lit(1).cast("bigint")
+        inside = F.filter("bits", lambda b: (b >= first) & (b < first + 64))
+        return F.aggregate(
+            inside, F.lit(0).cast("bigint"), lambda acc, b: acc.bitwiseOR(F.call_function("shiftleft", one, b - first))
+        )
+
+    return (
+        texts.select("text", points.alias("points")).select("text", pairs.alias("pairs"), bits.alias("bits"))
+        .select("text", seen.alias("grams"), signature(0).alias("sig0"), signature(64).alias("sig1"))
     )
-    return texts.select("text", pairs.alias("pairs")).select("text", seen.alias("grams"))
 
 
 def _ordered_bigrams(grams: DataFrame, common: DataFrame) -> DataFrame:
-    """(text, n, grams): bigrams from rare to frequent."""
-    ranked = grams.select("text", F.explode("grams").alias("gram")).join(F.broadcast(common), "gram", "left")
+    """(text, n, grams, sig0, sig1): bigrams from rare to frequent."""
+    ranked = grams.select("text", "sig0", "sig1", F.explode_outer("grams").alias("gram"))
+    ranked = ranked.join(F.broadcast(common), "gram", "left")
     # One list per text, no longer than the text.
-    lists = ranked.groupBy("text").agg(
+    lists = ranked.groupBy("text", "sig0", "sig1").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "gram"))).alias("grams")
     )
-    return lists.select("text", F.length("text").alias("n"), F.col("grams.gram").alias("grams"))
+    return lists.select("text", F.length("text").alias("n"), F.col("grams.gram").alias("grams"), "sig0", "sig1")
 
 
 def _pair_keys(ordered: DataFrame, cutoff: int, side: str) -> DataFrame:
@@ -131,31 +160,77 @@ def _pair_keys(ordered: DataFrame, cutoff: int, side: str) -> DataFrame:
         )
     )
     ordered = ordered.withColumn("prefix", prefix)
-    return ordered.select("text", "n", "grams", F.explode(pairs).alias("p")).select(
+    return ordered.select("text", "n", "grams", "sig0", "sig1", F.explode_outer(pairs).alias("p")).select(
         F.col("p.g1").alias("g1"), F.col("p.g2").alias("g2"), F.col("p.pos").alias(f"pos_{side}"),
         F.col("text").alias(f"text_{side}"), F.col("n").alias(f"n_{side}"), F.col("grams").alias(f"grams_{side}"),
+        F.col("sig0").alias(f"sig0_{side}"), F.col("sig1").alias(f"sig1_{side}"),
     )
 
 
-def _long_candidates(left: DataFrame, right: DataFrame, cutoff: int, min_len: int) -> DataFrame:
-    lefts, rights = (_with_bigrams(d.filter(F.length("text") >= min_len)) for d in (left, right))
-    grams = lefts.unionAll(rights).select(F.explode("grams").alias("gram"))
+def _split_hot_pairs(l: DataFrame, r: DataFrame, unit_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Spread the rows of frequent keys over units of at most about ``unit_rows`` per side.
+
+    A key with c rows on the left and d on the right becomes a * b units; every left row goes to its
+    own a-unit and to all b-units of the right, and the other way round, so each pair meets once.
+    """
+    def counts(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("g1", "g2").agg(F.count(F.lit(1)).alias(name))
+
+    both = counts(l, "c_l").join(counts(r, "c_r"), ["g1", "g2"])
+    # At most (rows of both indexes) / unit_rows keys.
+    hot = both.filter(F.greatest("c_l", "c_r") > unit_rows).select(
+        "g1", "g2", _ceil_div(F.col("c_l"), unit_rows).alias("a"), _ceil_div(F.col("c_r"), unit_rows).alias("b")
+    )
+    hot = stage(hot, "hot-bigrams")
+    if hot.isEmpty():
+        return tuple(d.withColumns({"u_l": F.lit(0), "u_r": F.lit(0)}) for d in (l, r))
+
+    def spread(df: DataFrame, side: str, own: str, other: str, u_own: str, u_other: str) -> DataFrame:
+        marked = df.join(hot, ["g1", "g2"], "left").fillna(1, ["a", "b"])
+        unit = F.pmod(F.xxhash64(f"text_{side}"), F.col(own)).cast("int")
+        copies = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        return marked.withColumn(u_own, unit).withColumn(u_other, copies).drop("a", "b")
+
+    return spread(l, "l", "a", "b", "u_l", "u_r"), spread(r, "r", "b", "a", "u_r", "u_l")
+
+
+def _long_candidates(left: DataFrame, right: DataFrame, cutoff: int, min_len: int, unit_rows: int) -> DataFrame:
+    # Index and join are heavy in time, not in bytes, so their partition count is not left to size.
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lefts, rights = (_with_bigrams(d.filter(F.length("text") >= min_len).repartition(parts, "text")) for d in (left, right))
+    grams = lefts.unionAll(rights).select(F.explode_outer("grams").alias("gram"))
     common = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("freq"))
     common = stage(common.orderBy(F.desc("freq"), "gram").limit(RANKED_BIGRAMS), "bigram-ranks")
-    l = _pair_keys(_ordered_bigrams(lefts, common), cutoff, "l")
-    r = _pair_keys(_ordered_bigrams(rights, common), cutoff, "r")
+    index = stage_all({
+        "l": _pair_keys(_ordered_bigrams(lefts, common), cutoff, "l"),
+        "r": _pair_keys(_ordered_bigrams(rights, common), cutoff, "r"),
+    })
+    l, r = _split_hot_pairs(index["l"], index["r"], unit_rows)
+    keys = ["g1", "g2", "u_l", "u_r"]
+    l, r = l.repartition(parts, *keys), r.repartition(parts, *keys)
     total = F.col("n_l") + F.col("n_r")
     lcs = _min_lcs(total, cutoff)
     need = lcs * 3 - total - 1
     after = F.least(F.size("grams_l") - F.col("pos_l"), F.size("grams_r") - F.col("pos_r"))
-    near = l.join(r, ["g1", "g2"]).filter((F.least("n_l", "n_r") >= lcs) & (after + 2 >= need))
-    shared = F.array_intersect("grams_l", "grams_r")
-    # Each pair is kept once, under its two rarest common bigrams.
-    first = (F.get(F.col("shared"), F.lit(0)) == F.col("g1")) & (F.get(F.col("shared"), F.lit(1)) == F.col("g2"))
-    near = near.withColumn("shared", shared).filter(first & (F.size("shared") >= need))
+    # A deletion or insertion changes one counted character, hence at most one signature bit.
+    apart = sum(F.bit_count(F.col(f"sig{i}_l").bitwiseXOR(F.col(f"sig{i}_r"))) for i in (0, 1))
+    # Each pair is kept once, under its two rarest common bigrams; the array makes the intersection run once.
+    first = F.exists(
+        F.array(F.array_intersect("grams_l", "grams_r")),
+        lambda c: (F.size(c) >= need) & (F.get(c, F.lit(0)) == F.col("g1")) & (F.get(c, F.lit(1)) == F.col("g2")),
+    )
+    near = l.join(r, keys).filter(
+        (F.least("n_l", "n_r") >= lcs) & (apart <= total - lcs * 2) & (after + 2 >= need) & first & _within_distance(cutoff)
+    )
     return near.select("text_l", "text_r")
 
 
+def _within_distance(cutoff: int) -> Column:
+    """Edit distance never exceeds the deletions plus insertions that the cutoff allows."""
+    total = F.length("text_l") + F.length("text_r")
+    return F.levenshtein("text_l", "text_r") <= total - _min_lcs(total, cutoff) * 2
+
+
 def _variants(text: Column, deletions: int) -> Column:
     """The text and everything left after deleting up to ``deletions`` characters."""
     levels = F.array(text)
@@ -185,25 +260,26 @@ def _short_candidates(left: DataFrame, right: DataFrame, cutoff: int, min_len: i
         n = F.length("text")
         least = _min_lcs(n + _ceil_div(n * cutoff, 200 - cutoff), cutoff)
         subs = F.filter(_variants(F.col("text"), deletions), lambda s: F.length(s) >= least)
-        return df.filter((n <= max_len) & (n > 0)).select(F.col("text").alias(f"text_{side}"), F.explode(subs).alias("sub"))
+        return df.filter((n <= max_len) & (n > 0)).select(F.col("text").alias(f"text_{side}"), F.explode_outer(subs).alias("sub"))
 
     l, r = spread(left, "l"), spread(right, "r")
     n, m = F.length("text_l"), F.length("text_r")
-    met = l.join(r, "sub").filter((F.least(n, m) < min_len) & (F.length("sub") >= _min_lcs(n + m, cutoff)))
+    met = l.join(r, "sub").filter(
+        (F.least(n, m) < min_len) & (F.length("sub") >= _min_lcs(n + m, cutoff)) & _within_distance(cutoff)
+    )
     return met.select("text_l", "text_r").distinct()
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame, cutoff: int = CUTOFF) -> DataFrame:
+def candidate_pairs(
+    left: DataFrame, right: DataFrame, cutoff: int = CUTOFF, unit_rows: int = UNIT_ROWS
+) -> DataFrame:
     """(text_l, text_r): a superset of all pairs of distinct texts that reach the cutoff."""
     if not 80 <= cutoff <= 100:
         raise ValueError("the lossless filters need a cutoff from 80 to 100")
     min_len, max_len = _short_limits(cutoff)
-    pairs = _long_candidates(left, right, cutoff, min_len).unionAll(
+    return _long_candidates(left, right, cutoff, min_len, unit_rows).unionAll(
         _short_candidates(left, right, cutoff, min_len, max_len)
     )
-    total = F.length("text_l") + F.length("text_r")
-    # Edit distance never exceeds the number of deletions plus insertions.
-    return pairs.filter(F.levenshtein("text_l", "text_r") <= total - _min_lcs(total, cutoff) * 2)
 
 
 def best_matches(queries: DataFrame, catalogue: DataFrame, cutoff: int = CUTOFF) -> DataFrame:
