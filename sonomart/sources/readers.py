@@ -100,7 +100,7 @@ def unify_catalogue(
 def scan_history_tree(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """(plays, report) below a folder at any depth; unreadable files give no plays but a report row.
 
-    The report counts plays per file and flags files whose text is not valid JSON.
+    The report counts plays, and plays with a title, per file and flags files that are not valid JSON.
     """
     schema = schema_of(HISTORY).add("_corrupt", "string")
     raw = (
@@ -111,6 +111,6 @@ def scan_history_tree(spark: SparkSession, folder: str) -> tuple[DataFrame, Data
     )
     bad = F.col("_corrupt").isNotNull()
     report = raw.groupBy("archivo").agg(
-        F.count_if(~bad).alias("reproducciones"), F.max(bad).alias("ilegible")
+        F.count_if(~bad).alias("reproducciones"), F.count("trackName").alias("con_titulo"), F.max(bad).alias("ilegible")
     )
     return raw.filter(~bad).drop("_corrupt"), report

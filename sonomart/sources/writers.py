@@ -16,21 +16,22 @@ def _documented(df: DataFrame, table: str) -> DataFrame:
     return df.to(table_schema(table))
 
 
-def save_table(df: DataFrame, table: str, partition_by: str | None = None) -> None:
+def save_table(df: DataFrame, table: str) -> None:
     """Replace a warehouse table as a whole, in contract shape."""
     out = _documented(conform(df, table), table) if table in STAR else df
-    if partition_by:
-        out = out.withColumn(partition_by, df[partition_by])
-        # One shuffle by month keeps the file count per partition near one per month and task.
-        out = out.repartition(F.col(partition_by), F.pmod(F.xxhash64(out.columns[0]), F.lit(16)))
-    writer = out.write.mode("overwrite").format("parquet")
-    (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(table)
+    out.write.mode("overwrite").format("parquet").saveAsTable(table)
 
 
 def save_fact(fact: DataFrame, table: str = "fact_historial") -> None:
-    """The fact by year-month of its date key; unknown dates form their own partition."""
+    """The fact by year-month of its date key; unknown dates form their own partition.
+
+    Rows are range-partitioned by date and row id: few files per month, and a month or day of any size
+    is cut into even tasks.
+    """
     month = F.when(F.col("IDDate") < 0, F.lit(-1)).otherwise(F.floor(F.col("IDDate") / 100)).cast("int")
-    save_table(fact.withColumn("anioMes", month), table, "anioMes")
+    out = _documented(conform(fact, "fact_historial"), "fact_historial").withColumn("anioMes", month)
+    out = out.repartitionByRange("anioMes", "IDDate", "idhechos_historial")
+    out.write.mode("overwrite").format("parquet").partitionBy("anioMes").saveAsTable(table)
 
 
 def declare_tables(spark: SparkSession) -> None:
