@@ -16,10 +16,11 @@ def strip(c: Column) -> Column:
 
 def normalise(c: Column) -> Column:
     """Lower-cased title or artist without (...) and [...] remarks; null becomes the empty key."""
-    bare = F.lower(strip(F.coalesce(c.cast("string"), F.lit(""))))
+    bare = F.lower(F.coalesce(c.cast("string"), F.lit("")))
     for remark in (r"(?d)\(.*?\)", r"(?d)\[.*?\]"):
-        bare = strip(F.regexp_replace(bare, remark, ""))
-    return F.regexp_replace(bare, rf"{SPACE}+", " ")
+        bare = F.regexp_replace(bare, remark, "")
+    # White space at the ends cannot change what a remark is, so one pass at the end is enough.
+    return F.trim(F.regexp_replace(bare, rf"{SPACE}+", " "))
 
 
 def lead_artist(c: Column) -> Column:

@@ -28,26 +28,48 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_keys: int = MAX_HOT_KEYS) -
 
 
 def lookup_left(
-    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], max_hot: int = MAX_HOT_KEYS, split: bool | None = None
+    facts: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    max_hot: int = MAX_HOT_KEYS,
+    split: bool | None = None,
+    count_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left equi-join to a lookup that is unique on ``keys``; no fact row is lost or multiplied.
 
-    A lookup under Spark's broadcast limit is left to Spark. For a larger one the rows of hot keys,
-    and rows that cannot match because a key is null, meet a broadcast of at most ``max_hot`` lookup
-    rows; only the remaining, evenly spread keys are shuffled.
+    A lookup under Spark's broadcast limit is left to Spark. For a larger one, rows of hot keys take
+    their values from a broadcast of at most ``max_hot`` lookup rows. In the shuffle join these rows,
+    and rows that cannot match because a key is null, carry no key but a hash of the whole row, so
+    they spread evenly over all tasks (other rows carry the hash of their key, as the lookup does). The facts are read once; ``count_from`` may name a cheaper
+    frame with the same key columns to count the keys of.
     """
     keys = list(keys)
     if split is None:
         split = estimated_bytes(lookup) > broadcast_limit(facts.sparkSession)
     if not split:
         return facts.join(lookup, keys, "left")
-    hot = F.broadcast(hot_keys(facts, keys, max_hot).withColumn("_hot", F.lit(True)))
-    marked = facts.join(hot, keys, "left")
+    values = [c for c in lookup.columns if c not in keys]
+    hot = stage(hot_keys(facts if count_from is None else count_from, keys, max_hot), "hot-keys")
+    hot_rows = lookup.join(F.broadcast(hot), keys, "left_semi").select(*keys, F.struct(*values).alias("_hot_row"))
+    flagged = F.broadcast(hot.join(F.broadcast(hot_rows), keys, "left").withColumn("_hot", F.lit(True)))
+
+    # Equal keys must hash alike on both sides, whatever integer width each side uses.
+    key_hash = F.xxhash64(*[F.col(k).cast(lookup.schema[k].dataType) for k in keys])
     aside = F.coalesce(F.col("_hot"), F.lit(False)) | _any_null(keys)
-    hot_rows = lookup.join(hot.drop("_hot"), keys, "left_semi")
-    return (
-        marked.filter(aside).drop("_hot").join(F.broadcast(hot_rows), keys, "left")
-        .unionByName(marked.filter(~aside).drop("_hot").join(lookup, keys, "left"))
+    marked = facts.join(flagged, keys, "left")
+    marked = marked.withColumns({
+        **{f"_key_{k}": F.when(~aside, F.col(k)) for k in keys},
+        "_spread": F.when(aside, F.xxhash64(*facts.columns)).otherwise(key_hash),
+    })
+    cold = lookup.select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys], key_hash.alias("_spread"),
+        F.struct(*values).alias("_cold_row"),
+    )
+    joined = marked.join(cold, [*[f"_key_{k}" for k in keys], "_spread"], "left")
+    rest = [c for c in facts.columns if c not in keys]
+    return joined.select(
+        *keys, *rest,
+        *[F.when(F.col("_hot"), F.col("_hot_row")[v]).otherwise(F.col("_cold_row")[v]).alias(v) for v in values],
     )
 
 

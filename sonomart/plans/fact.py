@@ -25,9 +25,9 @@ def resolve_keys(plays: DataFrame, songs: DataFrame, dims: dict[str, DataFrame])
     artists = dims["dim_artista"].select("idArtista", F.col("nombre").alias("artistName"))
     out = hour_band_join(plays, F.hour("endTime"), dims["dim_hora"])
     out = out.withColumn("idDate", dates.date_key(F.col("endTime")))
-    out = lookup_left(out, users, ["usuario"])
-    out = lookup_left(out, tracks, ["trackName", "artistName"])
-    return lookup_left(out, artists, ["artistName"])
+    out = lookup_left(out, users, ["usuario"], count_from=plays)
+    out = lookup_left(out, tracks, ["trackName", "artistName"], count_from=plays)
+    return lookup_left(out, artists, ["artistName"], count_from=plays)
 
 
 def is_imputed() -> Column:

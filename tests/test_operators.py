@@ -38,6 +38,19 @@ def test_split_lookup_equals_plain_join(spark):
     split = joins.lookup_left(facts, lookup, ["k", "k2"], max_hot=10, split=True)
     assert rows(split.select("id", "v")) == rows(plain.select("id", "v"))
     assert column(joins.hot_keys(facts, ["k", "k2"], 10), "k") == ["hot"]
+    # A hot key that the lookup lacks, and rows without a key, stay in the result.
+    missing = joins.lookup_left(facts, lookup.filter("k <> 'hot'"), ["k", "k2"], max_hot=10, split=True)
+    assert missing.count() == 3000 and missing.filter("v IS NOT NULL").count() == 1
+    # In the shuffle join the hot and keyless rows spread over the partitions instead of filling one.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spread = joins.lookup_left(facts, lookup, ["k", "k2"], max_hot=10, split=True)
+        sizes = column(spread.groupBy(F.spark_partition_id().alias("p")).count(), "count")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 << 20))
+    assert len(sizes) == 4 and max(sizes) < 1000
 
 
 def test_hour_bands(spark):
