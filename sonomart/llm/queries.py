@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonomart.llm import mixing, sql
+from sonomart.llm import licenses, mixing, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,10 +21,17 @@ def op3_mixing(spark: SparkSession, path: str) -> DataFrame:
     return mixing.mix(table(spark, path, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_licenses(spark: SparkSession, path: str) -> DataFrame:
+    """License notices of every document."""
+    return licenses.scan(table(spark, path, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_mixing": op3_mixing,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLES: dict[str, str] = {
     "op3_mixing": sql.MIXING,
+    "op10_licenses": sql.licenses(licenses.TEMPLATES, licenses.THRESHOLD, licenses.BLOCK_WORDS, licenses.STRIDE),
 }

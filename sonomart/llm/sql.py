@@ -30,3 +30,35 @@ cut AS (
 SELECT doc_id, size, source_size, target,
   CAST(epochs * size + greatest(0, least(size, CAST(floor(target) AS BIGINT) - epochs * source_size - before_)) AS BIGINT) AS taken
 FROM cut"""
+
+
+def licenses(templates, threshold, block_words, stride) -> str:
+    """Every block against every template, without filters."""
+    values = ", ".join(f"({k}, '{label}', {sorted(set(w.split()))!r})" for k, (label, w) in enumerate(templates))
+    return rf"""
+WITH templates(k, label, tokens) AS (VALUES {values}),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+  FROM documents),
+places AS (
+  SELECT r, i,
+    CASE WHEN words[i + 1] = 'cc' AND words[i + 2] = 'by' THEN 'cc-by'
+         WHEN words[i + 1] = 'general' AND words[i + 2] = 'public' AND words[i + 3] = 'license' THEN 'gpl'
+         WHEN words[i + 1] = 'all' AND words[i + 2] = 'rights' AND words[i + 3] = 'reserved' THEN 'reserved' END AS label
+  FROM (SELECT r, words, unnest(range(len(words))) AS i FROM docs)),
+base AS (
+  SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS labels
+  FROM places WHERE label IS NOT NULL GROUP BY r),
+blocks AS (
+  SELECT r, words[b * {stride} + 1 : b * {stride} + {block_words}] AS block
+  FROM (SELECT r, words, unnest(range((len(words) - 1) // {stride} + 1)) AS b FROM docs)),
+met AS (
+  SELECT r, label, len(list_intersect(tokens, block)) / len(tokens) AS share
+  FROM blocks, templates WHERE len(list_intersect(tokens, block)) >= ceil({threshold} * len(tokens) - 1e-9)),
+found AS (SELECT r, list(DISTINCT label) AS labels, max(share) AS score FROM met GROUP BY r)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(b.n_base, 0) AS n_base, b.first_word, b.last_word,
+  coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ','), '') AS labels,
+  CASE WHEN b.n_base > 0 THEN 1.0 ELSE coalesce(f.score, 0.0) END::DOUBLE AS score
+FROM docs d LEFT JOIN base b USING (r) LEFT JOIN found f USING (r)"""
