@@ -24,7 +24,7 @@ from sonomart.operators.staging import stage
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_EPOCHS = 3
 # A range of the key order holds about this many rows: the working set of one running sum.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 
 
 def word_count(text: Column) -> Column:
