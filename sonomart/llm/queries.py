@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonomart.llm import licenses, mixing, sql
+from sonomart.llm import licenses, mixing, pii, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,8 +26,15 @@ def op10_licenses(spark: SparkSession, path: str) -> DataFrame:
     return licenses.scan(table(spark, path, "documents"))
 
 
+def op6_pii(spark: SparkSession, path: str) -> DataFrame:
+    """Personal data of every document; the span classifier is fitted on all of them."""
+    docs = table(spark, path, "documents")
+    return pii.detect(docs, pii.fit(docs))
+
+
 QUERIES: dict[str, Query] = {
     "op3_mixing": op3_mixing,
+    "op6_pii": op6_pii,
     "op10_licenses": op10_licenses,
 }
 
