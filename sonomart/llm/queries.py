@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonomart.llm import licenses, mixing, pii, sql
+from sonomart.llm import decontam, licenses, mixing, pii, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,11 @@ def op10_licenses(spark: SparkSession, path: str) -> DataFrame:
     return licenses.scan(table(spark, path, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, path: str) -> DataFrame:
+    """Documents that overlap a test item, with the items."""
+    return decontam.leaks(table(spark, path, "documents"), table(spark, path, "benchmark"))
+
+
 def op6_pii(spark: SparkSession, path: str) -> DataFrame:
     """Personal data of every document; the span classifier is fitted on all of them."""
     docs = table(spark, path, "documents")
@@ -34,11 +39,13 @@ def op6_pii(spark: SparkSession, path: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_mixing": op3_mixing,
+    "op4_decontaminate": op4_decontaminate,
     "op6_pii": op6_pii,
     "op10_licenses": op10_licenses,
 }
 
 ORACLES: dict[str, str] = {
     "op3_mixing": sql.MIXING,
+    "op4_decontaminate": sql.decontamination(decontam.MASKS, decontam.OVERLAP_WORDS, decontam.EQUAL_SHARE),
     "op10_licenses": sql.licenses(licenses.TEMPLATES, licenses.THRESHOLD, licenses.BLOCK_WORDS, licenses.STRIDE),
 }

@@ -62,3 +62,39 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(b.n_base, 0)
   coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ','), '') AS labels,
   CASE WHEN b.n_base > 0 THEN 1.0 ELSE coalesce(f.score, 0.0) END::DOUBLE AS score
 FROM docs d LEFT JOIN base b USING (r) LEFT JOIN found f USING (r)"""
+
+
+def decontamination(masks, overlap_words, equal_share) -> str:
+    """The same seeds compared as words instead of hashes; holds for items not shorter than a mask."""
+    def picked(words, at):
+        return [", ".join(f"{words}[{at} + {i + 1}]" for i, bit in enumerate(m) if bit == "1") for m in masks]
+
+    def seeds(source, key):
+        parts = [f"SELECT {key}, spot, n, {k} AS mask, [{p}] AS seed FROM {source} WHERE spot + {len(m)} <= n"
+                 for k, (m, p) in enumerate(zip(masks, picked("words", "spot")))]
+        return " UNION ALL ".join(parts)
+
+    split = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+    return rf"""
+WITH items AS (SELECT DISTINCT item_id, {split} AS words FROM benchmark),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {split} AS words FROM documents),
+item_at AS (SELECT *, len(words) AS n, unnest(range(len(words))) AS spot FROM items),
+doc_at AS (SELECT *, len(words) AS n, unnest(range(len(words))) AS spot FROM docs),
+item_seeds AS ({seeds("item_at", "item_id")}),
+doc_seeds AS ({seeds("doc_at", "r")}),
+hits AS (
+  SELECT DISTINCT d.r, i.item_id, d.spot - i.spot AS diagonal FROM doc_seeds d JOIN item_seeds i ON d.mask = i.mask AND d.seed = i.seed),
+aligned AS (
+  SELECT h.r, h.item_id, h.diagonal, unnest(range(len(i.words))) AS spot FROM hits h JOIN items i USING (item_id)),
+equal_ AS (
+  SELECT a.*, least({overlap_words}, len(i.words)) AS wide, CAST(i.words[a.spot + 1] = d.words[a.diagonal + a.spot + 1] AS INT) AS e
+  FROM aligned a JOIN items i USING (item_id) JOIN docs d USING (r)
+  WHERE a.diagonal + a.spot >= 0 AND a.diagonal + a.spot < len(d.words)),
+windows AS (
+  SELECT r, item_id, diagonal, wide, e, sum(e) OVER w AS inside, count(*) OVER w AS width
+  FROM equal_ WINDOW w AS (PARTITION BY r, item_id, diagonal ORDER BY spot ROWS BETWEEN {overlap_words - 1} PRECEDING AND CURRENT ROW)),
+verified AS (
+  SELECT r, item_id, diagonal, sum(e) AS matched FROM windows GROUP BY r, item_id, diagonal
+  HAVING max(CASE WHEN width >= wide THEN inside END) >= ceil(max(wide) * {equal_share}))
+SELECT d.doc_id, v.item_id, CAST(max(v.matched) AS BIGINT) AS matched, CAST(max(len(i.words)) AS BIGINT) AS item_words
+FROM verified v JOIN docs d USING (r) JOIN items i USING (item_id) GROUP BY d.doc_id, v.item_id"""
