@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonomart.llm import decontam, licenses, mixing, pii, sql
+from sonomart.llm import decontam, licenses, mixing, pii, sql, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,12 @@ def op3_mixing(spark: SparkSession, path: str) -> DataFrame:
     return mixing.mix(table(spark, path, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_topk(spark: SparkSession, path: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth vector."""
+    vectors = table(spark, path, "embeddings")
+    return topk.search(vectors.filter(F.col("vec_id") % 50 == 0), vectors, k=5)
+
+
 def op10_licenses(spark: SparkSession, path: str) -> DataFrame:
     """License notices of every document."""
     return licenses.scan(table(spark, path, "documents"))
@@ -41,11 +47,13 @@ QUERIES: dict[str, Query] = {
     "op3_mixing": op3_mixing,
     "op4_decontaminate": op4_decontaminate,
     "op6_pii": op6_pii,
+    "op8_topk": op8_topk,
     "op10_licenses": op10_licenses,
 }
 
 ORACLES: dict[str, str] = {
     "op3_mixing": sql.MIXING,
     "op4_decontaminate": sql.decontamination(decontam.MASKS, decontam.OVERLAP_WORDS, decontam.EQUAL_SHARE),
+    "op8_topk": sql.TOPK,
     "op10_licenses": sql.licenses(licenses.TEMPLATES, licenses.THRESHOLD, licenses.BLOCK_WORDS, licenses.STRIDE),
 }

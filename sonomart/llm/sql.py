@@ -98,3 +98,15 @@ verified AS (
   HAVING max(CASE WHEN width >= wide THEN inside END) >= ceil(max(wide) * {equal_share}))
 SELECT d.doc_id, v.item_id, CAST(max(v.matched) AS BIGINT) AS matched, CAST(max(len(i.words)) AS BIGINT) AS item_words
 FROM verified v JOIN docs d USING (r) JOIN items i USING (item_id) GROUP BY d.doc_id, v.item_id"""
+
+
+TOPK = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM (SELECT * FROM v WHERE vec_id % 50 = 0) q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
