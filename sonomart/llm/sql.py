@@ -110,3 +110,14 @@ scored AS (
 ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
+WARC = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f"""
