@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonomart.llm import chat, decontam, licenses, mixing, pii, sql, topk, warc
+from sonomart.llm import chat, decontam, html, licenses, mixing, pii, sql, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,11 @@ def op8_topk(spark: SparkSession, path: str) -> DataFrame:
     return topk.search(vectors.filter(F.col("vec_id") % 50 == 0), vectors, k=5)
 
 
+def op9_html(spark: SparkSession, path: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract_pages(table(spark, path, "pages"))
+
+
 def op10_licenses(spark: SparkSession, path: str) -> DataFrame:
     """License notices of every document."""
     return licenses.scan(table(spark, path, "documents"))
@@ -66,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op5_chat": op5_chat,
     "op7_warc": op7_warc,
     "op8_topk": op8_topk,
+    "op9_html": op9_html,
     "op10_licenses": op10_licenses,
 }
 
