@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonomart.llm import chat, decontam, html, licenses, mixing, pii, sql, topk, warc
+from sonomart.llm import chat, decontam, html, langid, licenses, mixing, pii, sql, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,15 @@ def table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{name}.parquet")
 
 
+def op1_langid(spark: SparkSession, path: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    docs = table(spark, path, "documents").select("doc_id", "text", "lang")
+    held = langid.held_out("doc_id")
+    model = langid.fit(docs.filter(~held))
+    found = langid.predict(docs.select("doc_id", "text", held.alias("held_out")), model, ["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op3_mixing(spark: SparkSession, path: str) -> DataFrame:
     """Words the mix takes of every document."""
     return mixing.mix(table(spark, path, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -65,6 +74,7 @@ def op6_pii(spark: SparkSession, path: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_langid": op1_langid,
     "op3_mixing": op3_mixing,
     "op4_decontaminate": op4_decontaminate,
     "op6_pii": op6_pii,
