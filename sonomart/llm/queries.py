@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonomart.llm import chat, decontam, html, langid, licenses, mixing, pii, sql, topk, warc
+from sonomart.llm import chat, decontam, forest, html, langid, licenses, mixing, pii, sql, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,11 @@ def op1_langid(spark: SparkSession, path: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_neardup(spark: SparkSession, path: str) -> DataFrame:
+    """Near-duplicate group of every document, at 85 % shared shingles."""
+    return forest.near_duplicates(table(spark, path, "documents"), percent=85).drop("text_key")
+
+
 def op3_mixing(spark: SparkSession, path: str) -> DataFrame:
     """Words the mix takes of every document."""
     return mixing.mix(table(spark, path, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -75,6 +80,7 @@ def op6_pii(spark: SparkSession, path: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_langid": op1_langid,
+    "op2_neardup": op2_neardup,
     "op3_mixing": op3_mixing,
     "op4_decontaminate": op4_decontaminate,
     "op6_pii": op6_pii,
@@ -86,6 +92,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_neardup": sql.NEARDUP,
     "op3_mixing": sql.MIXING,
     "op4_decontaminate": sql.decontamination(decontam.MASKS, decontam.OVERLAP_WORDS, decontam.EQUAL_SHARE),
     "op7_warc": sql.WARC,

@@ -121,3 +121,25 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
 FROM f"""
+
+
+NEARDUP = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM docs
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT r.doc_id, CAST(coalesce(any_value(s.n), 0) AS BIGINT) AS n_shingles, min(r.other) AS component_id,
+  r.doc_id = min(r.other) AS kept
+FROM reach r LEFT JOIN sizes s USING (doc_id) GROUP BY r.doc_id"""
