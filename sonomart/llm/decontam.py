@@ -28,8 +28,8 @@ from sonomart.operators.staging import stage
 SEPARATOR = r"[^\p{L}\p{N}]+"
 # 1: compared, 0: ignored. Runs of eight, every third word, every fourth word, a burst in the middle.
 MASKS = ("11111111", "11011011011", "1110111011", "111100001111")
-# A verified overlap: of this many aligned words (or the whole shorter item) this share is equal.
-OVERLAP_WORDS = 13
+# A verified overlap: within this many aligned words (or the whole shorter item) this share of them is equal.
+OVERLAP_WORDS = 16
 EQUAL_SHARE = 0.65
 # About 40 bytes a row once broadcast.
 BROADCAST_SEEDS = 2_000_000
@@ -91,10 +91,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     window = F.least(F.lit(overlap_words), F.col("item_n"))
     joined = joined.select("doc_id", "text_hash", "item_id", "item_n", "diagonal", equal.alias("equal"), window.alias("window"))
     enough = F.ceil(F.col("window") * equal_share)
-    spots = F.sequence(F.lit(1), F.size("equal") - F.col("window") + 1)
+    spots = F.sequence(F.lit(1), F.greatest(F.size("equal") - F.col("window") + 1, F.lit(1)))
     best = F.array_max(F.transform(spots, lambda i: F.aggregate(
         F.slice("equal", i, F.col("window")), F.lit(0), lambda acc, x: acc + x)))
-    verified = joined.filter(F.size("equal") >= F.col("window")).filter(best >= enough)
+    verified = joined.filter(best >= enough)
     matched = F.aggregate("equal", F.lit(0), lambda acc, x: acc + x).cast("long")
     return (verified.select("doc_id", "text_hash", "item_id", "item_n", "diagonal", matched.alias("matched"))
             .groupBy("doc_id", "text_hash", "item_id")

@@ -182,8 +182,11 @@ def judge(block: Block, marked: bool) -> str:
 
 
 def inherit(found: list[Block], marked: bool) -> None:
-    """Pass two: undecided blocks take the label of the nearest decided ones; good wins where both sides differ
-    for headings, bad for other blocks. Inside a content element only blocks of that element count."""
+    """Pass two: undecided blocks take the label of the nearest decided ones on both sides.
+
+    Where the sides differ, or one is missing, marked content stays good; elsewhere headings are good and other
+    blocks bad. Inside a content element only blocks of that element count.
+    """
     undecided = [i for i, b in enumerate(found) if b.label == "undecided"]
     if not undecided:
         return
@@ -203,7 +206,7 @@ def inherit(found: list[Block], marked: bool) -> None:
         near = {before[i], after[i]} - {None}
         if not near:
             found[i].label = "good"  # nothing around it speaks against it
-        elif len(near) == 1:
+        elif len(near) == 1 and not (marked and None in (before[i], after[i])):
             found[i].label = near.pop()
         else:
             found[i].label = "good" if marked or found[i].heading else "bad"

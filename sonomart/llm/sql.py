@@ -91,11 +91,11 @@ equal_ AS (
   FROM aligned a JOIN items i USING (item_id) JOIN docs d USING (r)
   WHERE a.diagonal + a.spot >= 0 AND a.diagonal + a.spot < len(d.words)),
 windows AS (
-  SELECT r, item_id, diagonal, wide, e, sum(e) OVER w AS inside, count(*) OVER w AS width
+  SELECT r, item_id, diagonal, wide, e, sum(e) OVER w AS inside
   FROM equal_ WINDOW w AS (PARTITION BY r, item_id, diagonal ORDER BY spot ROWS BETWEEN {overlap_words - 1} PRECEDING AND CURRENT ROW)),
 verified AS (
   SELECT r, item_id, diagonal, sum(e) AS matched FROM windows GROUP BY r, item_id, diagonal
-  HAVING max(CASE WHEN width >= wide THEN inside END) >= ceil(max(wide) * {equal_share}))
+  HAVING max(inside) >= ceil(max(wide) * {equal_share}))
 SELECT d.doc_id, v.item_id, CAST(max(v.matched) AS BIGINT) AS matched, CAST(max(len(i.words)) AS BIGINT) AS item_words
 FROM verified v JOIN docs d USING (r) JOIN items i USING (item_id) GROUP BY d.doc_id, v.item_id"""
 
