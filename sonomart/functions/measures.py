@@ -20,7 +20,8 @@ def percentage(part: Column, whole: Column) -> Column:
 
 def _unit(seed: int, salt: str, *key: Column) -> Column:
     """Uniform number in (0, 1] that depends on the key only, never on the partitioning."""
-    bits = F.xxhash64(*key, F.lit(salt), F.lit(seed)).bitwiseAND(F.lit((1 << 52) - 1))
+    digest = F.md5(F.concat_ws("\u0001", *key, F.lit(salt), F.lit(str(seed))))
+    bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
     return (bits + 1) / float(1 << 52)
 
 

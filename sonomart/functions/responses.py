@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sonomart.functions.bands import UNKNOWN
 from sonomart.functions.text import strip
+from sonomart.plans.contract import FEATURES
 
 ARTIST_SEARCH = "artists array<struct<type: string, country: string>>"
 RELEASE_SEARCH = "releases array<struct<`label-info`: array<struct<label: struct<name: string>>>>>"
@@ -49,12 +50,14 @@ def first_label(response: Column, wider_response: Column | None = None) -> Colum
 
 
 def track_hit(response: Column, features: Column) -> Column:
-    """Struct (album, id, keep): a search without items keeps a marker row, a hit without features is dropped."""
+    """Struct (album, id, keep, all features): a search without items keeps a marker row, a hit without features is dropped."""
     item = F.get(F.from_json(response, TRACK_SEARCH)["tracks"]["items"], F.lit(0))
+    parsed = F.from_json(features, ", ".join(f"`{f}` double" for f in FEATURES))
     return F.struct(
         F.when(item.isNull(), F.lit(NOT_FOUND)).otherwise(item["album"]["name"]).alias("album"),
         item["id"].alias("id"),
         (item.isNull() | features.isNotNull()).alias("keep"),
+        *[F.when(item.isNotNull(), parsed[f]).alias(f) for f in FEATURES],
     )
 
 

@@ -32,8 +32,6 @@ from sonomart.operators.keys import keep_first
 from sonomart.operators.staging import stage, stage_all
 
 CUTOFF = 80
-# Bigrams beyond this many most frequent ones count as equally rare; it only orders the prefix.
-RANKED_BIGRAMS = 4000
 _POINT = 1 << 21
 # Rows of one bigram pair that meet in one unit of the pair join, per side.
 UNIT_ROWS = 5000
@@ -136,10 +134,10 @@ def _with_bigrams(texts: DataFrame) -> DataFrame:
 def _ordered_bigrams(grams: DataFrame, common: DataFrame) -> DataFrame:
     """(text, n, grams, sig0, sig1): bigrams from rare to frequent."""
     ranked = grams.select("text", "sig0", "sig1", F.explode_outer("grams").alias("gram"))
-    ranked = ranked.join(F.broadcast(common), "gram", "left")
+    ranked = ranked.join(common, "gram")
     # One list per text, no longer than the text.
     lists = ranked.groupBy("text", "sig0", "sig1").agg(
-        F.array_sort(F.collect_list(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "gram"))).alias("grams")
+        F.array_sort(F.collect_list(F.struct("freq", "gram"))).alias("grams")
     )
     return lists.select("text", F.length("text").alias("n"), F.col("grams.gram").alias("grams"), "sig0", "sig1")
 
@@ -200,7 +198,7 @@ def _long_candidates(left: DataFrame, right: DataFrame, cutoff: int, min_len: in
     lefts, rights = (_with_bigrams(d.filter(F.length("text") >= min_len).repartition(parts, "text")) for d in (left, right))
     grams = lefts.unionAll(rights).select(F.explode_outer("grams").alias("gram"))
     common = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("freq"))
-    common = stage(common.orderBy(F.desc("freq"), "gram").limit(RANKED_BIGRAMS), "bigram-ranks")
+    common = stage(common, "bigram-ranks")
     index = stage_all({
         "l": _pair_keys(_ordered_bigrams(lefts, common), cutoff, "l"),
         "r": _pair_keys(_ordered_bigrams(rights, common), cutoff, "r"),
@@ -304,7 +302,7 @@ def best_matches(queries: DataFrame, catalogue: DataFrame, cutoff: int = CUTOFF)
     scored = scored.filter(F.col("score") >= cutoff)
     ranked = scored.join(entries.withColumnRenamed("text", "text_r"), "text_r")
     best = ranked.groupBy("text_l").agg(
-        F.min_by(F.struct("entry", "score"), F.struct(-F.col("score"), F.col("rank"), F.col("entry"))).alias("b")
+        F.min(F.struct((-F.col("score")).alias("down"), "rank", "entry", "score")).alias("b")
     )
     near = open_texts.join(best, open_texts["text"] == best["text_l"]).select("query", "b.entry", "b.score")
     return equal.unionAll(near)

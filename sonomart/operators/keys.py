@@ -7,38 +7,38 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sonomart.operators.staging import estimated_bytes, stage
+from sonomart.operators.staging import stage
 
-# Below this estimate one sorted partition is cheaper than a range shuffle plus a staged write.
-SINGLE_PARTITION_BYTES = 64 << 20
 _ROW_BITS = 33
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key: the least by ``order``, nulls of a key counting as one value.
 
-    Written as an aggregate, so copies of a hot key collapse on the map side before the shuffle.
+    Filled values come before nulls, in the order and among ties, so an empty row never hides a filled one.
+    Written as an aggregate of one struct, so copies of a hot key collapse on the map side before the
+    shuffle and each row travels once.
     """
     rest = [c for c in df.columns if c not in keys]
-    rank = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
+    rank = [x for c in order for x in _filled_first(F.col(c) if isinstance(c, str) else c)]
     # The remaining columns break ties, so the pick never depends on partitioning.
-    rank = F.struct(rank, *[F.col(c) for c in rest])
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), rank).alias("_row"))
-    columns = [F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns]
+    row = F.struct(F.struct(*rank), F.struct(*[F.col(c).isNull() for c in rest]), F.struct(*[F.col(c) for c in rest]).alias("row"))
+    picked = df.groupBy(*keys).agg(F.min(row).alias("_least"))
+    columns = [F.col(c) if c in keys else F.col("_least.row")[c].alias(c) for c in df.columns]
     return picked.select(*columns)
 
 
-def dense_ids(
-    df: DataFrame, id_col: str, order: Sequence[str], single_partition_bytes: int = SINGLE_PARTITION_BYTES
-) -> DataFrame:
+def _filled_first(c: Column) -> tuple[Column, Column]:
+    return c.isNull(), c
+
+
+def dense_ids(df: DataFrame, id_col: str, order: Sequence[str]) -> DataFrame:
     """Add 1..n in the order of ``order``, equal to ``row_number() over (order by ...)``.
 
-    Small inputs take the plain window. Larger ones are range-partitioned and sorted; every row keeps
-    its place in its partition, and the start of each partition comes from the partition counts. The
-    staged write between both steps keeps the partitioning the counts were taken from.
+    Rows are range-partitioned and sorted; every row keeps its place in its partition, and the start of
+    each partition comes from the partition counts. The staged write between both steps keeps the
+    partitioning the counts were taken from.
     """
-    if estimated_bytes(df) <= single_partition_bytes:
-        return df.withColumn(id_col, F.row_number().over(Window.orderBy(*order)))
     spot = F.monotonically_increasing_id()
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_spot", spot)
     placed = stage(

@@ -26,6 +26,7 @@ class CatalogueSource:
     artist: str
     album: str | None
     artist_is_list: bool = True
+    multi_line: bool = True
 
 
 @dataclass(frozen=True)
@@ -45,10 +46,16 @@ class BuildConfig:
     seed: int = 0
 
 
-def _optional_csv(spark: SparkSession, path: str | None, schema: str) -> DataFrame:
+ROW_ORDER = "row_order struct<file: string, block: bigint, row: bigint>"
+
+
+def _optional_csv(spark: SparkSession, path: str | None, schema: str, row_order: bool = False, multi_line: bool = True) -> DataFrame:
+    if row_order:
+        schema = f"{schema}, {ROW_ORDER}"
     if path is None:
         return spark.createDataFrame([], readers.schema_of(schema))
-    return readers.optional_source(spark, lambda: readers.read_csv_files(spark, path), schema)
+    return readers.optional_source(
+        spark, lambda: readers.read_csv_files(spark, path, multi_line=multi_line, row_order=row_order), schema)
 
 
 def played_tracks(history: DataFrame) -> DataFrame:
@@ -58,19 +65,24 @@ def played_tracks(history: DataFrame) -> DataFrame:
 
 
 def linked_catalogue(spark: SparkSession, cfg: BuildConfig, history: DataFrame) -> DataFrame:
-    """Result of the linkage cascade over the configured catalogues."""
-    parts = [
-        readers.unify_catalogue(readers.read_csv_files(spark, c.path), c.title, c.artist, c.album, c.artist_is_list,
-                                rank, CATALOGUE_FEATURES)
-        for rank, c in enumerate(cfg.catalogues)
-    ]
-    catalogue = merge_catalogues(parts, ["cancion", "artista", "album"])
-    columns = "trackName string, artistName string, " + ", ".join(f"{f} double" for f in CATALOGUE_FEATURES)
-    own = _optional_csv(spark, cfg.personal_history, columns)
+    """Result of the linkage cascade over the configured catalogues.
+
+    The first row of the first source wins. Absent catalogues are skipped; without any, all features are
+    synthesised from the personal history, or stay empty.
+    """
+    features = ", ".join(f"`{f}` double" for f in CATALOGUE_FEATURES)
+    columns = "trackName string, artistName string, " + features
+    none = spark.createDataFrame([], readers.schema_of(f"{columns}, {ROW_ORDER}"))
+    parts = [readers.unify_catalogue(none, "trackName", "artistName", None, False, len(cfg.catalogues), CATALOGUE_FEATURES)]
+    for rank, c in enumerate(cfg.catalogues):
+        wanted = [c.title, c.artist, *([c.album] if c.album else [])]
+        raw = _optional_csv(spark, c.path, ", ".join(f"`{w}` string" for w in dict.fromkeys(wanted)), True, c.multi_line)
+        parts.append(readers.unify_catalogue(raw, c.title, c.artist, c.album, c.artist_is_list, rank, CATALOGUE_FEATURES))
+    catalogue = merge_catalogues(parts, ["row_order"])
+    own = _optional_csv(spark, cfg.personal_history, columns, True)
     own = readers.unify_catalogue(own, "trackName", "artistName", None, False, 0, CATALOGUE_FEATURES)
-    own = merge_catalogues([own], ["cancion", "artista"])
-    return link_tracks(played_tracks(history), own, catalogue, ["source_rank", "cancion_norm", "artista_norm"],
-                       seed=cfg.seed)
+    own = merge_catalogues([own], ["row_order"])
+    return link_tracks(played_tracks(history), own, catalogue, ["source_rank", "row_order"], seed=cfg.seed)
 
 
 def build(spark: SparkSession, cfg: BuildConfig) -> DataFrame:

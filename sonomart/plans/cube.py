@@ -7,6 +7,7 @@ the song id or a song bitmap, so exact distinct counts survive every roll-up.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -142,7 +143,8 @@ def group_base(
     fact column as a further key, for incremental builds.
     """
     if model_filter:
-        used = [n for n in DIMENSIONS if n in names or n in model_filter]
+        # All dimensions are on offer, in any letter case; joins the filter does not use are left out.
+        used = [n for n in DIMENSIONS if n in names or re.search(rf"\b{n}\b", model_filter, re.I)]
         fact = star_view(fact, dims, used).filter(model_filter).select(*fact.columns)
     fks = sorted({_FK_OF[DIMENSIONS[n][0]] for n in names})
     extra = [segment] if segment and segment not in fks else []
@@ -285,8 +287,8 @@ def refresh_segments(
     if days is not None:
         fact = fact.filter(F.col("IDDate").isin(*days))
     base = group_base(fact, dims, group.dims, group.bitmap, segment="IDDate").withColumnRenamed("IDDate", "segmento")
-    # Range partitions keep few files per day, and split a day that is too large for one task.
-    base = base.repartitionByRange("segmento", _song_columns(base)[0])
+    # Rebalanced: few files per day, and a day that is too large for one task is split.
+    base = base.hint("rebalance", "segmento")
     base.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("segmento").parquet(path)
 
 

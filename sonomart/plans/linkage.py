@@ -47,6 +47,8 @@ def with_norm_keys(df: DataFrame) -> DataFrame:
 
 def merge_catalogues(parts: Sequence[DataFrame], order: Sequence[str]) -> DataFrame:
     """Union of unified catalogues, one row per normalised (title, artist), first source first."""
+    if not parts:
+        raise ValueError("no catalogue given; pass an empty one")
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     rows = with_norm_keys(rows)
     for f in CATALOGUE_FEATURES:
@@ -79,7 +81,7 @@ def synthesise(
         F.col("artista_norm").alias("_scope"), *[F.col(f).alias(f"_g_{f}") for f in CATALOGUE_FEATURES]
     )
     rows = by_artist.withColumn("_scope", F.when(F.col("_own").isNull(), F.lit(everyone)))
-    rows = rows.join(F.broadcast(world.limit(1)), "_scope", "left")
+    rows = rows.join(F.broadcast(world), "_scope", "left")
 
     def value(f: str) -> Column:
         mean = F.when(F.col("_own"), F.col(f)).otherwise(F.col(f"_g_{f}"))

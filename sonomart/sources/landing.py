@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +17,8 @@ USER_FILES = {
     "playlist": r"^Playlist1\.json$",
     "profile": r"^Userdata\.json$",
 }
-# Sub-folders an export may be unpacked to, best first.
-EXPORT_FOLDERS = (r"^\w+AccountData$", r"^\w+ Account Data$", r"^MyData$")
+# Sub-folders an export may be unpacked to, best first.
+EXPORT_FOLDERS = ("SpotifyAccountData", "Spotify Account Data", "MyData")
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,25 +31,24 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _rank_of(c: Column, patterns) -> Column:
-    out = None
-    for i, p in enumerate(patterns):
-        out = F.when(c.rlike(p), F.lit(i)) if out is None else out.when(c.rlike(p), F.lit(i))
-    return out
+def _rank_of(c: Column, names: Sequence[str]) -> Column:
+    """Position of the name in the list; null where it is not in it."""
+    place = F.array_position(F.array(*[F.lit(n) for n in names]), c)
+    return F.nullif(place, F.lit(0).cast("bigint"))
 
 
-def user_files(files: DataFrame, base: str) -> DataFrame:
+def user_files(files: DataFrame, base: str, folders: Sequence[str] = EXPORT_FOLDERS) -> DataFrame:
     """Relevant files per user: from the best export sub-folder the user has, else the user folder itself."""
-    relative = F.split(F.element_at(F.split("path", f"/{base}/", 2), 2), "/")
+    relative = F.split(F.element_at(F.split("path", rf"/\Q{base}\E/", 2), 2), "/")
     parts = files.filter(F.col("path").contains(f"/{base}/")).select("*", relative.alias("parts"))
     depth = F.size("parts")
-    inside = F.when(depth == 3, _rank_of(F.get("parts", F.lit(1)), EXPORT_FOLDERS))
+    inside = F.when(depth == 3, _rank_of(F.get("parts", F.lit(1)), folders))
     kind = None
     for name, pattern in USER_FILES.items():
         hit = F.col("name").rlike(pattern)
         kind = F.when(hit, F.lit(name)) if kind is None else kind.when(hit, F.lit(name))
     # A sub-folder counts as present as soon as it holds any file, at any depth.
-    present = F.when(depth >= 3, _rank_of(F.get("parts", F.lit(1)), EXPORT_FOLDERS))
+    present = F.when(depth >= 3, _rank_of(F.get("parts", F.lit(1)), folders))
     marked = parts.select("*", F.get("parts", F.lit(0)).alias("usuario"), inside.alias("folder"),
                           present.alias("present"), kind.alias("kind"))
     best = marked.groupBy("usuario").agg(F.min("present").alias("best"))
@@ -69,21 +70,24 @@ def to_land(files: DataFrame, landed: DataFrame, force: bool) -> DataFrame:
 
 
 def land_records(records: DataFrame, target: str, force: bool, source_col: str = "archivo") -> DataFrame:
-    """Append records of new source files to Bronze Parquet, one partition per user; returns a tally.
+    """Append records of new source files to Bronze Parquet, one partition per source file; returns a tally.
 
-    By force, the users present in ``records`` are replaced and all others stay.
+    By force, the files present in ``records`` are replaced and all others stay. Which files are landed is
+    read off the partitions, without their records.
     """
     spark = records.sparkSession
+    keys = ["usuario", source_col]
     if not force:
-        landed = optional_source(spark, lambda: spark.read.parquet(target).select("usuario", source_col),
+        landed = optional_source(spark, lambda: spark.read.schema(records.schema).parquet(target).select(*keys),
                                  f"usuario string, {source_col} string")
-        records = pending(records, landed.distinct(), ["usuario", source_col])
-    writer = records.write.partitionBy("usuario")
+        records = pending(records, landed.distinct(), keys)
+    # Rebalanced by file: few output files, and a file of any size is cut into even tasks.
+    writer = records.hint("rebalance", *keys).write.partitionBy(*keys)
     if force:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(target)
     else:
         writer.mode("append").parquet(target)
-    return spark.read.parquet(target).groupBy("usuario", source_col).agg(F.count(F.lit(1)).alias("filas"))
+    return spark.read.schema(records.schema).parquet(target).groupBy(*keys).agg(F.count(F.lit(1)).alias("filas"))
 
 
 def landing_tally(wanted: DataFrame, landed: DataFrame) -> DataFrame:

@@ -40,12 +40,20 @@ def read_json_files(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiline", True).json(path)
 
 
-def read_csv_files(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_csv_files(
+    spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = True, row_order: bool = False
+) -> DataFrame:
     """CSV with header and doubled quotes; all strings unless a schema is given.
 
-    Columns are taken by header name, so their order in the file does not matter.
+    Columns are taken by header name, so their order in the file does not matter. Values without line ends
+    allow ``multi_line=False``, which lets Spark split large files. ``row_order`` adds ``row_order``, which
+    sorts rows as they stand in the files and does not change when other files are added.
     """
-    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
+    if row_order:
+        # Ids grow within a file split, and splits within a file are told apart by where they begin.
+        raw = raw.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                       F.monotonically_increasing_id().alias("row")).alias("row_order"))
     if schema is None:
         return raw
     present = {c.lower(): c for c in raw.columns}
@@ -53,7 +61,7 @@ def read_csv_files(spark: SparkSession, path: str, schema: str | None = None) ->
         (F.col(f"`{present[f.name.lower()]}`").try_cast(f.dataType) if f.name.lower() in present
          else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema_of(schema).fields
-    ])
+    ], *(["row_order"] if row_order else []))
 
 
 def path_group(pattern: str) -> Column:
@@ -85,7 +93,10 @@ def unify_catalogue(
     df: DataFrame, title: str, artist: str, album: str | None, artist_is_list: bool, source_rank: int,
     features: Sequence[str],
 ) -> DataFrame:
-    """One catalogue in common columns; features it lacks are left out for the union to fill."""
+    """One catalogue in common columns; features it lacks are left out for the union to fill.
+
+    A ``row_order`` of the scan is kept, so that the first row of a source can win.
+    """
     present = [f for f in features if f in df.columns]
     name = F.col(artist)
     return df.select(
@@ -93,6 +104,7 @@ def unify_catalogue(
         (lead_artist(name) if artist_is_list else name.cast("string")).alias("artista"),
         (F.col(album) if album else F.lit("Desconocido")).cast("string").alias("album"),
         F.lit(source_rank).alias("source_rank"),
+        *(["row_order"] if "row_order" in df.columns else []),
         *[F.col(f).try_cast("double").alias(f) for f in present],
     )
 

@@ -25,12 +25,12 @@ def save_table(df: DataFrame, table: str) -> None:
 def save_fact(fact: DataFrame, table: str = "fact_historial") -> None:
     """The fact by year-month of its date key; unknown dates form their own partition.
 
-    Rows are range-partitioned by date and row id: few files per month, and a month or day of any size
-    is cut into even tasks.
+    Rows are rebalanced by month: few files per month, and a month of any size is cut into even tasks,
+    without a sampling pass over the plan.
     """
     month = F.when(F.col("IDDate") < 0, F.lit(-1)).otherwise(F.floor(F.col("IDDate") / 100)).cast("int")
     out = _documented(conform(fact, "fact_historial"), "fact_historial").withColumn("anioMes", month)
-    out = out.repartitionByRange("anioMes", "IDDate", "idhechos_historial")
+    out = out.hint("rebalance", "anioMes")
     out.write.mode("overwrite").format("parquet").partitionBy("anioMes").saveAsTable(table)
 
 

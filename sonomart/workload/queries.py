@@ -14,7 +14,7 @@ from sonomart.operators.staging import checkpoint_root, stage
 from sonomart.plans import cube as cb
 from sonomart.plans import dims as d
 from sonomart.plans import linkage
-from sonomart.plans.contract import CATALOGUE_FEATURES, FEATURES, NOISY_FEATURES
+from sonomart.plans.contract import CATALOGUE_FEATURES, FEATURES, NOISY_FEATURES, conform
 from sonomart.sources import landing, readers, writers
 from sonomart.workload import inputs as inp
 from sonomart.workload import sql as q
@@ -181,7 +181,7 @@ FROM (SELECT DISTINCT p_name, p_brand FROM part)""")
 def surrogate_keys_ranged(spark, path):
     """Dense ids by the range-partitioned way, whatever the size."""
     names = inp.catalogue(spark, path).select(F.col("cancion").alias("titulo"), "artista").distinct()
-    return keys.dense_ids(names, "id", ["titulo", "artista"], single_partition_bytes=0)
+    return keys.dense_ids(names, "id", ["titulo", "artista"])
 
 
 @query("SELECT count(*) AS filas, count(*) AS ids FROM lineitem")
@@ -349,9 +349,9 @@ _QUOTES = r"""[\[\]''"]"""
 
 
 @query(f"""SELECT principal, count(*) AS n FROM (SELECT {q.strip("string_split(regexp_replace(lista, '" + _QUOTES + "', '', 'g'), ',')[1]")} AS principal
-FROM (SELECT '[''' || split_part(text, ' ', 1) || ''', ''' || role || ''']' AS lista FROM conversations)) GROUP BY ALL""")
+FROM (SELECT '[''' || replace(text, ' ', ''', ''') || ''', ''' || role || ''']' AS lista FROM conversations)) GROUP BY ALL""")
 def lead_artist(spark, path):
-    listed = F.concat(F.lit("['"), F.split("text", " ", 2)[0], F.lit("', '"), F.col("role"), F.lit("']"))
+    listed = F.concat(F.lit("['"), F.regexp_replace("text", " ", "', '"), F.lit("', '"), F.col("role"), F.lit("']"))
     names = inp.table(spark, path, "conversations").select(text.lead_artist(listed).alias("principal"))
     return names.groupBy("principal").agg(_count().alias("n"))
 
@@ -559,11 +559,25 @@ def real_share_report(spark, path):
     return linkage.real_report(_linked(spark, path))
 
 
-@query()
+def _noisy(f: str) -> str:
+    """Box-Muller over two digests of the track, as ``measures.gaussian`` does it."""
+    u = [f"((('0x' || md5(concat_ws(chr(1), t.cancion, t.artista, '{f}/{s}', '0'))[1:13])::BIGINT + 1) / {float(1 << 52)}::DOUBLE)" for s in "ra"]
+    return f"sqrt(ln({u[0]}) * -2.0::DOUBLE) * cos({u[1]} * (2.0::DOUBLE * pi())) * 0.03::DOUBLE"
+
+
+def _with_noise(sql: str) -> str:
+    for f in NOISY_FEATURES:
+        mean = f"w.{f} ELSE m.{f} END"
+        sql = sql.replace(f"{mean}, 0)", f"{mean} + {_noisy(f)}, 0)")
+    return sql
+
+
+@query(_with_noise(_CASCADE) + " SELECT cancion, artista, album, origen, " + ", ".join(f"round({f}, 6) AS {f}" for f in _CAT_FEATURES)
+       + " FROM linked WHERE origen LIKE 'sintetico%'")
 def synthetic_features(spark, path):
-    """Synthesised features with their noise; the noise is a hash of the track, so no SQL twin."""
+    """Synthesised features with their noise, which is a digest of the track."""
     made = _linked(spark, path, sigma=0.03)
-    return made.filter(F.col("origen").startswith("sintetico")).select(*_LINK_COLUMNS)
+    return _rounded(made.filter(F.col("origen").startswith("sintetico")).select(*_LINK_COLUMNS), 6)
 
 
 @query(q.with_(_CATALOGUES) + f"""
@@ -643,6 +657,96 @@ def path_column(spark, path):
     return rows.groupBy("usuario").agg(_count().alias("filas"))
 
 
+@query("""
+SELECT usuario, archivo, count(*) AS filas, sum(marca)::BIGINT AS marca FROM (
+  SELECT source AS usuario, lang AS archivo, CASE WHEN lang = 'fr' THEN 2 ELSE 1 END AS marca FROM documents) GROUP BY ALL""")
+def bronze_force(spark, path):
+    """Land all documents, then force one file of every user: only that file is replaced."""
+    docs = inp.table(spark, path, "documents").select(
+        F.col("source").alias("usuario"), F.col("lang").alias("archivo"), "doc_id", F.lit(1).alias("marca"))
+    target = f"{checkpoint_root(spark)}/bronze-{uuid.uuid4().hex}"
+    landing.land_records(docs, target, force=False)
+    landing.land_records(docs.filter("archivo = 'fr'").withColumn("marca", F.lit(2)), target, force=True)
+    back = spark.read.schema(docs.schema).parquet(target)
+    return back.groupBy("usuario", "archivo").agg(_count().alias("filas"), F.sum("marca").alias("marca"))
+
+
+def _exports(spark, path) -> str:
+    """Events as history exports, one folder per user and kind of event; returns the folder."""
+    events = inp.table(spark, path, "events").select(
+        F.date_format("ts", "yyyy-MM-dd HH:mm").alias("endTime"), F.col("event_type").alias("artistName"), F.col("props").alias("trackName"),
+        F.floor("value").cast("long").alias("msPlayed"), F.concat(F.lit("U"), (F.col("user_id") % 7).cast("string")).alias("u"))
+    base = f"{checkpoint_root(spark)}/exports-{uuid.uuid4().hex}"
+    events.write.partitionBy("u").json(f"{base}/raw")
+    return base
+
+
+@query("""
+SELECT usuario, count(*) AS n, count(DISTINCT endTime) AS tiempos, sum(ms)::BIGINT AS ms FROM (
+  SELECT 'u=U' || user_id % 7 AS usuario, strftime(ts, '%Y-%m-%d %H:%M') AS endTime, floor(value) AS ms FROM events) GROUP BY usuario""")
+def history_scan(spark, path):
+    """History files of all users as multiline JSON; the user comes from the path."""
+    base = _exports(spark, path)
+    # A multiline file holds one array: each written file is folded into one document.
+    lines = spark.read.text(f"{base}/raw/*/*.json", wholetext=True).select(
+        F.concat(F.lit("["), F.regexp_replace(F.regexp_replace("value", r"\n+$", ""), r"\n+", ","), F.lit("]")).alias("value"),
+        readers.path_group(r"/raw/u=([^/]+)/").alias("u"))
+    lines.write.partitionBy("u").text(f"{base}/usuarios")
+    plays = readers.read_history(spark, f"{base}/usuarios/*/*.txt")
+    return plays.groupBy("usuario").agg(_count().alias("n"), F.countDistinct("endTime").alias("tiempos"), F.sum("msPlayed").alias("ms"))
+
+
+@query("SELECT p_partkey, p_name, p_size FROM part UNION ALL SELECT NULL, 'none', 0 WHERE false")
+def optional_inputs(spark, path):
+    """A source that is there and one that is not: the absent one is empty, with its schema."""
+    target = f"{checkpoint_root(spark)}/optional-{uuid.uuid4().hex}"
+    inp.table(spark, path, "part").select("p_partkey", "p_name", "p_size").write.parquet(f"{target}/there")
+    schema = "p_partkey bigint, p_name string, p_size int"
+    frames = [readers.optional_source(spark, lambda p=p: spark.read.parquet(f"{target}/{p}"), schema) for p in ("there", "absent")]
+    return frames[0].unionByName(frames[1])
+
+
+@query(q.with_(q.SONGS, q.ARTIST) + " SELECT idArtista::INTEGER AS idArtista, nombre, pais, tipo, genero FROM dim_artista")
+def table_sink(spark, path):
+    """A dimension through the warehouse sink and the table scan, in contract types."""
+    cat = inp.catalogue(spark, path)
+    built = d.dim_artista(cat, inp.artist_info(spark, path), inp.artist_genres(spark, path))
+    name = f"dim_artista_{uuid.uuid4().hex}"
+    writers.save_table(conform(built, "dim_artista"), name)
+    return spark.table(name)
+
+
+@query("SELECT DISTINCT p_brand AS artista FROM part")
+def build_gate(spark, path):
+    """Skip-if-present: the second build is not run, a forced one replaces the result."""
+    target = f"{checkpoint_root(spark)}/gate-{uuid.uuid4().hex}"
+    brands = inp.table(spark, path, "part").select(F.col("p_brand").alias("artista")).distinct()
+    writers.ensure_path(spark, target, lambda: brands.withColumn("artista", F.lower("artista")), "artista string")
+    writers.ensure_path(spark, target, lambda: brands, "artista string", force=True)
+    return writers.ensure_path(spark, target, lambda: brands.limit(0), "artista string")
+
+
+@query("""
+SELECT principal, cancion, album, source_rank, energy FROM (
+  SELECT *, row_number() OVER (PARTITION BY lower(cancion), lower(principal) ORDER BY source_rank, p_partkey) AS k FROM (
+    SELECT p_partkey, p_name AS cancion, p_brand AS principal, p_type AS album, 0 AS source_rank, p_size / 50.0::DOUBLE AS energy FROM part WHERE p_size > 25
+    UNION ALL
+    SELECT p_partkey, upper(p_name), p_brand, 'Desconocido', 1, NULL FROM part)) WHERE k = 1""")
+def catalogue_files(spark, path):
+    """Two catalogues written as CSV and unified: list artists, an absent feature, first row of the first source."""
+    target = f"{checkpoint_root(spark)}/catalogues-{uuid.uuid4().hex}"
+    part = inp.table(spark, path, "part").orderBy("p_partkey").coalesce(1)
+    listed = F.concat(F.lit("['"), F.col("p_brand"), F.lit("', 'Other']"))
+    writers.save_csv(part.filter("p_size > 25").select(
+        F.col("p_name").alias("name"), listed.alias("artists"), F.col("p_type").alias("album"), (F.col("p_size") / 50.0).alias("energy")), f"{target}/a")
+    writers.save_csv(part.select(F.upper("p_name").alias("track"), F.col("p_brand").alias("artist")), f"{target}/b")
+    features = ["energy"]
+    a = readers.unify_catalogue(readers.read_csv_files(spark, f"{target}/a", row_order=True), "name", "artists", "album", True, 0, features)
+    b = readers.unify_catalogue(readers.read_csv_files(spark, f"{target}/b", row_order=True), "track", "artist", None, False, 1, features)
+    merged = linkage.merge_catalogues([a, b], ["row_order"])
+    return merged.select(F.col("artista").alias("principal"), "cancion", "album", "source_rank", "energy")
+
+
 # ---------------------------------------------------------------- stored responses
 
 
@@ -682,21 +786,23 @@ def response_first_label(spark, path):
     return stored.select("p_partkey", responses.first_label(F.col("r"), F.col("w")).alias("productora"))
 
 
-@query("""
+_HIT_SQL = ", ".join(f"CASE WHEN p_size <= 45 THEN (p_size + {i}) / 50.0::DOUBLE END AS {f}" for i, f in enumerate(FEATURES))
+
+
+@query(f"""
 SELECT p_partkey, CASE WHEN p_size > 45 THEN 'No Encontrado' ELSE p_type END AS album,
-       CASE WHEN p_size <= 45 THEN 'id' || p_partkey END AS id_pista, CASE WHEN p_size <= 45 THEN p_size / 50.0::DOUBLE END AS energy
+       CASE WHEN p_size <= 45 THEN 'id' || p_partkey END AS id_pista, {_HIT_SQL}
 FROM part WHERE p_size > 45 OR p_size > 5""")
 def response_track(spark, path):
-    """Track responses: hits, searches without items (marker row) and hits without features (dropped)."""
+    """Track responses: hits with all features, searches without items (marker row) and hits without features (dropped)."""
     size = F.col("p_size")
     item = F.struct(F.concat(F.lit("id"), F.col("p_partkey").cast("string")).alias("id"), F.struct(F.col("p_type").alias("name")).alias("album"))
     items = F.when(size > 45, F.filter(F.array(item), lambda _: F.lit(False))).otherwise(F.array(item))
     body = F.to_json(F.struct(F.struct(items.alias("items")).alias("tracks")))
-    features = F.when((size > 5) & (size <= 45), F.to_json(F.struct((size / 50.0).alias("energy"))))
-    stored = inp.table(spark, path, "part").select("p_partkey", body.alias("r"), features.alias("f"))
-    parsed = F.from_json("f", "energy double")
-    hit = stored.select("p_partkey", responses.track_hit(F.col("r"), F.col("f")).alias("h"), parsed.alias("f"))
-    return hit.filter("h.keep").select("p_partkey", F.col("h.album").alias("album"), F.col("h.id").alias("id_pista"), F.col("f.energy").alias("energy"))
+    values = F.struct(*[((size + i) / 50.0).alias(f) for i, f in enumerate(FEATURES)])
+    stored = inp.table(spark, path, "part").select("p_partkey", body.alias("r"), F.when((size > 5) & (size <= 45), F.to_json(values)).alias("f"))
+    hit = stored.select("p_partkey", responses.track_hit(F.col("r"), F.col("f")).alias("h"))
+    return hit.filter("h.keep").select("p_partkey", F.col("h.album").alias("album"), F.col("h.id").alias("id_pista"), *[f"h.{f}" for f in FEATURES])
 
 
 _ANCHOR = r"(?is)<a\s(?:[^>]*\s)?href\b[^>]*>(.*?)</a\s*>"

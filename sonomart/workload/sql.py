@@ -56,7 +56,7 @@ artist_info AS (
   SELECT 'Brand#' || s_nationkey AS nombre,
          CASE WHEN s_acctbal < 0 THEN NULL WHEN s_acctbal > 5000 THEN 'Group' ELSE 'Person' END AS tipo, n_name AS pais
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
-  QUALIFY row_number() OVER (PARTITION BY nombre ORDER BY tipo NULLS FIRST, pais) = 1),
+  QUALIFY row_number() OVER (PARTITION BY nombre ORDER BY tipo NULLS LAST, pais NULLS LAST) = 1),
 artist_genre AS (
   SELECT 'Brand#' || n_nationkey AS nombre, nullif(r_name, 'AFRICA') AS genero
   FROM nation JOIN region ON n_regionkey = r_regionkey),
@@ -80,7 +80,7 @@ album_info AS (
          CASE WHEN p_size > 10 THEN 'Label ' || p_size END AS productora,
          CASE WHEN p_size = 13 THEN NULL ELSE p_size + 1950 END AS anyo
   FROM part
-  QUALIFY row_number() OVER (PARTITION BY nombre, artista ORDER BY productora NULLS FIRST, anyo NULLS FIRST) = 1),
+  QUALIFY row_number() OVER (PARTITION BY nombre, artista ORDER BY productora NULLS LAST, anyo NULLS LAST) = 1),
 dim_album AS (
   SELECT -1 AS idAlbum, 'Desconocido' AS nombre, 'Desconocido' AS artista, 'Desconocido' AS productora, -1 AS anyo
   UNION ALL

@@ -17,7 +17,7 @@ def test_dense_ids_equal_row_number(spark):
     df = spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("a"), (F.col("id") % 7).alias("b"))
     df = df.unionAll(spark.sql("SELECT CAST(NULL AS string) AS a, 1L AS b"))
     want = df.withColumn("n", F.row_number().over(Window.orderBy("a", "b")))
-    got = keys.dense_ids(df, "n", ["a", "b"], single_partition_bytes=0)
+    got = keys.dense_ids(df, "n", ["a", "b"])
     assert rows(got) == rows(want)
     assert rows(keys.dense_ids(df, "n", ["a", "b"])) == rows(want)
 

@@ -53,7 +53,7 @@ def test_query_filter_reaches_the_stored_base(spark, star):
 
 def test_range_ids_need_no_single_partition_over_rows(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("k"))
-    text = plan(keys.dense_ids(df, "n", ["k"], single_partition_bytes=0))
+    text = plan(keys.dense_ids(df, "n", ["k"]))
     assert "Sort [k" not in text  # rows are not sorted again after the staged write
 
 

@@ -59,7 +59,7 @@ def test_scan_reports_unreadable_files(spark, tmp_path):
 
 def test_user_files_prefer_export_folders(spark, tmp_path):
     base = f"{tmp_path}/exports"
-    put(f"{base}/ANA/MusicAccountData/Userdata.json", {})
+    put(f"{base}/ANA/SpotifyAccountData/Userdata.json", {})
     put(f"{base}/ANA/MyData/Userdata.json", {})
     put(f"{base}/ANA/Userdata.json", {})
     put(f"{base}/BOB/MyData/Playlist1.json", {})
@@ -69,7 +69,7 @@ def test_user_files_prefer_export_folders(spark, tmp_path):
     files = landing.user_files(landing.list_files(spark, base), "exports")
     got = sorted((r["usuario"], r["kind"], r["path"].split("/exports/")[1]) for r in files.collect())
     assert got == [
-        ("ANA", "profile", "ANA/MusicAccountData/Userdata.json"),
+        ("ANA", "profile", "ANA/SpotifyAccountData/Userdata.json"),
         ("BOB", "playlist", "BOB/MyData/Playlist1.json"),
         ("EVA", "history", "EVA/StreamingHistory_music_3.json"),
     ]
@@ -84,6 +84,9 @@ def test_landing_skips_and_forces(spark, tmp_path):
     assert sorted(column(spark.read.parquet(target), "x")) == [1, 2, 3]
     landing.land_records(two, target, force=True)
     assert sorted(column(spark.read.parquet(target), "x")) == [2, 3, 9]
+    # Forcing one file leaves the other files of the user alone.
+    landing.land_records(two.filter("archivo = 'f1'").withColumn("x", two["x"] + 1), target, force=True)
+    assert sorted(column(spark.read.parquet(target), "x")) == [2, 3, 10]
 
 
 def test_json_sink_and_gate(spark, tmp_path):

@@ -168,7 +168,7 @@ def test_unknown_artist_is_merged_into_the_unknown_member(spark):
     info = spark.createDataFrame([], "nombre string, tipo string, pais string")
     genres = spark.createDataFrame([("X", None), ("X", "pop")], "nombre string, genero string")
     out = sorted(map(tuple, d.dim_artista(cat, info, genres).collect()))
-    assert out == [(-1, *["Desconocido"] * 4), (1, "X", "Desconocido", "Desconocido", "Desconocido")]
+    assert out == [(-1, *["Desconocido"] * 4), (1, "X", "Desconocido", "Desconocido", "pop")]
 
 
 def test_linkage_does_not_depend_on_partitioning(spark):
