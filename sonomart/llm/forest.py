@@ -43,7 +43,7 @@ SHINGLE_WORDS = 5
 MIN_PERCENT = 80
 TREES, MIN_DEPTH, DEPTH = 20, 4, 8
 COMPONENTS = TREES * MIN_DEPTH
-WINDOW, NEAR = 32, 2
+WINDOW, NEAR = 32, 1
 PIVOT_DEPTHS = (4, 8)
 BATCH_BYTES = 1 << 20
 # Rows of 40 bytes; more class representatives are joined through the shuffle.
@@ -273,9 +273,10 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
     fullness = crowd.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("full"))
     score = crowd.join(fullness, ["tree", "key"]).groupBy("a").agg(F.sum("full").alias("score"))
     levels = F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), F.substring("key", 1, 4 * d).alias("prefix")) for d in PIVOT_DEPTHS]))
-    member = crowd.select("a", "na", "tree", levels.alias("l")).select("a", "na", "tree", "l.depth", "l.prefix")
+    member = crowd.join(score, "a").select("a", "na", "score", "tree", levels.alias("l")).select(
+        "a", "na", "score", "tree", "l.depth", "l.prefix")
     best = F.max(F.struct("score", F.col("a").alias("b"), F.col("na").alias("nb"))).alias("best")
-    pivots = member.join(score, "a").groupBy("tree", "depth", "prefix").agg(best).select("tree", "depth", "prefix", "best.b", "best.nb")
+    pivots = member.groupBy("tree", "depth", "prefix").agg(best).select("tree", "depth", "prefix", "best.b", "best.nb")
     spokes = member.join(pivots, ["tree", "depth", "prefix"]).filter(_size_filter(percent)).select("a", "b")
     pairs = pairs.union(spokes)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
