@@ -94,7 +94,7 @@ class Group:
 
 GROUPS = (
     Group("time", ("ANIO", "MES", "MESSTRING", "DIA", "ESTACION", "FINDE", "FESTIVO", "FRANJAHORARIA"),
-          hierarchies=(("ANIO", "MES", "DIA"),)),
+          hierarchies=(("ANIO", "MES", "DIA"),), bitmap=True),
     Group("music", ("ARTISTA_NOMBRE", "ARTISTA_GENERO", "ARTISTA_PAIS", "ARTISTA_TIPO", "ALBUM_NOMBRE",
                     "PRODUCTORA", "TITULO", "RANGODURACION", "PLAYLIST"),
           hierarchies=(("ARTISTA_NOMBRE", "ALBUM_NOMBRE", "TITULO"),)),
@@ -190,16 +190,24 @@ def _chunks(sets: Sequence[tuple[str, ...]]) -> list[list[tuple[str, ...]]]:
 def cuboids(base: DataFrame, dims: Sequence[str], sets: Sequence[tuple[str, ...]]) -> DataFrame:
     """All grouping sets of a staged base, with ``cuboid`` = grouping id over ``dims``.
 
-    Each chunk first shrinks the base to the dimensions it uses and expands only that.
+    Sets with the same heavy dimensions share a parent, which is aggregated once from the smallest parent
+    stored before that covers it, so only sets with all heavy dimensions read the base itself.
     """
     song, keep, distinct = _song_columns(base)
     types = {f.name: f.dataType for f in base.schema.fields}
+    chunks = _chunks(sets)
+    heavy = lambda chunk: tuple(h for h in HEAVY if h in chunk[0])
+    parents: dict[tuple[str, ...], DataFrame] = {tuple(dims): base}
     parts = []
-    for chunk in _chunks(sets):
-        used = [d for d in dims if any(d in s for s in chunk)]
-        small = base.groupBy(*used, song).agg(*_merged_partials(), *keep)
-        small = small.select(*[F.col(d) if d in used else F.lit(None).cast(types[d]).alias(d) for d in dims],
-                             song, *small.columns[len(used) + 1:])
+    for chunk in sorted(chunks, key=lambda c: -len(heavy(c))):
+        used = tuple(d for d in dims if any(d in s for c in chunks if heavy(c) == heavy(chunk) for s in c))
+        if used not in parents:
+            covering = [p for names, p in parents.items() if set(names) >= set(used)]
+            source = min(covering, key=estimated_bytes)
+            parents[used] = stage(source.groupBy(*used, song).agg(*_merged_partials(), *keep), "cuboid-parent")
+        small = parents[used]
+        rest = [c for c in small.columns if c not in dims and c != song]
+        small = small.select(*[F.col(d) if d in used else F.lit(None).cast(types[d]).alias(d) for d in dims], song, *rest)
         per_song = small.groupingSets([[*s, song] for s in chunk], *dims, song).agg(
             F.shiftright(F.grouping_id(), 1).alias("cuboid"), *_merged_partials(), *keep
         )
@@ -222,13 +230,9 @@ class Cube:
     model_filter: str | None = None
     bases: dict[str, DataFrame] = field(default_factory=dict)
 
-    def build(self, names: Iterable[str] | None = None, path: str | None = None, max_share: float = 1.0) -> "Cube":
-        """Materialise the bases of the named groups (all by default), below ``path`` if given.
-
-        A base with more than ``max_share`` rows per play does not shrink the fact; it is not used.
-        """
+    def build(self, names: Iterable[str] | None = None, path: str | None = None) -> "Cube":
+        """Materialise the bases of the named groups (all by default), below ``path`` if given."""
         wanted = set(names) if names is not None else {g.name for g in self.groups}
-        plays = None
         for g in self.groups:
             if g.name not in wanted:
                 continue
@@ -238,10 +242,6 @@ class Cube:
                 base = self.fact.sparkSession.read.schema(base.schema).parquet(f"{path}/{g.name}")
             else:
                 base = stage(base, "cube-" + g.name)
-            if max_share < 1.0:
-                plays = self.fact.count() if plays is None else plays
-                if base.count() > plays * max_share:
-                    continue
             self.bases[g.name] = base
         return self
 
@@ -256,7 +256,8 @@ class Cube:
 
     def write_cuboids(self, path: str) -> None:
         for g in self.groups:
-            self.cuboids(g.name).write.mode("overwrite").partitionBy("cuboid").parquet(f"{path}/{g.name}")
+            # Rebalanced by cuboid: few files each, however many tasks computed it.
+            self.cuboids(g.name).hint("rebalance", "cuboid").write.mode("overwrite").partitionBy("cuboid").parquet(f"{path}/{g.name}")
 
     def full_base(self) -> DataFrame:
         """Partials over all dimensions, the source for combinations no group covers."""

@@ -852,10 +852,14 @@ for _name in ("time", "music", "user"):
 
 
 @query("SELECT cuboid, count(*) AS celdas, sum(_COUNT_)::BIGINT AS plays, sum(CANCIONES_DISTINTAS)::BIGINT AS canciones, "
-       "round(sum(TEMPO_SUM), 2) AS tempo, sum(MSNOESCUCHADOS_SUM)::BIGINT AS ms FROM (" + _cuboid_sql(_G["cross"]) + ") GROUP BY cuboid")
+       "round(sum(TEMPO_SUM), 2) AS tempo, sum(MSNOESCUCHADOS_SUM)::BIGINT AS ms, "
+       f"sum(('0x' || md5(concat_ws('|', {', '.join(_G['cross'].dims)}, _COUNT_, CANCIONES_DISTINTAS))[1:8])::BIGINT)::BIGINT AS huella FROM (" + _cuboid_sql(_G["cross"]) + ") GROUP BY cuboid")
 def cube_cross(spark, path):
-    """All cuboids of the crossed group, one control line per cuboid."""
-    return _rounded(_cube(spark, path).cuboids("cross").groupBy("cuboid").agg(
+    """All cuboids of the crossed group, one control line per cuboid with a digest of every cell."""
+    cells = _as_text(_cube(spark, path).cuboids("cross"), _G["cross"].dims)
+    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *_G["cross"].dims, "_COUNT_", "CANCIONES_DISTINTAS")), 1, 8), 16, 10).cast("bigint")
+    return _rounded(cells.groupBy("cuboid").agg(
+        F.sum(digest).alias("huella"),
         _count().alias("celdas"), F.sum("_COUNT_").alias("plays"), F.sum("CANCIONES_DISTINTAS").alias("canciones"),
         F.sum("TEMPO_SUM").alias("tempo"), F.sum("MSNOESCUCHADOS_SUM").alias("ms")), 2)
 
