@@ -40,8 +40,9 @@ def lookup_left(
     A lookup under Spark's broadcast limit is left to Spark. For a larger one, rows of hot keys take
     their values from a broadcast of at most ``max_hot`` lookup rows. In the shuffle join these rows,
     and rows that cannot match because a key is null, carry no key but a hash of the whole row, so
-    they spread evenly over all tasks (other rows carry the hash of their key, as the lookup does). The facts are read once; ``count_from`` may name a cheaper
-    frame with the same key columns to count the keys of.
+    they spread evenly over all tasks (other rows carry the hash of their key, as the lookup does). Only
+    an oversized lookup costs a second read of the facts, for their keys; ``count_from`` may name a cheaper
+    frame with the same key columns to count.
     """
     keys = list(keys)
     if split is None:

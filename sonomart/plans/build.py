@@ -1,4 +1,4 @@
-"""The whole warehouse in one application: keys, linkage, landing, dimensions, fact, audits."""
+"""The whole warehouse in one application: keys, linkage, dimensions, fact, audits."""
 
 from __future__ import annotations
 

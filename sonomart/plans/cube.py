@@ -92,6 +92,7 @@ class Group:
         return sorted(set(found), key=lambda s: (-len(s), [self.dims.index(d) for d in s]))
 
 
+# The aggregation groups of the cube.
 GROUPS = (
     Group("time", ("ANIO", "MES", "MESSTRING", "DIA", "ESTACION", "FINDE", "FESTIVO", "FRANJAHORARIA"),
           hierarchies=(("ANIO", "MES", "DIA"),), bitmap=True),

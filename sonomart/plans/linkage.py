@@ -28,7 +28,7 @@ NORM = ("cancion_norm", "artista_norm")
 
 @dataclass(frozen=True)
 class Origins:
-    """Values of ``origen``. Title-only matches have their own, so reports can tell them apart."""
+    """Fixed values of ``origen``. Title-only matches have their own, so reports can tell them apart."""
 
     history: str = "historico"
     catalogue: str = "kaggle"
