@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sonomart.llm.components import components
@@ -45,8 +45,8 @@ TREES, MIN_DEPTH, DEPTH = 20, 4, 8
 COMPONENTS = TREES * MIN_DEPTH
 WINDOW, NEAR = 32, 1
 PIVOT_DEPTHS = (4, 8)
-# Pivots that members of a crowd meet which the first one did not draw in.
-PIVOTS = 64
+# Scores differ by up to this share between groups of trees, so that trees take different pivots among near equals.
+PIVOT_SPREAD, PIVOT_DRAWS = 0.15, 4
 BATCH_BYTES = 1 << 20
 # Rows of 40 bytes; more class representatives are joined through the shuffle.
 BROADCAST_ROWS = 500_000
@@ -258,9 +258,8 @@ def _size_filter(percent: int) -> str:
     return f"least(na, nb) * 100 >= greatest(na, nb) * {percent} and a <> b"
 
 
-def candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """From the forest over ``classes`` (node, n_shingles, signature): distinct candidate pairs (a, b), a < b, and the
-    members of crowded regions (a, na, score, tree, region)."""
+def candidates(classes: DataFrame, percent: int) -> DataFrame:
+    """Distinct candidate pairs (a, b), a < b, from the forest over ``classes`` (node, n_shingles, signature)."""
     order = ["tree", "key", "node"]
     rows = classes.mapInArrow(_tree_rows, "tree int, key binary, node binary, n long")
     found = stage(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(percent, True), _FOUND),
@@ -276,34 +275,16 @@ def candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     fullness = crowd.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("full"))
     score = crowd.join(fullness, ["tree", "key"]).groupBy("a").agg(F.sum("full").alias("score"))
     levels = F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), F.substring("key", 1, 4 * d).alias("prefix")) for d in PIVOT_DEPTHS]))
-    scored = stage(crowd.join(score, "a").select("a", "na", "score", "tree", "key"), "forest-scored")
+    draw = F.pmod(F.xxhash64("a", F.col("tree") % PIVOT_DRAWS), F.lit(1 << 20)) / float(1 << 20)
+    scored = crowd.join(score, "a").withColumn("score", F.col("score") * (1 + PIVOT_SPREAD * draw))
     member = scored.select("a", "na", "score", "tree", levels.alias("l")).select("a", "na", "score", "tree", "l.depth", "l.prefix")
     best = F.max(F.struct("score", F.col("a").alias("b"), F.col("na").alias("nb"))).alias("best")
     pivots = member.groupBy("tree", "depth", "prefix").agg(best).select("tree", "depth", "prefix", "best.b", "best.nb")
     spokes = member.join(pivots, ["tree", "depth", "prefix"]).filter(_size_filter(percent)).select("a", "b")
-    members = scored.select("a", "na", "score", "tree", F.substring("key", 1, 4 * MIN_DEPTH).alias("region"))
-    return _ordered_pairs(pairs.union(spokes)), members
-
-
-def _ordered_pairs(pairs: DataFrame) -> DataFrame:
+    pairs = pairs.union(spokes)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _stragglers(members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of crowd members that are still apart from the best pivot of their region: they meet
-    the ``PIVOTS`` best ones. Few are left where a crowd is one group, so few pairs arise."""
-    best = Window.partitionBy("tree", "region").orderBy(F.desc("score"), "a")
-    pivots = members.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= PIVOTS)
-    # At most PIVOTS rows a region.
-    pivots = pivots.join(roots.toDF("a", "pivot_root"), "a", "left").withColumn("pivot_root", F.coalesce("pivot_root", "a"))
-    pivots = stage(pivots, "forest-pivots").select("tree", "region", F.col("a").alias("b"), F.col("na").alias("nb"), "place", "pivot_root")
-    first = pivots.filter("place = 1").select("tree", "region", "pivot_root")
-    rooted = members.join(roots.toDF("a", "root"), "a", "left").withColumn("root", F.coalesce("root", "a"))
-    left = rooted.join(first, ["tree", "region"]).filter("root <> pivot_root").drop("pivot_root")
-    met = left.join(pivots.filter("place > 1"), ["tree", "region"]).filter("root <> pivot_root").filter(_size_filter(percent))
-    return _ordered_pairs(met.select("a", "b"))
-
-
 def _agreeing(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -367,9 +348,8 @@ def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT, k: int = SHINGL
         both = found.join(signatures.toDF("a", "sa"), "a").join(signatures.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
         return stage(both.mapInArrow(_agreeing(least_agreement(percent)), "a binary, b binary, agree int"), "forest-pairs")
 
-    found, crowds = candidates(classes.select("node", "n_shingles", "signature"), percent)
-    pairs = agreeing(found)
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowds.select("a")).distinct()
+    pairs = agreeing(candidates(classes.select("node", "n_shingles", "signature"), percent))
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = stage(classes.join(ends, "node", "left_semi").select(
         "node", F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")), "forest-wanted")
     small = wanted.count() <= BROADCAST_ROWS
@@ -382,13 +362,11 @@ def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT, k: int = SHINGL
     likeliest = ways.groupBy("node").agg(F.max(F.struct("agree", "a", "b")).alias("best")).select("best.a", "best.b").distinct()
     links = stage(_confirm(likeliest, texts, percent, k), "forest-links")
     roots = components(links)
-    # Round two: every other pair whose ends are still apart, and stragglers of the crowds.
+    # Round two: every other pair whose ends are still apart.
     ra, rb = roots.toDF("a", "ra"), roots.toDF("b", "rb")
     apart = pairs.join(likeliest, ["a", "b"], "left_anti").join(ra, "a", "left").join(rb, "b", "left").filter(
         "coalesce(ra, a) <> coalesce(rb, b)")
-    late = agreeing(_stragglers(crowds, roots, percent))
-    open_pairs = apart.select("a", "b").union(late.select("a", "b")).distinct()
-    more = stage(_confirm(open_pairs, texts, percent, k), "forest-links")
+    more = stage(_confirm(apart, texts, percent, k), "forest-links")
     joined = more.join(ra, "a", "left").join(rb, "b", "left").selectExpr("coalesce(ra, a) AS a", "coalesce(rb, b) AS b")
     # Only roots meet again, so the second search is as small as what round one left open.
     tops = components(joined).toDF("root", "top")
