@@ -202,3 +202,18 @@ def test_declared_tables(spark):
         assert len(made) == 2
     finally:
         spark.sql("USE default")
+
+
+def test_linkage_without_catalogues_and_first_row_wins(spark, tmp_path):
+    from sonomart.plans.build import BuildConfig, CatalogueSource, linked_catalogue
+
+    history = spark.createDataFrame([("Song", "Band"), ("Other", "Nobody")], "trackName string, artistName string")
+    absent = CatalogueSource(f"{tmp_path}/absent.csv", "name", "artists", "album")
+    for catalogues in ((), (absent,)):
+        rows = linked_catalogue(spark, BuildConfig(users=str(tmp_path), catalogues=catalogues), history).collect()
+        assert {(r["cancion"], r["origen"], r["energy"]) for r in rows} == {("Song", "sintetico_global", None), ("Other", "sintetico_global", None)}
+    (tmp_path / "cat.csv").write_text("name,artists,album,energy\nSong,['Band'],Z,0.5\nsong,['band'],A,0.1\n")
+    there = CatalogueSource(f"{tmp_path}/cat.csv", "name", "artists", "album")
+    rows = linked_catalogue(spark, BuildConfig(users=str(tmp_path), catalogues=(absent, there)), history).collect()
+    found = {r["cancion"]: r for r in rows}
+    assert (found["Song"]["album"], found["Song"]["energy"], found["Song"]["origen"]) == ("Z", 0.5, "kaggle")
