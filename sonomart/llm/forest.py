@@ -8,12 +8,19 @@ together and the longest common prefixes are neighbours. Depth adapts to the reg
 * in a denser region, a class meets its nearest neighbours in order, which share the deepest prefixes, and the
   pivot of its region at several depths. A pivot is the member that shares the fullest prefixes with most
   others over all trees, the original of a crowd of copies, so a crowd of any size costs a constant number of
-  candidates per member.
+  candidates per member. What these few candidates link collapses; members of crowds that are still in different
+  components then meet in an exact join, so no link inside a crowd is lost.
 
 Orders are range-partitioned by the whole key and node, so a region may cross tasks; what stands at the seams
 meets in a second small pass. Candidates are thinned by set sizes and signatures and confirmed on full shingle
 sets: first each class with its likeliest partner, then, among pairs that are still in different components, the
-rest. So the texts that travel are few, and no pair is enumerated within a large group.
+rest, and last what the join of the crowds finds. So the texts that travel are few, and no pair is enumerated within
+a large group.
+
+The join of the crowds is a prefix filter: shingles of a set stand in one order, rare ones first, and two sets of
+enough overlap share one of their first shingles, whose places bound the overlap. The order comes from a table of
+counts of fixed size; any order is exact, a good one is fast. Shingles that only one component holds are left out
+before the join, and pairs within the largest component of a shingle are never formed.
 
 Two sets of similarity ``s`` share a region in some tree with probability ``1 - (1 - s**4)**20``: a miss is one in
 two million at 0.85 and one in forty thousand at 0.8. Links are never false: the test on full sets is exact in integers.
@@ -48,6 +55,8 @@ PIVOT_DEPTHS = (4, 8)
 # Scores differ by up to this share between groups of trees, so that trees take different pivots among near equals.
 PIVOT_SPREAD, PIVOT_DRAWS = 0.15, 4
 BATCH_BYTES = 1 << 20
+# Counts that order the shingles of crowds; 4 MB in every task.
+COUNT_BITS = 20
 # Rows of 40 bytes; more class representatives are joined through the shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -258,8 +267,9 @@ def _size_filter(percent: int) -> str:
     return f"least(na, nb) * 100 >= greatest(na, nb) * {percent} and a <> b"
 
 
-def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Distinct candidate pairs (a, b), a < b, from the forest over ``classes`` (node, n_shingles, signature)."""
+def candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct candidate pairs (a, b), a < b, from the forest over ``classes`` (node, n_shingles, signature), and the
+    nodes of all crowded regions."""
     order = ["tree", "key", "node"]
     rows = classes.mapInArrow(_tree_rows, "tree int, key binary, node binary, n long")
     found = stage(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(percent, True), _FOUND),
@@ -282,7 +292,67 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
     pivots = member.groupBy("tree", "depth", "prefix").agg(best).select("tree", "depth", "prefix", "best.b", "best.nb")
     spokes = member.join(pivots, ["tree", "depth", "prefix"]).filter(_size_filter(percent)).select("a", "b")
     pairs = pairs.union(spokes)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs, crowd.select(F.col("a").alias("node")).distinct()
+
+
+def _slot(h: np.ndarray) -> np.ndarray:
+    return (h >> _U(64 - COUNT_BITS)).astype(np.int64)
+
+
+def _slot_counts(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << COUNT_BITS, np.int64)
+        for whole in batches:
+            for batch in _batches(whole, "text"):
+                np.add.at(counts, _slot(shingles(batch.column("text").to_pylist(), k)[1]), 1)
+        filled = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(filled), pa.array(counts[filled])], names=["slot", "n"])
+    return run
+
+
+_POSTING = "shingle long, node binary, root binary, n long, at long, first boolean"
+
+
+def _prefixes(counts: np.ndarray, percent: int, k: int):
+    """Rows of the first shingles of every set, rare ones first; ``first``: within the prefix towards sets not smaller."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in _batches(whole, "text"):
+                owner, h = shingles(batch.column("text").to_pylist(), k)
+                order = np.lexsort((h, counts[_slot(h)], owner))
+                owner, h = owner[order], h[order]
+                n = np.bincount(owner, minlength=batch.num_rows)
+                at = np.arange(len(h)) - (np.cumsum(n) - n)[owner]
+                size = n[owner]
+                take = at <= size + (-percent * size // 100)
+                first = at <= size + (-2 * percent * size // (100 + percent))
+                owner, row = owner[take], pa.array(owner[take])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[take].view(np.int64)), batch.column("node").take(row), batch.column("root").take(row),
+                     pa.array(size[take].astype(np.int64)), pa.array(at[take].astype(np.int64)), pa.array(first[take])],
+                    names=["shingle", "node", "root", "n", "at", "first"])
+    return run
+
+
+def crowd_pairs(crowd: DataFrame, percent: int, k: int) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of rows (node, text, root) with unequal roots: all that can be similar enough."""
+    counts = np.zeros(1 << COUNT_BITS, np.uint32)
+    # At most as many rows as the table has counts.
+    slots = crowd.select("text").mapInArrow(_slot_counts(k), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts[slots["slot"].to_numpy()] = np.minimum(slots["n"].to_numpy(), (1 << 32) - 1)
+    rows = stage(crowd.select("node", "text", "root").mapInArrow(_prefixes(counts, percent, k), _POSTING), "forest-prefixes")
+    shares = rows.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("rows"))
+    mixed = shares.groupBy("shingle").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("rows", "root")).alias("main"))
+    mixed = mixed.filter("roots > 1").select("shingle", F.col("main.root").alias("main"))
+    live = stage(rows.join(mixed, "shingle").withColumn("in_main", F.col("root") == F.col("main")).drop("main"), "forest-live")
+    x = live.filter("first").select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("node", "root", "n", "at", "in_main")])
+    y = live.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "root", "n", "at", "in_main")])
+    near = F.expr(f"""root_a <> root_b AND (n_a < n_b OR (n_a = n_b AND node_a < node_b)) AND n_a * 100 >= n_b * {percent}
+        AND (least(n_a - at_a, n_b - at_b)) * {100 + percent} >= {percent} * (n_a + n_b)""")
+    found = [left.join(right, "shingle").filter(near).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+             for left, right in ((x.filter("NOT in_main"), y), (x.filter("in_main"), y.filter("NOT in_main")))]
+    return found[0].union(found[1]).distinct()
 
 
 def _agreeing(least: int):
@@ -348,8 +418,9 @@ def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT, k: int = SHINGL
         both = found.join(signatures.toDF("a", "sa"), "a").join(signatures.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
         return stage(both.mapInArrow(_agreeing(least_agreement(percent)), "a binary, b binary, agree int"), "forest-pairs")
 
-    pairs = agreeing(candidates(classes.select("node", "n_shingles", "signature"), percent))
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    found, crowd = candidates(classes.select("node", "n_shingles", "signature"), percent)
+    pairs = agreeing(found)
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowd).distinct()
     wanted = stage(classes.join(ends, "node", "left_semi").select(
         "node", F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")), "forest-wanted")
     small = wanted.count() <= BROADCAST_ROWS
@@ -371,9 +442,20 @@ def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT, k: int = SHINGL
     # Only roots meet again, so the second search is as small as what round one left open.
     tops = components(joined).toDF("root", "top")
 
+    def raised(named: DataFrame, tops: DataFrame) -> DataFrame:
+        return named.join(tops, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
+
+    # Round three: members of crowds that are still apart meet exactly.
+    members = texts.join(crowd, "node", "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    members = stage(raised(members, tops).select("node", "text", "root"), "forest-members")
+    last = stage(_confirm(agreeing(crowd_pairs(members, percent, k)), texts, percent, k), "forest-links")
+    at = members.select("node", "root")
+    last = last.join(at.toDF("a", "ra"), "a").join(at.toDF("b", "rb"), "b").selectExpr("ra AS a", "rb AS b")
+    ends_of = components(last).toDF("root", "top")
+
     least = F.min(F.struct(F.col("first.none").alias("none"), F.col("first.doc_id").alias("id"))).alias("least")
     named = classes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
-    named = named.join(tops, "root", "left").select("node", "first", F.coalesce("top", "root").alias("root"))
+    named = raised(raised(named, tops), ends_of)
     groups = named.groupBy("root").agg(least)
     ids = named.select("node", "root").join(groups, "root").select("node", F.col("least.id").alias("group_id"), F.lit(True).alias("found"))
     out = signed.select("doc_id", "text_key", "n_shingles", "node").join(ids, "node", "left")

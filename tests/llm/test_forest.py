@@ -80,3 +80,14 @@ def test_long_chain_of_links(spark):
     rows = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5)]
     got = {r.node: r.root for r in components(spark.createDataFrame(rows, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(301)} | {i: 1000 for i in range(1000, 1200)}
+
+
+def test_pairs_in_a_crowd_that_shares_a_passage(documents):
+    rng = random.Random(8)
+    passage, rows = text(rng, 104), []  # 100 shared shingles, then 8 of each pair and 8 of each document
+    for pair in range(400):
+        own = text(rng, 8)
+        rows += [(2 * pair + i, f"{passage} {own} " + " ".join(f"p{2 * pair + i}x{j}" for j in range(8))) for i in range(2)]
+    rng.shuffle(rows)
+    got = {r.doc_id: r.component_id for r in forest.near_duplicates(documents(rows), 85).collect()}
+    assert got == {i: i - i % 2 for i in range(800)}
