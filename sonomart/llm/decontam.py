@@ -13,21 +13,29 @@ adaptive execution splits hot seeds.
 Defined results
 ---------------
 * Null or empty documents and items never match. Empty tables give an empty result.
-* Items shorter than a mask are matched as a whole by a seed of their own length.
+* Every alignment that the verifier accepts meets a seed: ``SEEDS`` for items of ``SHORT_ITEM`` words or more, masks
+  enumerated for their length for shorter ones.
 * Repeated rows and repeated ids are reported once per (document id, item id).
 * Only the named columns are read; ``drop_contaminated`` keeps all columns and judges each row by its own text.
 """
 
 from __future__ import annotations
 
+import math
+from functools import lru_cache
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sonomart.operators.staging import stage
 
 SEPARATOR = r"[^\p{L}\p{N}]+"
-# 1: compared, 0: ignored. Runs of eight, every third word, every fourth word, a burst in the middle.
+# 1: compared, 0: ignored. The masks of the SQL twin: runs of eight, every third word, every fourth word, a burst.
 MASKS = ("11111111", "11011011011", "1110111011", "111100001111")
+# A cover by enumeration: any 11 of 16 words, and any 65 % of 12 to 15, hold one of these at some place.
+SEEDS = ("11101", "1010011", "1100000011", "110100000001", "1111")
+SEED_WORDS, SHORT_ITEM = 4, 12
 # A verified overlap: within this many aligned words (or the whole shorter item) this share of them is equal.
 OVERLAP_WORDS = 16
 EQUAL_SHARE = 0.65
@@ -39,25 +47,52 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATOR), "")
 
 
-def _seed(words: Column, at: Column, n: Column, mask: str, exact: bool) -> Column:
-    """Hash of the masked window at ``at``; null where it would leave the text."""
+def least_equal(n: int, share: float = EQUAL_SHARE, overlap_words: int = OVERLAP_WORDS) -> int:
+    return math.ceil(min(n, overlap_words) * share)
+
+
+@lru_cache(maxsize=None)
+def cover(n: int, least: int) -> tuple[str, ...]:
+    """Masks such that any ``least`` of ``n`` words hold one of them, chosen greedily."""
+    weight = max(1, min(SEED_WORDS, least))
+    patterns = [sum(1 << i for i in c) for c in combinations(range(n), least)]
+    met = {}
+    for c in combinations(range(n), weight):
+        if c[0] == 0:
+            bits = sum(1 << i for i in c)
+            met[bits] = {p for p in patterns if any(p >> at & bits == bits for at in range(n - c[-1]))}
+    left, out = set(patterns), []
+    while left:
+        best = max(met, key=lambda bits: len(met[bits] & left))
+        left -= met[best]
+        out.append(f"{best:b}"[::-1])
+    return tuple(out)
+
+
+def _seed(words: Column, at: Column, n: Column, mask: str, length: int | None = None) -> Column:
+    """Hash of the masked window at ``at``; null where it would leave the text, or if the text has another ``length``."""
     picked = [F.get(words, at + i) for i, bit in enumerate(mask) if bit == "1"]
-    inside = (at == 0) & (n == len(mask)) if exact else at + len(mask) <= n
+    inside = at + len(mask) <= n
+    if length is not None:
+        inside = inside & (n == length)
     return F.when(inside, F.xxhash64(F.lit(mask), *picked))
 
 
-def _seeds(rows: DataFrame, masks, short=(), items: bool = False) -> DataFrame:
-    """Rows (…, at, seed) for every position; whole-item masks apply to items of just that length."""
-    first = min([len(m) for m in masks] + [len(m) for m in short])
+def _seeds(rows: DataFrame, masks, short: dict[int, tuple[str, ...]], items: bool = False) -> DataFrame:
+    """Rows (…, at, seed) for every position; masks of short items apply to items of just that length."""
+    extra = sorted({m for ms in short.values() for m in ms} - set(masks))
+    first = min(len(m) for m in [*masks, *extra])
     spots = F.when(F.col("n") >= first, F.sequence(F.lit(0), F.col("n") - first))
     placed = rows.select("*", F.explode(spots).alias("at"))
     words, at, n = F.col("words"), F.col("at"), F.col("n")
-    hashes = [_seed(words, at, n, m, False) for m in masks] + [_seed(words, at, n, m, items) for m in short]
+    hashes = [_seed(words, at, n, m) for m in masks]
+    hashes += [_seed(words, at, n, m, k) for k, ms in short.items() for m in ms if m not in masks] if items else [
+        _seed(words, at, n, m) for m in extra]
     return placed.select("*", F.explode(F.array(*hashes)).alias("seed")).filter(F.col("seed").isNotNull())
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text_col: str = "text", masks=MASKS,
+                 item_col: str = "item_id", item_text_col: str = "text", masks=SEEDS,
                  overlap_words: int = OVERLAP_WORDS, equal_share: float = EQUAL_SHARE,
                  broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
     """Rows (doc_id, text_hash, item_id, matched, item_words, at): verified overlaps.
@@ -66,8 +101,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     items = benchmark.select(F.col(item_col).alias("item_id"), words_of(F.col(item_text_col)).alias("words"))
     items = stage(items.select("*", F.size("words").alias("n")).filter("n > 0").distinct(), "decontam-items")
-    span = max(len(m) for m in masks)
-    short = ["1" * r["n"] for r in items.filter(F.col("n") < span).select("n").distinct().orderBy("n").collect()]
+    lengths = items.filter(F.col("n") < SHORT_ITEM).select("n").distinct().orderBy("n").collect()
+    short = {r["n"]: cover(r["n"], least_equal(r["n"], equal_share, overlap_words)) for r in lengths}
     seeds = stage(_seeds(items, masks, short, True).select("seed", "item_id", F.col("at").alias("item_at"),
                                                            F.col("n").alias("item_n")).distinct(), "decontam-seeds")
     small = seeds.count() <= broadcast_seeds

@@ -32,3 +32,34 @@ def test_drop_keeps_columns_and_clean_rows(spark, documents):
     kept = decontam.drop_contaminated(df, bench)
     assert kept.columns == df.columns
     assert sorted(str(r.text) for r in kept.collect()) == ["None", "clean text with the same id"]
+
+
+def test_seeds_meet_all_that_the_verifier_accepts():
+    for n in range(1, 17):
+        least = decontam.least_equal(n)
+        masks = decontam.SEEDS if n >= decontam.SHORT_ITEM else decontam.cover(n, least)
+        bits = [(int(m[::-1], 2), len(m)) for m in masks]
+        for pattern in (p for p in range(1 << n) if p.bit_count() == least):
+            assert any(pattern >> at & m == m for m, size in bits for at in range(n - size + 1)), (n, bin(pattern))
+
+
+def test_equals_alignment_without_seeds(spark, documents):
+    rng = __import__("random").Random(3)
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(n))) for k, n in enumerate([1, 2, 3, 4, 5, 7, 8, 10, 10, 11, 12, 14, 15, 16, 20, 30, 59])]
+    texts = []
+    for _, item in items:
+        words = item.split()
+        texts += [" ".join(swapped(words, 5))]
+        for share in (0.6, 0.7, 0.8):
+            texts.append("before it " + " ".join(w if rng.random() < share else "other" for w in words) + " behind")
+
+    def accepted(doc, item):
+        wide = min(16, len(item))
+        for diagonal in range(-len(item), len(doc)):
+            equal = [0 <= diagonal + i < len(doc) and doc[diagonal + i] == w for i, w in enumerate(item)]
+            if any(sum(equal[i:i + wide]) >= decontam.least_equal(len(item)) for i in range(len(item) - wide + 1)):
+                return True
+        return False
+
+    want = {(i, k) for i, t in enumerate(texts) for k, item in items if accepted(t.split(), item.split())}
+    assert found(spark, documents, texts, items) == want
