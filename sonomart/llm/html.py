@@ -8,6 +8,8 @@ reads them: no shuffle, and one page in memory at a time.
 * Scripts, styles, comments of the markup, hidden parts, and the head never make blocks.
 * Blocks inside menus, headers and footers of the page, sidebars, forms, adverts, notices and reader
   comments are bad, told by element, or by the words of ``class`` and ``id``.
+  A class or id never puts away ``article``, ``main``, or what holds most of the page's text.
+  A class or id never puts away ``article``, ``main``, or what holds most of the page's text.
 * Where a page marks its content (``article`` or ``main``), blocks outside are bad, and inside only link lists
   are; undecided blocks look for neighbours inside. A content element without any decided block is good.
 * Elsewhere: many links bad; short undecided; long with common words good, with few bad.
@@ -15,7 +17,8 @@ reads them: no shuffle, and one page in memory at a time.
 Defined results
 ---------------
 * Null or empty html gives an empty text. Broken markup is read as far as it goes: an open tag at the end
-  is dropped, open elements end with the page.
+  is dropped, open elements end with the page. Of scripts and styles nothing is read; other skipped elements that
+  are never closed end at the next block, and self-closing ones at once.
 * One row per page row, repeated ids included; only the named columns are read. An empty table gives no row.
 """
 
@@ -39,7 +42,7 @@ STOP_WORDS = frozenset(
 
 RAW = "script|style|noscript|template|svg|iframe|object|canvas|title|textarea|select|audio|video|math"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+>?.*?(?:</(?P=raw)\s*+>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+>?"
     r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?P<end>>?)"
     r"|<[!?/][^>]*+>?|[^<]++|<", re.S | re.I)
 BREAKS = frozenset(
@@ -50,6 +53,12 @@ BREAKS = frozenset(
 NESTED = frozenset(
     "address article aside blockquote body button details dialog div dl fieldset figure footer form header main menu nav ol "
     "section span table ul head".split())
+# Elements without markup inside; open ones reach to the end of the page.
+PLAIN = frozenset(("script", "style"))
+SKIPPED = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(?P<plain>script|style)\b(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+>?.*?(?:</(?P=plain)\s*+>|\Z)"
+    rf"|<(?P<close>/?)(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+>?", re.S | re.I)
+BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(BREAKS))})\b", re.I)
 CONTENT = frozenset(("article", "main"))
 AWAY = frozenset("nav aside footer form button menu dialog fieldset head".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -73,41 +82,94 @@ class Block:
     heading: bool
     away: bool
     content: int  # number of the content element it stands in, 0 outside
+    named: tuple[int, ...] = ()  # elements around it whose class or id speaks against it
     label: str = ""
 
 
-def _is_away(tag: str, attrs: str, in_content: bool) -> bool:
+def _is_away(tag: str, attrs: str, in_content: bool) -> tuple[bool, bool]:
+    """Whether an element is hidden or no content by its kind, and whether its class, id or role says so."""
     if tag in AWAY or (tag == "header" and not in_content):
-        return True
+        return True, False
+    named = False
     for name, value in ATTRIBUTE.findall(attrs) if attrs else ():
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return True, False
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        if name in ("class", "id", "role") and tag not in ("body", "html") and not AWAY_WORDS.isdisjoint(PIECE.findall(value)):
-            return True
-    return False
+            return True, False
+        if name in ("class", "id", "role") and tag not in ("body", "html", *CONTENT) and not AWAY_WORDS.isdisjoint(PIECE.findall(value)):
+            named = True
+    return False, named
+
+
+def _skips(page: str) -> dict[int, int]:
+    """Where each skipped element of ``page`` ends, by where it starts."""
+    ends: dict[int, int] = {}
+    open_: dict[str, list[re.Match]] = {}
+    for token in SKIPPED.finditer(page):
+        if token["plain"]:
+            ends[token.start()] = token.end()
+        elif token["raw"]:
+            tag, same = token["raw"].lower(), open_.setdefault(token["raw"].lower(), [])
+            if token["close"]:
+                if same:
+                    ends[same.pop().start()] = token.end()
+            elif token[0].endswith("/>"):
+                ends[token.start()] = token.end()
+            elif tag not in PLAIN:
+                same.append(token)
+    block = before = len(page)
+    for token in sorted((t for same in open_.values() for t in same), key=re.Match.start, reverse=True):
+        found = BLOCK_TAG.search(page, token.end(), before)
+        block, before = found.start() if found else block, token.start()
+        ends[token.start()] = block
+    return ends
+
+
+def _tokens(page: str) -> Iterator[re.Match]:
+    """Tokens outside of skipped elements."""
+    at, ends = 0, _skips(page)
+    while at < len(page):
+        token = TOKEN.match(page, at)
+        at = token.end()
+        if token["raw"]:
+            at = max(at, ends.get(token.start(), at))
+        else:
+            yield token
+
+
+def _release(found: list[Block]) -> None:
+    """Put away what stands in elements that a class or id speaks against, but for those with most of the page's text."""
+    sizes: dict[int, int] = {}
+    seen = [b for b in found if not b.away]
+    for b in seen:
+        for k in b.named:
+            sizes[k] = sizes.get(k, 0) + len(b.text)
+    total = sum(len(b.text) for b in seen)
+    marked_outside = any(b.content and not b.named for b in seen)  # content elsewhere, so this may be its comments
+    most = {k for k, n in sizes.items() if 2 * n > total and not marked_outside}
+    for b in seen:
+        b.away = not most.issuperset(b.named)
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of text in page order, with where they stand."""
     out: list[Block] = []
     pieces: list[str] = []
-    stack: list[tuple[str, bool, int]] = []  # tag, away, content number
-    links, link_chars, heading, contents, breaks = 0, 0, False, 0, 0
+    stack: list[tuple[str, bool, int, tuple[int, ...]]] = []  # tag, away, content number, named elements
+    links, link_chars, heading, contents, breaks, names = 0, 0, False, 0, 0, 0
 
     def close():
         nonlocal link_chars
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                away, content = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-                out.append(Block(text, link_chars, heading, away, content))
+                away, content, named = stack[-1][1:] if stack else (False, 0, ())
+                out.append(Block(text, link_chars, heading, away, content, named=named))
             pieces.clear()
         link_chars = 0
 
-    for token in TOKEN.finditer(page):
+    for token in _tokens(page):
         tag = token["tag"]
         if tag is None:
             text = token[0]
@@ -142,24 +204,29 @@ def blocks(page: str) -> list[Block]:
             if closing:
                 for at in range(len(stack) - 1, -1, -1):
                     if stack[at][0] == tag:
-                        if tag not in BREAKS and any(s[1] for s in stack[at:]):
+                        if tag not in BREAKS and any(s[1] or s[3] for s in stack[at:]):
                             close()
                         del stack[at:]
                         break
             elif not token["attrs"].endswith("/"):
-                above_away, content = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-                away = above_away or _is_away(tag, token["attrs"], bool(content))
-                if away and not above_away:
+                above_away, content, named = stack[-1][1:] if stack else (False, 0, ())
+                away, speaks = _is_away(tag, token["attrs"], bool(content))
+                if (away or speaks) and not above_away:
                     close()
+                away = above_away or away
+                if speaks:
+                    names += 1
+                    named = (*named, names)
                 if tag in CONTENT and not away and not content:
                     contents += 1
                     content = contents
-                stack.append((tag, away, content))
-        elif tag == "p" and not closing and token["attrs"] and _is_away(tag, token["attrs"], False):
-            stack.append(("p", True, stack[-1][2] if stack else 0))
+                stack.append((tag, away, content, named))
+        elif tag == "p" and not closing and token["attrs"] and any(_is_away(tag, token["attrs"], False)):
+            stack.append(("p", True, stack[-1][2] if stack else 0, ()))
         if tag in ("p", *BREAKS) and stack and stack[-1][0] == "p" and not (tag == "p" and not closing and token["attrs"]):
             stack.pop()
     close()
+    _release(out)
     return out
 
 

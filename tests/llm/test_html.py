@@ -43,3 +43,16 @@ def test_articles_of_the_given_pages(spark):
         body = r.html.partition("<article>")[2].partition("</article>")[0]
         parts = [" ".join(entities.unescape(re.sub("</?b>", "", p).replace("<br>", " ")).split()) for p in re.split("</?(?:p|h1)>", body)]
         assert got[r.page_id] == "\n".join(p for p in parts if p)
+
+
+def test_skipped_elements_end():
+    for icon in ('<svg class="i"/>', "<math/>", "<object>", "<canvas>", "<video src=x>", "<svg class=a>"):
+        page = f"<article><p>{PROSE}</p>{icon}<p>{PROSE} Again.</p><svg><svg/><g><text>no</text></g></svg><p>{PROSE} Last.</p></article>"
+        assert html.extract(page).split("\n") == [PROSE, f"{PROSE} Again.", f"{PROSE} Last."]
+    assert html.extract(f"<p>{PROSE}</p><script><p>{PROSE}</p>") == PROSE
+
+
+def test_class_pieces_on_wrappers():
+    for tag in ('article class="post comments-open"', 'main class="has-sidebar"', 'main id="skip-target"', 'div class="layout has-sidebar"'):
+        assert html.extract(f"<{tag}><p>{PROSE}</p></{tag.split()[0]}>") == PROSE
+    assert html.extract(f"<article><p>{PROSE}</p></article><section id=comments><p>{PROSE * 5}</p></section>") == PROSE
