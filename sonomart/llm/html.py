@@ -9,10 +9,11 @@ reads them: no shuffle, and one page in memory at a time.
 * Blocks inside menus, headers and footers of the page, sidebars, forms, adverts, notices and reader
   comments are bad, told by element, or by the words of ``class`` and ``id``.
   A class or id never puts away ``article``, ``main``, or what holds most of the page's text.
-  A class or id never puts away ``article``, ``main``, or what holds most of the page's text.
-* Where a page marks its content (``article`` or ``main``), blocks outside are bad, and inside only link lists
-  are; undecided blocks look for neighbours inside. A content element without any decided block is good.
-* Elsewhere: many links bad; short undecided; long with common words good, with few bad.
+* Where a page marks its content (``article`` or ``main``) and most long blocks stand in it, blocks outside are bad,
+  and inside only link lists are; undecided blocks look for neighbours inside. A content element without any decided
+  block is good.
+* Elsewhere: many links bad; short undecided; long with common words good, with few bad. On a page with few common
+  words throughout, which is in a language without a list, long is good. Short copyright lines at the end are bad.
 
 Defined results
 ---------------
@@ -73,6 +74,8 @@ WORD = re.compile(r"\w+")
 MAX_LINK_DENSITY = 0.3
 SHORT_CHARS = 70
 STOP_LOW, STOP_HIGH = 0.15, 0.25
+# A copyright line: up to this long, among the last blocks of the page.
+COPYRIGHT_CHARS, LAST_BLOCKS = 210, 3
 
 
 @dataclass
@@ -230,20 +233,32 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def judge(block: Block, marked: bool) -> str:
-    """Pass one: good, bad or undecided. ``marked``: the page marks its content."""
+def _density(text: str) -> float:
+    words = WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def _long(block: Block) -> bool:
+    n = len(block.text)
+    return not block.away and not block.heading and n >= SHORT_CHARS and block.link_chars <= MAX_LINK_DENSITY * n
+
+
+def judge(block: Block, marked: bool, listed: bool = True, last: bool = True) -> str:
+    """Pass one: good, bad or undecided.
+
+    ``marked``: the page marks its content; ``listed``: its language has stop words; ``last``: the block stands at its end.
+    """
     n = len(block.text)
     if block.away or (marked and not block.content):
         return "bad"
     if block.link_chars > MAX_LINK_DENSITY * n:
         return "bad"
-    if not marked and ("©" in block.text or "copyright" in block.text.lower()):
+    if not marked and last and n <= COPYRIGHT_CHARS and ("©" in block.text or "copyright" in block.text.lower()):
         return "bad"
     if n < SHORT_CHARS or block.heading:
         return "undecided"
-    words = WORD.findall(block.text.lower())
-    density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if density >= STOP_HIGH:
+    density = _density(block.text)
+    if density >= STOP_HIGH or not (listed or marked):
         return "good"
     return "bad" if density < STOP_LOW and not marked else "undecided"
 
@@ -284,9 +299,12 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     found = blocks(page)
-    marked = any(b.content for b in found)
-    for b in found:
-        b.label = judge(b, marked)
+    long_ = [b for b in found if _long(b)]
+    inside = sum(len(b.text) for b in long_ if b.content)
+    marked = any(b.content and not b.away for b in found) and 2 * inside >= sum(len(b.text) for b in long_)
+    listed = marked or _density(" ".join(b.text for b in long_)) >= STOP_LOW
+    for k, b in enumerate(found):
+        b.label = judge(b, marked, listed, k >= len(found) - LAST_BLOCKS)
     inherit(found, marked)
     return "\n".join(b.text for b in found if b.label == "good")
 

@@ -56,3 +56,12 @@ def test_class_pieces_on_wrappers():
     for tag in ('article class="post comments-open"', 'main class="has-sidebar"', 'main id="skip-target"', 'div class="layout has-sidebar"'):
         assert html.extract(f"<{tag}><p>{PROSE}</p></{tag.split()[0]}>") == PROSE
     assert html.extract(f"<article><p>{PROSE}</p></article><section id=comments><p>{PROSE * 5}</p></section>") == PROSE
+
+
+def test_unmarked_pages_keep_articles():
+    russian = "Это длинная статья о том, как люди живут и работают в большом городе, где много разных улиц и домов. " * 2
+    assert html.extract(f"<ul><li><a href=x>Меню сайта</a></li></ul><p>{russian}</p><p><a href=y>Дальше</a></p>") == russian.strip()
+    law = "The law of copyright is one that has a lot of rules in it, and so it is told to be hard to read for most of us."
+    assert html.extract(f"<p>{law}</p><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p><p>© {PROSE}</p>").split("\n") == [law, PROSE, PROSE, PROSE]
+    body = "\n".join([PROSE] * 4)
+    assert html.extract("<div>" + f"<p>{PROSE}</p>" * 4 + f"</div><article><p>Short teaser.</p></article>").startswith(body)
