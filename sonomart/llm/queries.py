@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonomart.llm import chat, decontam, forest, html, langid, licenses, mixing, pii, sql, topk, warc
+from sonomart.llm import chat, decontam, filteraudit, forest, html, langid, licenses, mixing, pii, sql, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +78,11 @@ def op6_pii(spark: SparkSession, path: str) -> DataFrame:
     return pii.detect(docs, pii.fit(docs))
 
 
+def op12_filters(spark: SparkSession, path: str) -> DataFrame:
+    """Every order of the five filters over all documents, by source."""
+    return filteraudit.audit(table(spark, path, "documents"), table(spark, path, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_langid": op1_langid,
     "op2_neardup": op2_neardup,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op8_topk": op8_topk,
     "op9_html": op9_html,
     "op10_licenses": op10_licenses,
+    "op12_filters": op12_filters,
 }
 
 ORACLES: dict[str, str] = {
@@ -99,4 +105,5 @@ ORACLES: dict[str, str] = {
     "op7_warc": sql.WARC,
     "op8_topk": sql.TOPK,
     "op10_licenses": sql.licenses(licenses.TEMPLATES, licenses.THRESHOLD, licenses.BLOCK_WORDS, licenses.STRIDE),
+    "op12_filters": sql.FILTERS,
 }

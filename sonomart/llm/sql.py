@@ -157,3 +157,35 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, digest), '')) AS loss_sha256,
   CAST(sum(shown + length('<|im_start|>') + 1 + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id"""
+
+
+FILTERS = r"""
+WITH l AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+  FROM documents),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t),
+     regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > first, false)] AS fails
+  FROM d LEFT JOIN l USING (doc_id)),
+x AS (SELECT unnest(range(1, 6)) AS i),
+orders AS (
+  SELECT [a.i, b.i, c.i, e.i, g.i] AS o FROM x a, x b, x c, x e, x g WHERE len(list_distinct([a.i, b.i, c.i, e.i, g.i])) = 5),
+steps AS (
+  SELECT list_reduce(list_transform(o, lambda k: substr('ABCDE', k, 1)), lambda p, q: p || q) AS filter_order, o, i AS step FROM orders, x),
+seen AS (
+  SELECT part, filter_order, step, o[step] AS k, good, toxic, fails[o[step]] AS failing,
+    len(list_filter(o[1 : step - 1], lambda j: fails[j])) > 0 AS gone,
+    len(list_filter(fails, lambda b: b)) AS n
+  FROM f, steps),
+counted AS (
+  SELECT part, filter_order, step, k, count(*) FILTER (NOT failing AND NOT gone) AS kept, count(*) FILTER (failing AND NOT gone) AS removed,
+    count(*) FILTER (failing AND gone) AS redundant, count(*) FILTER (failing AND n = 1) AS unique_fails,
+    count(*) FILTER (failing AND NOT gone AND good) AS good_lost, count(*) FILTER (failing AND NOT gone AND toxic) AS toxic_lost
+  FROM seen GROUP BY part, filter_order, step, k)
+SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, k) AS BIGINT) AS shapley
+FROM counted"""
