@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonomart.llm import chat, decontam, filteraudit, forest, html, langid, licenses, mixing, pii, sql, topk, warc
+from sonomart.llm import chat, decontam, filteraudit, forest, html, langid, licenses, mixing, pii, sql, topk, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +78,13 @@ def op6_pii(spark: SparkSession, path: str) -> DataFrame:
     return pii.detect(docs, pii.fit(docs))
 
 
+def op11_whitening(spark: SparkSession, path: str) -> DataFrame:
+    """Every vector in the four directions of largest variance."""
+    vectors = table(spark, path, "embeddings")
+    return whitening.apply(vectors, whitening.fit(vectors)).select(
+        "vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened", "explained", "identity_error")
+
+
 def op12_filters(spark: SparkSession, path: str) -> DataFrame:
     """Every order of the five filters over all documents, by source."""
     return filteraudit.audit(table(spark, path, "documents"), table(spark, path, "labels"))
@@ -94,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op8_topk": op8_topk,
     "op9_html": op9_html,
     "op10_licenses": op10_licenses,
+    "op11_whitening": op11_whitening,
     "op12_filters": op12_filters,
 }
 
