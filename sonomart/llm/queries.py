@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonomart.llm import chat, decontam, filteraudit, forest, html, langid, licenses, mixing, pii, sql, topk, warc, whitening
+from sonomart.llm import chat, decontam, filteraudit, forest, html, langid, licenses, mixing, pii, sql, substrings, topk, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +90,11 @@ def op12_filters(spark: SparkSession, path: str) -> DataFrame:
     return filteraudit.audit(table(spark, path, "documents"), table(spark, path, "labels"))
 
 
+def op13_substrings(spark: SparkSession, path: str) -> DataFrame:
+    """What is left of every document without repeated passages of 50 words or more."""
+    return substrings.Search(table(spark, path, "documents")).report()
+
+
 QUERIES: dict[str, Query] = {
     "op1_langid": op1_langid,
     "op2_neardup": op2_neardup,
@@ -103,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op10_licenses": op10_licenses,
     "op11_whitening": op11_whitening,
     "op12_filters": op12_filters,
+    "op13_substrings": op13_substrings,
 }
 
 ORACLES: dict[str, str] = {
@@ -114,4 +120,5 @@ ORACLES: dict[str, str] = {
     "op8_topk": sql.TOPK,
     "op10_licenses": sql.licenses(licenses.TEMPLATES, licenses.THRESHOLD, licenses.BLOCK_WORDS, licenses.STRIDE),
     "op12_filters": sql.FILTERS,
+    "op13_substrings": sql.SUBSTRINGS,
 }

@@ -189,3 +189,22 @@ counted AS (
 SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
   CAST(sum(removed) OVER (PARTITION BY part, k) AS BIGINT) AS shapley
 FROM counted"""
+
+
+SUBSTRINGS = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (
+  SELECT r, doc_id, i, array_to_string(w[i : i + 49], ' ') AS s
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs WHERE len(w) >= 50)),
+least AS (SELECT s, min(doc_id) AS first FROM starts GROUP BY s),
+gone AS (SELECT r, i FROM starts JOIN least USING (s) WHERE doc_id > first),
+words AS (SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM docs),
+marked AS (
+  SELECT words.r, p, word, count(g.i) OVER (PARTITION BY words.r ORDER BY p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) > 0 AS cut
+  FROM words LEFT JOIN gone g ON g.r = words.r AND g.i = p),
+kept AS (
+  SELECT r, count(*) FILTER (cut) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (NOT cut) AS text FROM marked GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)"""
