@@ -39,7 +39,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,6 +59,7 @@ PIVOT_SPREAD, PIVOT_DRAWS = 0.15, 4
 BATCH_BYTES = 1 << 20
 # Counts that order the shingles of crowds; 4 MB in every task.
 COUNT_BITS = 20
+FAN_IN = 16
 # Rows of 40 bytes; more class representatives are joined through the shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -300,17 +303,51 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return (h >> _U(64 - COUNT_BITS)).astype(np.int64)
 
 
+_COUNTED = "node long, counts binary"
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    """The filled slots with their counts."""
+    filled = np.flatnonzero(counts)
+    return np.stack([filled.astype(np.uint32), counts[filled].astype(np.uint32)]).tobytes()
+
+
+def _unpacked(rows) -> np.ndarray:
+    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    for row in rows:
+        slots, n = np.frombuffer(row, np.uint32).reshape(2, -1)
+        counts[slots] += n
+    return np.minimum(counts, (1 << 32) - 1)
+
+
 def _slot_counts(k: int):
+    """One row a task: how often its shingles fall into each slot."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << COUNT_BITS, np.int64)
         for whole in batches:
             for batch in _batches(whole, "text"):
                 np.add.at(counts, _slot(shingles(batch.column("text").to_pylist(), k)[1]), 1)
-        filled = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(filled), pa.array(counts[filled])], names=["slot", "n"])
+        packed = _packed(np.minimum(counts, (1 << 32) - 1))
+        if packed:
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([packed], pa.binary())],
+                                             names=["node", "counts"])
     return run
 
 
+def _added(group: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"node": group["node"].iloc[:1].to_numpy(), "counts": [_packed(_unpacked(group["counts"]))]})
+
+
+def slot_counts(texts: DataFrame, k: int) -> np.ndarray:
+    """Counts by slot over all rows; tasks' tables of at most 8 MB meet FAN_IN at a time up a tree."""
+    tables = stage(texts.select("text").mapInArrow(_slot_counts(k), _COUNTED), "forest-counts")
+    nodes = (tables.agg(F.max("node")).first()[0] or 0) + 1
+    while nodes > 1:
+        nodes = -(-nodes // FAN_IN)
+        tables = tables.withColumn("node", F.col("node") % nodes).groupBy("node").applyInPandas(_added, _COUNTED)
+    return _unpacked(r.counts for r in tables.collect()).astype(np.uint32)
+
+
 _POSTING = "shingle long, node binary, root binary, n long, at long, first boolean"
 
 
@@ -337,10 +374,7 @@ def _prefixes(counts: np.ndarray, percent: int, k: int):
 
 def crowd_pairs(crowd: DataFrame, percent: int, k: int) -> DataFrame:
     """Distinct pairs (a, b), a < b, of rows (node, text, root) with unequal roots: all that can be similar enough."""
-    counts = np.zeros(1 << COUNT_BITS, np.uint32)
-    # At most as many rows as the table has counts.
-    slots = crowd.select("text").mapInArrow(_slot_counts(k), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts[slots["slot"].to_numpy()] = np.minimum(slots["n"].to_numpy(), (1 << 32) - 1)
+    counts = slot_counts(crowd, k)
     rows = stage(crowd.select("node", "text", "root").mapInArrow(_prefixes(counts, percent, k), _POSTING), "forest-prefixes")
     shares = rows.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("rows"))
     mixed = shares.groupBy("shingle").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("rows", "root")).alias("main"))
