@@ -4,7 +4,8 @@ Documents with equal shingle sets collapse to one class first. Each class enters
 tree orders the classes by its own sequence of signature components, so classes that share a prefix stand
 together and the longest common prefixes are neighbours. Depth adapts to the region:
 
-* in a region (classes that share the first ``MIN_DEPTH`` components) of up to ``WINDOW`` members, all meet all;
+* in a region (classes that share the first ``MIN_DEPTH`` components) of up to ``WINDOW`` members, all meet all, but
+  two members of crowds (next point) count only if they meet in two trees;
 * in a denser region, a class meets its nearest neighbours in order, which share the deepest prefixes, and the
   pivot of its region at several depths. A pivot is the member that shares the fullest prefixes with most
   others over all trees, the original of a crowd of copies, so a crowd of any size costs a constant number of
@@ -19,7 +20,8 @@ a large group.
 
 The join of the crowds is a prefix filter: shingles of a set stand in one order, rare ones first, and two sets of
 enough overlap share one of their first shingles, whose places bound the overlap. The order comes from a table of
-counts of fixed size; any order is exact, a good one is fast. Shingles that only one component holds are left out
+counts of fixed size; any order is exact, a good one is fast. Its pairs pass the same signature test as all others, which
+loses a pair at the threshold once in a billion. Shingles that only one component holds are left out
 before the join, and pairs within the largest component of a shingle are never formed.
 
 Two sets of similarity ``s`` share a region in some tree with probability ``1 - (1 - s**4)**20``: a miss is one in
@@ -281,7 +283,8 @@ def candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         "tree", "key", F.col("a").alias("node"), F.col("na").alias("n"), F.substring("key", 1, 4 * MIN_DEPTH).alias("region"))
     seam = seam.distinct().repartition("tree", "region").sortWithinPartitions(*order).drop("region")
     more = stage(seam.mapInArrow(_neighbours(percent, False), _FOUND), "forest-seams")
-    pairs = found.filter(F.col("kind") == PAIR).union(more.filter(F.col("kind") == PAIR)).select("a", "b")
+    pairs = found.filter(F.col("kind") == PAIR).union(more.filter(F.col("kind") == PAIR))
+    pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("trees"))
 
     crowd = found.filter(F.col("kind") == CROWD).union(more.filter(F.col("kind") == CROWD))
     crowd = stage(crowd.select("tree", "key", "a", "na").distinct(), "forest-crowds")
@@ -294,9 +297,13 @@ def candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     best = F.max(F.struct("score", F.col("a").alias("b"), F.col("na").alias("nb"))).alias("best")
     pivots = member.groupBy("tree", "depth", "prefix").agg(best).select("tree", "depth", "prefix", "best.b", "best.nb")
     spokes = member.join(pivots, ["tree", "depth", "prefix"]).filter(_size_filter(percent)).select("a", "b")
-    pairs = pairs.union(spokes)
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return pairs, crowd.select(F.col("a").alias("node")).distinct()
+    members = stage(crowd.select(F.col("a").alias("node")).distinct(), "forest-members")
+    # Two members of crowds that meet in one tree only are left to the pivots and the exact join.
+    once = pairs.filter("trees = 1").select("a", "b")
+    outside = [once.join(members.withColumnRenamed("node", end), end, "left_anti").select("a", "b") for end in ("a", "b")]
+    spokes = spokes.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = pairs.filter("trees > 1").select("a", "b").union(outside[0]).union(outside[1]).union(spokes).distinct()
+    return pairs, members
 
 
 def _slot(h: np.ndarray) -> np.ndarray:
