@@ -1,8 +1,10 @@
 """Semantic model over the star: named dimensions and measures, aggregation groups, cuboids and queries.
 
 The fact is read once per aggregation group and aggregated by its foreign keys before any dimension is
-joined; all further levels come from that group base. Partials are additive, and a base keeps either
-the song id or a song bitmap, so exact distinct counts survive every roll-up.
+joined; all further levels come from that group base. Partials are additive, and a base keeps the set of
+songs of each cell, cut into buckets of 32,768 ids: as a list of ids where cells hold few songs, as a bitmap
+where they hold many. Both merge exactly, so distinct counts survive every roll-up, and no row of a base
+grows beyond one bucket.
 """
 
 from __future__ import annotations
@@ -11,10 +13,12 @@ import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from itertools import product
+from itertools import combinations, product
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from sonomart.operators.joins import lookup_left
 from sonomart.operators.staging import estimated_bytes, stage
@@ -55,9 +59,13 @@ DOUBLE_SUMS = (
 SUMS = {f"{c.upper()}_SUM": c for c in LONG_SUMS + DOUBLE_SUMS}
 AVERAGES = {f"AVG_{c.upper()}": f"{c.upper()}_SUM" for c in DOUBLE_SUMS}
 MEASURES = (COUNT, *list(SUMS)[:4], DISTINCT_SONGS, *list(SUMS)[4:])
-# Dimensions whose values run into thousands or more; cuboids without them start from a smaller base.
-HEAVY = ("TITULO", "ALBUM_NOMBRE", "ARTISTA_NOMBRE", "USUARIO_NOMBRE", "DIA")
 SETS_PER_EXPAND = 32
+# Songs of a cell and bucket from which a bitmap of 4 KB is cheaper than a list of ids.
+DENSE_IDS = 128
+# Sketches in one pass over a base, and their size as a power of two: an error of about 3 %.
+SKETCHES, SKETCH_LOG = 128, 10
+# Rows that could be expanded in the time that storing one more parent takes besides its rows.
+PARENT_ROWS = 1_000_000
 
 _FK_OF = {table: fk for fk, (table, _) in FOREIGN_KEYS.items()}
 _KEY_OF = {table: key for table, key in FOREIGN_KEYS.values()}
@@ -65,14 +73,14 @@ _KEY_OF = {table: key for table, key in FOREIGN_KEYS.values()}
 
 @dataclass(frozen=True)
 class Group:
-    """Aggregation group. ``bitmap`` keeps song bitmaps instead of song ids in its base."""
+    """Aggregation group. ``bitmap`` keeps song bitmaps (or lists) in its base whatever their density."""
 
     name: str
     dims: tuple[str, ...]
     hierarchies: tuple[tuple[str, ...], ...] = ()
     mandatory: tuple[str, ...] = ()
     joint: tuple[tuple[str, ...], ...] = ()
-    bitmap: bool = False
+    bitmap: bool | None = None
 
     def grouping_sets(self) -> list[tuple[str, ...]]:
         """All dimension subsets the rules allow, each in group order.
@@ -95,7 +103,7 @@ class Group:
 # The aggregation groups of the cube.
 GROUPS = (
     Group("time", ("ANIO", "MES", "MESSTRING", "DIA", "ESTACION", "FINDE", "FESTIVO", "FRANJAHORARIA"),
-          hierarchies=(("ANIO", "MES", "DIA"),), bitmap=True),
+          hierarchies=(("ANIO", "MES", "DIA"),)),
     Group("music", ("ARTISTA_NOMBRE", "ARTISTA_GENERO", "ARTISTA_PAIS", "ARTISTA_TIPO", "ALBUM_NOMBRE",
                     "PRODUCTORA", "TITULO", "RANGODURACION", "PLAYLIST"),
           hierarchies=(("ARTISTA_NOMBRE", "ALBUM_NOMBRE", "TITULO"),)),
@@ -130,7 +138,16 @@ def _merged_partials() -> list[Column]:
     return [F.sum(m).alias(m) for m in (COUNT, *SUMS)]
 
 
-def group_base(
+def _filtered(fact: DataFrame, dims: Mapping[str, DataFrame], names: Sequence[str], model_filter: str | None) -> DataFrame:
+    """Fact rows that satisfy an SQL condition on fact columns and any dimension name."""
+    if not model_filter:
+        return fact
+    # All dimensions are on offer, in any letter case; joins the filter does not use are left out.
+    used = [n for n in DIMENSIONS if n in names or re.search(rf"\b{n}\b", model_filter, re.I)]
+    return star_view(fact, dims, used).filter(model_filter).select(*fact.columns)
+
+
+def song_rows(
     fact: DataFrame,
     dims: Mapping[str, DataFrame],
     names: Sequence[str],
@@ -138,15 +155,11 @@ def group_base(
     model_filter: str | None = None,
     segment: str | None = None,
 ) -> DataFrame:
-    """Partials by the named dimensions and song (or song bucket with a bitmap).
+    """Partials by the named dimensions and ``_song``, or ``_bucket`` with a bitmap ``_songs``.
 
-    ``model_filter`` is an SQL condition on fact columns and any dimension name. ``segment`` keeps that
-    fact column as a further key, for incremental builds.
+    ``segment`` keeps that fact column as a further key, for incremental builds.
     """
-    if model_filter:
-        # All dimensions are on offer, in any letter case; joins the filter does not use are left out.
-        used = [n for n in DIMENSIONS if n in names or re.search(rf"\b{n}\b", model_filter, re.I)]
-        fact = star_view(fact, dims, used).filter(model_filter).select(*fact.columns)
+    fact = _filtered(fact, dims, names, model_filter)
     fks = sorted({_FK_OF[DIMENSIONS[n][0]] for n in names})
     extra = [segment] if segment and segment not in fks else []
     if bitmap:
@@ -163,56 +176,184 @@ def group_base(
     return named.groupBy(*names, *key, song).agg(*_merged_partials(), *keep)
 
 
-def _song_columns(base: DataFrame) -> tuple[str, list[Column], Column]:
-    """(song key, how partials of the song merge, final distinct count)."""
-    if "_songs" in base.columns:
+def key_density(fact: DataFrame, names: Sequence[str]) -> float:
+    """Songs per cell and bucket at the grain of the foreign keys, from two sketches; cells by names are denser still."""
+    fks = sorted({_FK_OF[DIMENSIONS[n][0]] for n in names})
+    bucket = F.bitmap_bucket_number("IDCancion")
+    row = fact.agg(_sketch([*fks, bucket]).alias("cells"), _sketch([*fks, "IDCancion"]).alias("songs")).first()
+    return row["songs"] / max(row["cells"] or 0, 1)
+
+
+def group_base(
+    fact: DataFrame,
+    dims: Mapping[str, DataFrame],
+    names: Sequence[str],
+    bitmap: bool | None = None,
+    model_filter: str | None = None,
+    segment: str | None = None,
+) -> DataFrame:
+    """Partials by the named dimensions and song bucket, with the songs as ``_songs`` (bitmap) or ``_ids`` (list).
+
+    Their density decides between both unless ``bitmap`` does.
+    """
+    if bitmap is None:
+        bitmap = key_density(fact, names) >= DENSE_IDS
+    rows = song_rows(fact, dims, names, bitmap, model_filter, segment)
+    return rows if bitmap else pack(rows, [*names, *([segment] if segment else [])])
+
+
+def pack(rows: DataFrame, keys: Sequence[str], dense: bool = False) -> DataFrame:
+    """Rows by song as one row per cell and bucket; at most 32,768 ids or bits in each."""
+    songs = (F.bitmap_construct_agg(F.bitmap_bit_position("_song")).alias("_songs") if dense
+             else F.collect_list("_song").alias("_ids"))
+    return rows.groupBy(*keys, F.bitmap_bucket_number("_song").alias("_bucket")).agg(*_merged_partials(), songs)
+
+
+def spread(base: DataFrame) -> DataFrame:
+    """A base by ``_song`` where it has lists of ids; the measures of a cell stay with its first id."""
+    if "_ids" not in base.columns:
+        return base
+    keys = [c for c in base.columns if c not in (COUNT, *SUMS, "_bucket", "_ids")]
+    rows = base.select(*keys, COUNT, *SUMS, F.posexplode_outer("_ids").alias("_place", "_song"))
+    first = F.coalesce("_place", F.lit(0)) == 0
+    return rows.select(*keys, "_song", *[F.when(first, F.col(m)).alias(m) for m in (COUNT, *SUMS)])
+
+
+def _song_columns(rows: DataFrame) -> tuple[str, list[Column], Column]:
+    """(song key, how partials of the song merge, final distinct count) of spread rows."""
+    if "_songs" in rows.columns:
         return "_bucket", [F.bitmap_or_agg("_songs").alias("_songs")], F.sum(F.bitmap_count("_songs"))
     return "_song", [], F.count("_song")
 
 
+def merge(base: DataFrame, keys: Sequence[str], dense: bool = False) -> DataFrame:
+    """Partials of a base by fewer keys, songs merged: bitmaps stay bitmaps, lists become bitmaps if ``dense``."""
+    rows = spread(base)
+    song, keep, _ = _song_columns(rows)
+    merged = rows.groupBy(*keys, song).agg(*_merged_partials(), *keep)
+    return merged if keep else pack(merged, keys, dense)
+
+
 def _finish(df: DataFrame, keys: Sequence[str], distinct: Column) -> DataFrame:
     return df.groupBy(*keys).agg(*_merged_partials(), distinct.alias(DISTINCT_SONGS)).select(*keys, *MEASURES)
 
 
 def roll_up(base: DataFrame, names: Sequence[str]) -> DataFrame:
     """Measures by a subset of the base's dimensions."""
-    song, keep, distinct = _song_columns(base)
-    return _finish(base.groupBy(*names, song).agg(*_merged_partials(), *keep), names, distinct)
+    rows = spread(base)
+    song, keep, distinct = _song_columns(rows)
+    return _finish(rows.groupBy(*names, song).agg(*_merged_partials(), *keep), names, distinct)
 
 
-def _chunks(sets: Sequence[tuple[str, ...]]) -> list[list[tuple[str, ...]]]:
-    """Sets with the same heavy dimensions together, at most SETS_PER_EXPAND of them."""
-    by_heavy: dict[tuple[bool, ...], list[tuple[str, ...]]] = {}
-    for s in sets:
-        by_heavy.setdefault(tuple(h in s for h in HEAVY), []).append(s)
-    return [c[i : i + SETS_PER_EXPAND] for c in by_heavy.values() for i in range(0, len(c), SETS_PER_EXPAND)]
+def _sketch(columns: Sequence[Column | str]) -> Column:
+    """Estimated number of distinct combinations."""
+    return F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(*columns), F.lit(SKETCH_LOG)))
+
+
+def distinct_counts(rows: DataFrame, sets: Sequence[tuple[str, ...]]) -> dict[tuple[str, ...], int]:
+    """Estimated number of distinct combinations of every set of columns."""
+    used = [c for c in rows.columns if any(c in s for s in sets)]
+    # Each column is hashed once a row; a set hashes as the exclusive or of its columns.
+    hashed = rows.select(*[F.xxhash64(F.lit(c), c).alias(c) for c in used])
+    found: dict[tuple[str, ...], int] = {(): 1}
+    wanted = [s for s in dict.fromkeys(sets) if s]
+    for at in range(0, len(wanted), SKETCHES):
+        some = wanted[at:at + SKETCHES]
+        mixed = [" ^ ".join(f"`{c}`" for c in s) for s in some]
+        sizes = hashed.selectExpr(*[f"hll_sketch_estimate(hll_sketch_agg({m}, {SKETCH_LOG})) AS n{i}" for i, m in enumerate(mixed)])
+        found.update((s, int(n or 0)) for s, n in zip(some, sizes.first()))
+    return found
+
+
+def set_sizes(rows: DataFrame, sets: Sequence[tuple[str, ...]]) -> dict[tuple[str, ...], tuple[int, int]]:
+    """Estimated (cells, cells by song key) of every set; ``rows`` are spread."""
+    song = _song_columns(rows)[0]
+    found = distinct_counts(rows, [*sets, *((*s, song) for s in sets)])
+    return {s: (found[s], found[(*s, song)]) for s in sets}
+
+
+def choose_parents(
+    top: tuple[str, ...], sets: Sequence[tuple[str, ...]], rows: Mapping[tuple[str, ...], int], fixed: int = PARENT_ROWS
+) -> list[tuple[str, ...]]:
+    """Sets of ``rows`` worth storing on the way to ``sets``, greedily: rows saved by those they cover, less what storing them costs.
+
+    Every set starts from the smallest stored one that covers it; ``top`` is stored.
+    """
+    covered = {p: [s for s in sets if set(s) <= set(p)] for p in rows}
+    cost = {s: rows[top] for s in sets}
+    chosen: list[tuple[str, ...]] = []
+    while True:
+        best, gain = None, 0
+        for p in rows:
+            if p != top and p not in chosen:
+                source = min(rows[q] for q in [top, *chosen] if set(p) <= set(q))
+                saved = sum(max(0, cost[s] - rows[p]) for s in covered[p]) - source - fixed
+                if saved > gain:
+                    best, gain = p, saved
+        if best is None:
+            return chosen
+        chosen.append(best)
+        for s in covered[best]:
+            cost[s] = min(cost[s], rows[best])
 
 
 def cuboids(base: DataFrame, dims: Sequence[str], sets: Sequence[tuple[str, ...]]) -> DataFrame:
     """All grouping sets of a staged base, with ``cuboid`` = grouping id over ``dims``.
 
-    Sets with the same heavy dimensions share a parent, which is aggregated once from the smallest parent
-    stored before that covers it, so only sets with all heavy dimensions read the base itself.
+    Where that saves more than it costs, sets without one or two dimensions are stored on the way, as bitmaps if their
+    cells are dense; sketches tell how far each would shrink. The others expand from the smallest that covers them.
     """
-    song, keep, distinct = _song_columns(base)
+    top = tuple(dims)
+    sizes = {top: base.count()}
+    # An expand is heavy in rows, not in bytes read, so the partition count of what it reads is not left to size.
+    tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    large = "_ids" in base.columns and sizes[top] * len(sets) > PARENT_ROWS
+    stored: dict[tuple[str, ...], DataFrame] = {top: stage(spread(base).repartition(tasks), "cuboid-parent") if large else spread(base)}
+
+    def source(s: tuple[str, ...]) -> tuple[str, ...]:
+        return min((p for p in stored if set(p) >= set(s)), key=lambda p: sizes[p])
+
+    waiting = [top]
+    while waiting:
+        p = waiting.pop(0)
+        mine = [s for s in sets if source(s) == p]
+        if sizes[p] * len(mine) <= PARENT_ROWS:
+            continue
+        song, keep, _ = _song_columns(stored[p])
+        fewer = [tuple(d for d in p if d not in out) for n in (1, 2) for out in combinations(p, n)]
+        fewer = [c for c in fewer if sum(set(s) <= set(c) for s in mine) > 1]
+        found = distinct_counts(stored[p], [(*c, song) for c in [p, *fewer]])
+        sizes[p] = found[(*p, song)]
+        for c in choose_parents(p, mine, {c: found[(*c, song)] for c in [p, *fewer]}):
+            small = stored[source(c)]
+            small = stage(small.groupBy(*c, song).agg(*_merged_partials(), *keep).repartition(tasks), "cuboid-parent")
+            if not keep and found[(*c, song)] >= DENSE_IDS * distinct_counts(small, [c])[c]:
+                small = stage(pack(small, c, dense=True), "cuboid-parent")
+            stored[c], sizes[c] = small, small.count()
+            waiting.append(c)
+    by_source: dict[tuple[str, ...], list[tuple[str, ...]]] = {}
+    for s in sets:
+        by_source.setdefault(source(s), []).append(s)
     types = {f.name: f.dataType for f in base.schema.fields}
-    chunks = _chunks(sets)
-    heavy = lambda chunk: tuple(h for h in HEAVY if h in chunk[0])
-    parents: dict[tuple[str, ...], DataFrame] = {tuple(dims): base}
+    return union_all([expand(stored[p], dims, mine, types) for p, mine in by_source.items()])
+
+
+def expand(rows: DataFrame, dims: Sequence[str], sets: Sequence[tuple[str, ...]], types: Mapping[str, DataType]) -> DataFrame:
+    """Measures of the sets from spread rows that hold all their dimensions, at most SETS_PER_EXPAND in one expand."""
+    song, keep, distinct = _song_columns(rows)
+    used = {d for s in sets for d in s}
+    rest = [c for c in rows.columns if c not in DIMENSIONS and c != song]
+    rows = rows.select(*[F.col(d) if d in used else F.lit(None).cast(types[d]).alias(d) for d in dims], song, *rest)
     parts = []
-    for chunk in sorted(chunks, key=lambda c: -len(heavy(c))):
-        used = tuple(d for d in dims if any(d in s for c in chunks if heavy(c) == heavy(chunk) for s in c))
-        if used not in parents:
-            covering = [p for names, p in parents.items() if set(names) >= set(used)]
-            source = min(covering, key=estimated_bytes)
-            parents[used] = stage(source.groupBy(*used, song).agg(*_merged_partials(), *keep), "cuboid-parent")
-        small = parents[used]
-        rest = [c for c in small.columns if c not in dims and c != song]
-        small = small.select(*[F.col(d) if d in used else F.lit(None).cast(types[d]).alias(d) for d in dims], song, *rest)
-        per_song = small.groupingSets([[*s, song] for s in chunk], *dims, song).agg(
+    for at in range(0, len(sets), SETS_PER_EXPAND):
+        per_song = rows.groupingSets([[*s, song] for s in sets[at:at + SETS_PER_EXPAND]], *dims, song).agg(
             F.shiftright(F.grouping_id(), 1).alias("cuboid"), *_merged_partials(), *keep
         )
         parts.append(_finish(per_song, ["cuboid", *dims], distinct))
+    return union_all(parts)
+
+
+def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -223,13 +364,15 @@ def derived_averages(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 @dataclass
 class Cube:
-    """Built bases by group; queries take the smallest that covers them, else the star itself."""
+    """Built bases by group and stored cuboids; queries take the smallest that covers them, else the star itself."""
 
     fact: DataFrame
     dims: Mapping[str, DataFrame]
     groups: Sequence[Group] = GROUPS
     model_filter: str | None = None
     bases: dict[str, DataFrame] = field(default_factory=dict)
+    # A CuboidStore of the same model filter.
+    store: Any = None
 
     def build(self, names: Iterable[str] | None = None, path: str | None = None) -> "Cube":
         """Materialise the bases of the named groups (all by default), below ``path`` if given."""
@@ -250,10 +393,14 @@ class Cube:
         return next(g for g in self.groups if g.name == name)
 
     def cuboids(self, name: str) -> DataFrame:
+        """All cuboids of a group, from its base if it was built."""
         g = self.group(name)
-        if name not in self.bases:
-            self.build([name])
-        return cuboids(self.bases[name], g.dims, g.grouping_sets())
+        base = self.bases.get(name)
+        if base is None:
+            # Lists of ids would be spread again at once.
+            bitmap = key_density(self.fact, g.dims) >= DENSE_IDS if g.bitmap is None else g.bitmap
+            base = stage(song_rows(self.fact, self.dims, g.dims, bitmap, self.model_filter), "cube-" + name)
+        return cuboids(base, g.dims, g.grouping_sets())
 
     def write_cuboids(self, path: str) -> None:
         for g in self.groups:
@@ -262,7 +409,7 @@ class Cube:
 
     def full_base(self) -> DataFrame:
         """Partials over all dimensions, the source for combinations no group covers."""
-        return group_base(self.fact, self.dims, list(DIMENSIONS), False, self.model_filter)
+        return group_base(self.fact, self.dims, list(DIMENSIONS), None, self.model_filter)
 
     def query(
         self, dims: Sequence[str], measures: Sequence[str] = MEASURES, where: Mapping[str, object] | None = None
@@ -271,10 +418,15 @@ class Cube:
         where = dict(where or {})
         needed = list(dict.fromkeys([*dims, *where]))
         covering = [self.bases[g.name] for g in self.groups if g.name in self.bases and set(needed) <= set(g.dims)]
+        if self.store is not None:
+            if self.store.model_filter != self.model_filter:
+                raise ValueError("the stored cuboids were built with another model filter")
+            stored = self.store.covering(needed)
+            covering += [self.store.read(stored)] if stored else []
         if covering:
             base = min(covering, key=estimated_bytes)
         else:
-            base = group_base(self.fact, self.dims, needed, False, self.model_filter)
+            base = song_rows(self.fact, self.dims, needed, False, self.model_filter)
         for d, value in where.items():
             values = list(value) if isinstance(value, (list, tuple, set)) else [value]
             base = base.filter(F.col(d).isin(*values))
@@ -299,10 +451,8 @@ def compact_segments(segments: DataFrame, days: int) -> DataFrame:
     day = F.to_date(F.col("segmento").cast("string"), "yyyyMMdd")
     first = F.date_sub(day, F.pmod(F.unix_date(day), F.lit(days)).cast("int"))
     span = F.when(F.col("segmento") < 0, F.col("segmento")).otherwise(F.date_format(first, "yyyyMMdd").cast("int"))
-    _, keep, _ = _song_columns(segments)
     rows = segments.withColumn("segmento", span)
-    keys = [c for c in rows.columns if c not in (COUNT, *SUMS, "_songs")]
-    return rows.groupBy(*keys).agg(*_merged_partials(), *keep)
+    return merge(rows, [c for c in rows.columns if c not in (COUNT, *SUMS, "_bucket", "_songs", "_ids")])
 
 
 def mean_by(fact: DataFrame, dims: Mapping[str, DataFrame], names: Sequence[str], feature: str) -> DataFrame:

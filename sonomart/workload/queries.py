@@ -12,9 +12,11 @@ from sonomart.functions import bands, dates, measures, responses, text
 from sonomart.operators import audit, fuzzy, joins, keys
 from sonomart.operators.staging import checkpoint_root, stage
 from sonomart.plans import cube as cb
+from sonomart.plans import cuboidstore
 from sonomart.plans import dims as d
 from sonomart.plans import linkage
 from sonomart.plans.contract import CATALOGUE_FEATURES, FEATURES, NOISY_FEATURES, conform
+from sonomart.plans.segments import SegmentLedger
 from sonomart.sources import landing, readers, writers
 from sonomart.workload import inputs as inp
 from sonomart.workload import sql as q
@@ -851,19 +853,64 @@ for _name in ("time", "music", "user"):
     _register_cuboids(_name)
 
 
-@query("SELECT cuboid, count(*) AS celdas, sum(_COUNT_)::BIGINT AS plays, sum(CANCIONES_DISTINTAS)::BIGINT AS canciones, "
+_CROSS_LINES = ("SELECT cuboid, count(*) AS celdas, sum(_COUNT_)::BIGINT AS plays, sum(CANCIONES_DISTINTAS)::BIGINT AS canciones, "
        "round(sum(TEMPO_SUM), 2) AS tempo, sum(MSNOESCUCHADOS_SUM)::BIGINT AS ms, "
        f"sum(('0x' || md5(concat_ws('|', {', '.join(_G['cross'].dims)}, _COUNT_, CANCIONES_DISTINTAS))[1:8])::BIGINT)::BIGINT AS huella FROM (" + _cuboid_sql(_G["cross"]) + ") GROUP BY cuboid")
-def cube_cross(spark, path):
-    """All cuboids of the crossed group, one control line per cuboid with a digest of every cell."""
-    cells = _as_text(_cube(spark, path).cuboids("cross"), _G["cross"].dims)
-    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *_G["cross"].dims, "_COUNT_", "CANCIONES_DISTINTAS")), 1, 8), 16, 10).cast("bigint")
+
+
+def _control_lines(cells: DataFrame, dims) -> DataFrame:
+    """One control line per cuboid with a digest of every cell."""
+    cells = _as_text(cells, dims)
+    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *dims, "_COUNT_", "CANCIONES_DISTINTAS")), 1, 8), 16, 10).cast("bigint")
     return _rounded(cells.groupBy("cuboid").agg(
         F.sum(digest).alias("huella"),
         _count().alias("celdas"), F.sum("_COUNT_").alias("plays"), F.sum("CANCIONES_DISTINTAS").alias("canciones"),
         F.sum("TEMPO_SUM").alias("tempo"), F.sum("MSNOESCUCHADOS_SUM").alias("ms")), 2)
 
 
+@query(_CROSS_LINES)
+def cube_cross(spark, path):
+    """All cuboids of the crossed group."""
+    return _control_lines(_cube(spark, path).cuboids("cross"), _G["cross"].dims)
+
+
+def _new_store(spark, path, group: cb.Group, budget: int, worth: int, dims=None) -> cuboidstore.CuboidStore:
+    target = f"{checkpoint_root(spark)}/cuboids-{uuid.uuid4().hex}"
+    return cuboidstore.build(_cube(spark, path), target, budget, group.grouping_sets(), group.dims if dims is None else dims, worth)
+
+
+@query(_CROSS_LINES)
+def cube_cross_stored(spark, path):
+    """The same cuboids, answered from the sets of a store of 64 MB that save 1 MB of reading, each from the smallest that covers it."""
+    g = _G["cross"]
+    return _control_lines(_new_store(spark, path, g, 64 << 20, 1 << 20).answer(g.dims, g.grouping_sets()), g.dims)
+
+
+@query(q.cube() + f" SELECT FECHASTRING, ALBUM_ANYO, {q.MEASURES} FROM starview WHERE ESTACION IN ('Verano', 'Invierno') GROUP BY ALL")
+def cube_stored_uncovered(spark, path):
+    """Dimensions that no group holds, answered from the stored full base instead of the star."""
+    c = _cube(spark, path)
+    c.store = _new_store(spark, path, cb.Group("none", ()), 0, 0, tuple(cb.DIMENSIONS))
+    return _rounded(c.query(["FECHASTRING", "ALBUM_ANYO"], where={"ESTACION": ["Verano", "Invierno"]}))
+
+
+_USER_SETS = _G["user"].grouping_sets()
+
+
+@query(q.cube() + " UNION ALL ".join(
+    f" SELECT '{','.join(s)}' AS conjunto, count(*) AS celdas, sum(n)::BIGINT AS plays, true AS cabe FROM (SELECT count(*) AS n FROM starview GROUP BY {', '.join(s) or '()'})"
+    for s in _USER_SETS))
+def cube_store_sizes(spark, path):
+    """Cells of every set of the user group from a store of 1 MB, and whether it reads no more than the base."""
+    g = _G["user"]
+    store = _new_store(spark, path, g, 1 << 20, 0)
+    base = store.covering(g.dims)
+    cells = store.answer(g.dims, _USER_SETS).groupBy("cuboid").agg(_count().alias("celdas"), F.sum("_COUNT_").alias("plays"))
+    ids = [(sum(1 << (len(g.dims) - 1 - i) for i, dim in enumerate(g.dims) if dim not in s), ",".join(s), store.covering(s).bytes <= base.bytes)
+           for s in _USER_SETS]
+    return cells.join(spark.createDataFrame(ids, "cuboid long, conjunto string, cabe boolean"), "cuboid").select("conjunto", "celdas", "plays", "cabe")
+
+
 @query(q.cube() + f" SELECT * REPLACE ({_text_sql(['ANIO', 'MES', 'DIA'])}) FROM (SELECT grouping_id(ANIO, MES, DIA) AS cuboid, ANIO, MES, DIA, {q.MEASURES} FROM starview GROUP BY ROLLUP (ANIO, MES, DIA))")
 def cube_hierarchy(spark, path):
     g = cb.Group("days", ("ANIO", "MES", "DIA"), hierarchies=(("ANIO", "MES", "DIA"),), bitmap=True)
@@ -931,6 +978,43 @@ def cube_segments(spark, path):
     return _rounded(cb.roll_up(merged, ["segmento", "FRANJAHORARIA"]))
 
 
+def _ledger(spark, path) -> SegmentLedger:
+    """Segments by day, merged, one day inside a merged span rebuilt, and merged again."""
+    c = _cube(spark, path)
+    ledger = SegmentLedger(spark, f"{checkpoint_root(spark)}/ledger-{uuid.uuid4().hex}", ["FRANJAHORARIA", "ESTACION"])
+    ledger.refresh(c.fact, c.dims)
+    ledger.merge()
+    spans = [s for s in ledger.segments() if s.days > 1]
+    if spans:
+        ledger.refresh(c.fact, c.dims, [spans[0].last])
+        ledger.merge()
+    return ledger
+
+
+@query(q.cube() + f" SELECT FRANJAHORARIA, ESTACION, {q.MEASURES} FROM starview GROUP BY ALL")
+def cube_segment_ledger(spark, path):
+    """Measures from merged and rebuilt segments, with exact distinct songs across them."""
+    return _rounded(cb.roll_up(_ledger(spark, path).read(), ["FRANJAHORARIA", "ESTACION"]))
+
+
+@query(q.star() + """,
+dias AS (SELECT IDDate, make_date(IDDate // 10000, IDDate // 100 % 100, IDDate % 100) AS dia FROM fact WHERE IDDate > 0),
+ventanas AS (
+  SELECT dia, dia - ((dia - DATE '1970-01-01') % 7)::INTEGER AS w7, dia - ((dia - DATE '1970-01-01') % 28)::INTEGER AS w28,
+         max(dia) OVER () AS ultimo FROM dias),
+tramos AS (
+  SELECT CASE WHEN w28 + 27 <= ultimo THEN w28 WHEN w7 + 6 <= ultimo THEN w7 ELSE dia END AS a,
+         CASE WHEN w28 + 27 <= ultimo THEN 28 WHEN w7 + 6 <= ultimo THEN 7 ELSE 1 END AS n FROM ventanas)
+SELECT strftime(a, '%Y%m%d')::INTEGER AS primero, strftime(a + (n - 1)::INTEGER, '%Y%m%d')::INTEGER AS ultimo, n AS dias, count(*) AS plays FROM tramos GROUP BY a, n
+UNION ALL SELECT -1, -1, 1, count(*) FROM fact WHERE IDDate = -1 HAVING count(*) > 0""")
+def cube_segment_list(spark, path):
+    """The segments in force: complete windows of 28 days, then of 7, and single days."""
+    ledger = _ledger(spark, path)
+    held = spark.createDataFrame([(s.first, s.last, s.days) for s in ledger.segments()], "primero int, ultimo int, dias int")
+    plays = ledger.read().groupBy(F.col("segmento").alias("primero")).agg(F.sum("_COUNT_").alias("plays"))
+    return held.join(plays, "primero")
+
+
 @query(q.cube() + " SELECT FRANJAHORARIA, count(DISTINCT IDCancion) AS canciones FROM starview GROUP BY ALL")
 def distinct_songs(spark, path):
     """Exact distinct songs through mergeable bitmaps."""
