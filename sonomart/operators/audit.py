@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sonomart.functions.dates import play_time
 from sonomart.functions.measures import percentage
 from sonomart.plans.contract import FOREIGN_KEYS
 
@@ -54,3 +55,35 @@ def real_share(df: DataFrame, is_real: Column) -> DataFrame:
         percentage(F.col("reales"), F.col("total")).alias("pct_reales"),
         percentage(F.col("sinteticos"), F.col("total")).alias("pct_sinteticos"),
     )
+
+
+class Metrics:
+    """Counts taken while tables are written, so no table is read again for them."""
+
+    def __init__(self):
+        self._seen: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, table: str, **more: Column) -> DataFrame:
+        """``df`` with its rows, and the given aggregates, observed by whatever action runs it once."""
+        return df.observe(self.observation(table), F.count(F.lit(1)).alias("registros"), *[c.alias(name) for name, c in more.items()])
+
+    def observation(self, table: str) -> Observation:
+        """A new observation under the name of a table."""
+        self._seen[table] = Observation(table)
+        return self._seen[table]
+
+    def rows(self) -> list[tuple[str, str, int]]:
+        """(tabla, medida, valor), after the writes; null aggregates of empty tables count as 0."""
+        return [(table, name, int(value or 0)) for table, seen in self._seen.items() for name, value in sorted(seen.get.items())]
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.rows(), "tabla string, medida string, valor long")
+
+
+def play_faults() -> Column:
+    """Names of what is wrong with a raw play (trackName, artistName, endTime as text, msPlayed); empty if nothing is."""
+    blank = lambda c: F.col(c).isNull() | (F.col(c) == "")
+    return F.array_compact(F.array(
+        F.when(blank("trackName"), "sin_titulo"), F.when(blank("artistName"), "sin_artista"),
+        F.when(play_time(F.col("endTime")).isNull(), "hora_ilegible"),
+        F.when(F.col("msPlayed").isNull() | (F.col("msPlayed") < 0), "ms_invalidos")))

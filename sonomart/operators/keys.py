@@ -60,6 +60,29 @@ def scan_row_ids(df: DataFrame, id_col: str) -> DataFrame:
     return df.withColumn(id_col, F.monotonically_increasing_id())
 
 
+def content_ids(df: DataFrame, id_col: str, chunk: int = 10_000) -> DataFrame:
+    """Ids that follow from a row's content: the hash of all columns and of the row's ordinal among equal rows.
+
+    Loads that add rows keep the ids of all others, in whatever files they stand. Equal rows cannot be told apart, so they
+    are counted first, in each task before the shuffle, and written out again from their count; the copies of a row that
+    occurs more than ``chunk`` times are written out by several tasks. Ids are 64-bit hashes: among a billion rows the
+    chance of any two alike is about 3 %, so ``id_collisions`` belongs to the audit of a large load.
+    """
+    columns = df.columns
+    counts = stage(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")), "equal-rows")
+    few = counts.filter(F.col("_n") <= chunk).withColumn("_from", F.lit(1).cast("long"))
+    many = counts.filter(F.col("_n") > chunk).withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"), F.lit(chunk).cast("long"))))
+    many = many.repartition(*columns, "_from")
+    last = F.least(F.col("_n"), F.col("_from") + (chunk - 1))
+    rows = few.unionByName(many).withColumn("_ordinal", F.explode(F.sequence("_from", last)))
+    return rows.select(*columns, F.xxhash64(*columns, "_ordinal").alias(id_col))
+
+
+def id_collisions(df: DataFrame, id_col: str) -> DataFrame:
+    """One row: ids that more than one row carries."""
+    return df.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).agg(F.count_if(F.col("_n") > 1).alias("colisiones"))
+
+
 def distinct_filled(df: DataFrame, *columns: str) -> DataFrame:
     """Distinct combinations in which every column is non-null and non-empty."""
     out = df.select(*columns)

@@ -1,22 +1,28 @@
-"""The whole warehouse in one application: keys, linkage, dimensions, fact, audits."""
+"""The whole warehouse in one application: landing, keys, linkage, enrichment, dimensions, fact, audits.
+
+Every step can be repeated. Landing and enrichment go on where they stopped, play ids follow from the plays, and all counts
+are taken while the tables are written.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+import os
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonomart.functions import dates
 from sonomart.operators import audit
-from sonomart.operators.keys import distinct_filled
+from sonomart.operators.keys import content_ids, distinct_filled
 from sonomart.operators.staging import stage
 from sonomart.plans import dims as d
-from sonomart.plans.contract import CATALOGUE_FEATURES, STAR
+from sonomart.plans import enrichment
+from sonomart.plans.contract import CATALOGUE_FEATURES
 from sonomart.plans.fact import fact_historial
 from sonomart.plans.linkage import link_tracks, merge_catalogues
-from sonomart.sources import readers, writers
+from sonomart.sources import landing, readers, writers
 
 
 @dataclass(frozen=True)
@@ -31,9 +37,17 @@ class CatalogueSource:
 
 @dataclass(frozen=True)
 class BuildConfig:
-    """Where the Bronze inputs lie; ``None`` or a missing path stands for an absent optional source."""
+    """Where the inputs lie; ``None`` or a missing path stands for an absent optional source.
+
+    Raw ``exports`` are landed below ``bronze`` first; without them, ``users`` holds the files of all users. Answers kept
+    below ``responses`` stand in for the files of artist and album attributes; ``ask`` fetches those that are still open, by kind.
+    """
 
-    users: str
+    users: str | None = None
+    exports: str | None = None
+    bronze: str | None = None
+    responses: str | None = None
+    ask: Mapping[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)
     catalogues: Sequence[CatalogueSource] = ()
     personal_history: str | None = None
     linked_catalogue: str | None = None
@@ -85,20 +99,28 @@ def linked_catalogue(spark: SparkSession, cfg: BuildConfig, history: DataFrame)
     return link_tracks(played_tracks(history), own, catalogue, ["source_rank", "row_order"], seed=cfg.seed)
 
 
-def build(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
-    """Write all seven tables and return their row counts."""
-    history = readers.read_history(spark, f"{cfg.users}/*/StreamingHistory_music_*.json")
-    profiles = readers.read_profiles(spark, f"{cfg.users}/*/Userdata.json")
+def _inputs(spark: SparkSession, cfg: BuildConfig) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
+    """(plays, profiles, playlists, report of landed files)."""
+    if cfg.exports:
+        bronze = landing.Bronze(spark, cfg.bronze)
+        version = bronze.land(cfg.exports, os.path.basename(cfg.exports.rstrip("/")), cfg.force)
+        plays, files = bronze.history(version)
+        return plays, bronze.profiles(version), bronze.playlists(version), files
     playlists = readers.optional_source(
         spark, lambda: readers.read_json_files(spark, f"{cfg.users}/*/Playlist1.json", readers.PLAYLIST), readers.PLAYLIST
     )
-    if cfg.linked_catalogue:
-        catalogue = writers.ensure_path(
-            spark, cfg.linked_catalogue, lambda: linked_catalogue(spark, cfg, history), readers.LINKED_CATALOGUE, cfg.force
-        )
-    else:
-        catalogue = stage(linked_catalogue(spark, cfg, history), "linked")
-
+    return (readers.read_history(spark, f"{cfg.users}/*/StreamingHistory_music_*.json"),
+            readers.read_profiles(spark, f"{cfg.users}/*/Userdata.json"), playlists, None)
+
+
+def _attributes(spark: SparkSession, cfg: BuildConfig, catalogue: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(artist info, artist genres, album labels) from kept answers, else from files."""
+    if cfg.responses:
+        kept = enrichment.Responses(spark, cfg.responses)
+        for kind, keys in enrichment.questions(catalogue).items():
+            if kind in cfg.ask:
+                kept.gather(kind, keys, cfg.ask[kind])
+        return kept.artist_info(), kept.artist_genres(), kept.album_labels()
     info = _optional_csv(spark, cfg.artist_info, "Artista string, Tipo string, `País` string")
     info = info.select(F.col("Artista").alias("nombre"), F.col("Tipo").alias("tipo"), F.col("País").alias("pais"))
     genres = _optional_csv(spark, cfg.artist_genres, "Artista string, Genero string")
@@ -107,6 +129,31 @@ def build(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
     year = [c for c in labels.columns if c.lower() == "anyo"]
     labels = labels.select(F.col("Album").alias("album"), F.col("Artista").alias("artista"),
                            F.col("Productora").alias("productora"), *year)
+    return info, genres, labels
+
+
+PLAY = ["usuario", "endTime", "artistName", "trackName", "msPlayed"]
+FAULTY, METRICS = "fact_cuarentena", "auditoria_carga"
+
+
+def build(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
+    """Write all seven tables, the plays with faults and the audit; returns row counts by table.
+
+    Plays with faults stay in the fact, where what they lack is unknown, and are listed in ``fact_cuarentena`` with the
+    names of their faults. Plays of unreadable landed files are in neither.
+    """
+    metrics = audit.Metrics()
+    raw, profiles, playlists, files = _inputs(spark, cfg)
+    history = content_ids(raw.select(*PLAY), "play_id").withColumn("fallas", audit.play_faults())
+    faulty = F.count_if(F.size("fallas") > 0)
+    history = stage(metrics.watch(history, "reproducciones", con_fallas=faulty), "history")
+    if cfg.linked_catalogue:
+        catalogue = writers.ensure_path(
+            spark, cfg.linked_catalogue, lambda: linked_catalogue(spark, cfg, history), readers.LINKED_CATALOGUE, cfg.force
+        )
+    else:
+        catalogue = stage(linked_catalogue(spark, cfg, history), "linked")
+    info, genres, labels = _attributes(spark, cfg, catalogue)
 
     songs = d.catalogue_songs(catalogue, ["album", "duration_ms"])
     built = {
@@ -118,8 +165,13 @@ def build(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
         "dim_cancion": d.dim_cancion(songs, d.playlist_tracks(playlists)),
     }
     for table, df in d.with_all_unknowns(built).items():
-        writers.save_table(df, table)
+        writers.save_table(metrics.watch(df, table), table)
     stored = {t: spark.table(t) for t in built}
-    plays = history.withColumn("endTime", dates.play_time(F.col("endTime")))
-    writers.save_fact(fact_historial(plays, songs, stored, known_dates_only=True))
-    return audit.row_counts({t: spark.table(t) for t in STAR})
+    plays = history.drop("fallas").withColumn("endTime", dates.play_time(F.col("endTime")))
+    fact = fact_historial(plays, songs, stored, observation=metrics.observation("fact_historial"), known_dates_only=True)
+    writers.save_fact(fact)
+    writers.save_table(metrics.watch(history.filter(F.size("fallas") > 0), FAULTY), FAULTY)
+    if files is not None:
+        writers.save_table(metrics.watch(files, "archivos", ilegibles=F.count_if("ilegible")), "archivos")
+    writers.save_table(metrics.report(spark), METRICS)
+    return spark.table(METRICS).filter("medida = 'registros'").select("tabla", F.col("valor").alias("registros"))

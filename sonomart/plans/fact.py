@@ -43,7 +43,7 @@ def fact_historial(
     observation: Observation | None = None,
     known_dates_only: bool = False,
 ) -> DataFrame:
-    """Contract fact; ``keep_flag`` adds ``is_imputed``, ``observation`` counts rows and imputed rows.
+    """Contract fact; ``keep_flag`` adds ``is_imputed``, ``observation`` counts rows, imputed rows and unresolved keys.
 
     ``known_dates_only`` sends dates outside the calendar to the unknown member as well.
     """
@@ -52,7 +52,9 @@ def fact_historial(
         known = dims["dim_fecha"].select("idDate", F.lit(True).alias("_known"))
         out = out.join(known, "idDate", "left").withColumn("idDate", F.when(F.col("_known"), F.col("idDate")))
     if observation is not None:
-        out = out.observe(observation, F.count(F.lit(1)).alias("rows"), F.count_if("is_imputed").alias("imputed"))
+        keys = ("idCancion", "idArtista", "idAlbum", "idHora", "idDate", "idUsuario")
+        out = out.observe(observation, F.count(F.lit(1)).alias("registros"), F.count_if("is_imputed").alias("imputados"),
+                          *[F.count_if(F.col(k).isNull()).alias(f"sin_{k}") for k in keys])
     total = F.coalesce("msTotal", F.lit(0))
     out = out.select(
         F.col("play_id").alias("idhechos_historial"),

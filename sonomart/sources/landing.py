@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 
 from sonomart.operators.joins import pending
 from sonomart.operators.keys import keep_first
-from sonomart.sources.readers import optional_source
+from sonomart.operators.staging import stage
+from sonomart.sources import versions
+from sonomart.sources.readers import PLAYLIST, PROFILE, optional_source, parse_history, schema_of
 
 # Files taken from an export, by kind.
 USER_FILES = {
@@ -96,3 +99,68 @@ def landing_tally(wanted: DataFrame, landed: DataFrame) -> DataFrame:
     return wanted.join(marks, ["usuario", "name"], "left").agg(
         F.count_if("ok").alias("ok"), F.count_if(F.col("ok").isNull()).alias("err")
     )
+
+
+# Files read by name in one run; their names pass through the driver.
+MAX_PATHS = 1000
+LEDGER = "usuario string, kind string, name string, size bigint, modified timestamp, batch string"
+_FILE = ["usuario", "name", "size", "modified"]
+
+
+class Bronze:
+    """Landed export files below ``path``, with a published ledger of what counts.
+
+    A run lands the files whose user, name, size and time are not in the ledger: their contents go to a new folder, then the
+    next version of the ledger is published. A run that dies before leaves nothing that counts, so it can simply be
+    repeated, and a run without news publishes nothing. A changed file replaces its former self.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def ledger(self, version: int | None = None) -> DataFrame:
+        return versions.read(self.spark, self.path, LEDGER, version)
+
+    def land(self, exports: str, base: str, force: bool = False) -> int:
+        """Land the relevant files of all users below ``exports`` (which ends in the folder ``base``); the version in force."""
+        spark = self.spark
+        before = max(versions.published(spark, self.path), default=0)
+        held = self.ledger(before)
+        wanted = user_files(list_files(spark, exports), base)
+        news = stage(wanted if force else pending(wanted, held, _FILE), "landing-news")
+        if news.isEmpty():
+            return before
+        folder = versions.data_folder(self.path)
+        batch = folder.rsplit("=", 1)[1]
+        paths = [r.path for r in news.select("path").limit(MAX_PATHS + 1).collect()]
+        # A few files are read by name; beyond that, and where a name would be taken for a pattern, all are scanned.
+        named = len(paths) <= MAX_PATHS and not any(re.search(r"[\[\]{}*?\\,%]", p) for p in paths)
+        scan = spark.read.option("wholetext", True)
+        scan = scan.text(paths) if named else scan.option("recursiveFileLookup", True).text(exports)
+        contents = scan.select(F.url_decode(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("content"))
+        plain = F.regexp_replace("path", "^file:/+", "/")
+        landed = contents.withColumn("path", plain).join(news.withColumn("path", plain), "path")
+        landed.select("usuario", "kind", "name", "content").write.partitionBy("kind").parquet(folder)
+        fresh = news.select(*_FILE, "kind", F.lit(batch).alias("batch"))
+        kept = pending(held, fresh, ["usuario", "name"])
+        columns = [f.name for f in schema_of(LEDGER)]
+        return versions.publish(spark, self.path, kept.select(*columns).unionByName(fresh.select(*columns)), before)
+
+    def contents(self, kind: str, version: int | None = None) -> DataFrame:
+        """(usuario, name, content) of the files that count."""
+        held = self.ledger(version).filter(F.col("kind") == kind).select("usuario", "name", "batch")
+        nothing = "usuario string, name string, content string, batch string"
+        rows = optional_source(self.spark, lambda: self.spark.read.schema(f"{nothing}, kind string").option("basePath", f"{self.path}/data").parquet(
+            f"{self.path}/data"), f"{nothing}, kind string")
+        return rows.filter(F.col("kind") == kind).join(held, ["usuario", "name", "batch"], "left_semi").select("usuario", "name", "content")
+
+    def history(self, version: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """(plays, report): plays of all readable files, and per file its plays, those with a title, and whether it is unreadable."""
+        return parse_history(self.contents("history", version).withColumnRenamed("name", "archivo"))
+
+    def profiles(self, version: int | None = None) -> DataFrame:
+        rows = self.contents("profile", version).select(F.col("usuario").alias("nombre"), F.from_json("content", PROFILE).alias("p"))
+        return rows.select("p.*", "nombre")
+
+    def playlists(self, version: int | None = None) -> DataFrame:
+        return self.contents("playlist", version).select(F.from_json("content", PLAYLIST).alias("p")).select("p.*")

@@ -109,20 +109,31 @@ def unify_catalogue(
     )
 
 
-def scan_history_tree(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(plays, report) below a folder at any depth; unreadable files give no plays but a report row.
+def array_of(ddl: str) -> str:
+    """Type of an array of rows of a schema."""
+    return "array<struct<" + ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in schema_of(ddl).fields) + ">>"
+
 
-    The report counts plays, and plays with a title, per file and flags files that are not valid JSON.
+def parse_history(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(plays, report) of whole history files (``content`` beside columns that name the file).
+
+    The verdict is one per file: a file that is not valid JSON as a whole gives no play, also none from before the place where
+    it breaks. The report has every file with its plays, those with a title, and whether it is unreadable.
     """
-    schema = schema_of(HISTORY).add("_corrupt", "string")
-    raw = (
-        spark.read.schema(schema).option("multiline", True).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "StreamingHistory_music_*.json").json(folder)
-        .select("*", F.col("_metadata.file_path").alias("archivo"))
-    )
-    bad = F.col("_corrupt").isNotNull()
-    report = raw.groupBy("archivo").agg(
-        F.count_if(~bad).alias("reproducciones"), F.count("trackName").alias("con_titulo"), F.max(bad).alias("ilegible")
+    names = [c for c in files.columns if c != "content"]
+    parsed = files.select(*names, F.from_json("content", array_of(HISTORY)).alias("plays"))
+    titled = F.size(F.filter("plays", lambda p: p["trackName"].isNotNull()))
+    report = parsed.select(
+        *names, F.coalesce(F.when(F.col("plays").isNotNull(), F.size("plays")), F.lit(0)).cast("long").alias("reproducciones"),
+        F.coalesce(F.when(F.col("plays").isNotNull(), titled), F.lit(0)).cast("long").alias("con_titulo"), F.col("plays").isNull().alias("ilegible"))
+    return parsed.select(*names, F.inline("plays")), report
+
+
+def scan_history_tree(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(plays, report) of the history files below a folder at any depth, by ``archivo``; see ``parse_history``."""
+    files = (
+        spark.read.option("wholetext", True).option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "StreamingHistory_music_*.json").text(folder)
+        .select(F.col("_metadata.file_path").alias("archivo"), F.col("value").alias("content"))
     )
-    return raw.filter(~bad).drop("_corrupt"), report
+    return parse_history(files)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sonomart.operators.staging import stage, stage_all
 from sonomart.plans import dims as d
 from sonomart.plans.fact import fact_historial
+from sonomart.sources import versions
 
 
 _tables: dict[tuple[str, str, str], DataFrame] = {}
@@ -170,3 +171,30 @@ def warehouse(spark: SparkSession, path: str, large: bool = False) -> tuple[Data
         fact, dims = star(spark, path, large)
         _warehouses[key] = stage(fact, "fact"), dims
     return _warehouses[key]
+
+
+EXPORT_USERS, EXPORT_PLAYS = 7, 10_000
+
+
+def export_tree(spark: SparkSession, path: str, root: str) -> str:
+    """Events as raw exports ``root/usuarios/<user>/StreamingHistory_music_<k>.json``, one JSON array of some thousand plays each.
+
+    The file of the last user's first plays breaks off half-way. Returns ``root/usuarios``.
+    """
+    events = table(spark, path, "events")
+    files = -(-events.count() // (EXPORT_USERS * EXPORT_PLAYS))
+    play = F.struct(
+        F.date_format("ts", "yyyy-MM-dd HH:mm").alias("endTime"), F.col("event_type").alias("artistName"),
+        F.col("props").alias("trackName"), F.floor("value").cast("long").alias("msPlayed"))
+    rows = events.select((F.col("user_id") % EXPORT_USERS).cast("int").alias("u"), (F.col("event_id") % files).cast("int").alias("k"), play.alias("p"))
+    whole = rows.groupBy("u", "k").agg(F.to_json(F.collect_list("p")).alias("value"))
+    broken = (F.col("u") == EXPORT_USERS - 1) & (F.col("k") == 0)
+    cut = F.when(broken, F.substring("value", F.lit(1), (F.length("value") / 2).cast("int"))).otherwise(F.col("value"))
+    whole.select("u", "k", cut.alias("value")).write.partitionBy("u", "k").text(f"{root}/parts")
+    fs, _, at = versions._hadoop(spark, root)
+    for u in versions.names(spark, f"{root}/parts"):
+        for k in versions.names(spark, f"{root}/parts/{u}") if u.startswith("u=") else []:
+            (part,) = [n for n in versions.names(spark, f"{root}/parts/{u}/{k}") if n.startswith("part-")]
+            fs.mkdirs(at(f"{root}/usuarios/U{u[2:]}"))
+            fs.rename(at(f"{root}/parts/{u}/{k}/{part}"), at(f"{root}/usuarios/U{u[2:]}/StreamingHistory_music_{k[2:]}.json"))
+    return f"{root}/usuarios"

@@ -14,8 +14,9 @@ from sonomart.operators.staging import checkpoint_root, stage
 from sonomart.plans import cube as cb
 from sonomart.plans import cuboidstore
 from sonomart.plans import dims as d
-from sonomart.plans import linkage
+from sonomart.plans import enrichment, linkage
 from sonomart.plans.contract import CATALOGUE_FEATURES, FEATURES, NOISY_FEATURES, conform
+from sonomart.plans.fact import fact_historial
 from sonomart.plans.segments import SegmentLedger
 from sonomart.sources import landing, readers, writers
 from sonomart.workload import inputs as inp
@@ -107,6 +108,35 @@ def holiday_flag(spark, path):
     return flagged.groupBy("festivo", "anio").agg(F.sum("n").alias("pedidos"), F.round(F.sum("s"), 2).alias("importe"))
 
 
+_RULES = (
+    ("año nuevo", "fixed", 1, 1, None, None, True, None, None, None), ("lunes de pascua", "easter", None, None, None, 1, False, "CT", None, None),
+    ("jueves santo", "easter", None, None, None, -3, False, "MD", None, 1994), ("dos de mayo", "fixed", 5, 2, None, None, True, "MD", None, None),
+    ("navidad", "fixed", 12, 25, None, None, True, None, 1993, None), ("primer lunes de mayo", "weekday", 5, 1, 2, None, False, None, None, None),
+    ("ultimo lunes de agosto", "weekday", 8, 0, 2, None, False, "MD", None, None), ("quinto viernes", "weekday", 2, 5, 6, None, False, None, None, None),
+    ("bisiesto", "fixed", 2, 29, None, None, False, None, None, None))
+
+
+@query(q.with_("years AS (SELECT DISTINCT year(o_orderdate) AS y FROM orders)", q.EASTER, """
+dias AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders),
+calendario AS (SELECT unnest(generate_series(make_date(min(y), 1, 1), make_date(max(y), 12, 31), INTERVAL 1 DAY))::DATE AS d FROM years),
+movidos AS (
+  SELECT d + CASE WHEN dayofweek(d) = 0 THEN 1 ELSE 0 END AS d FROM calendario
+  WHERE strftime(d, '%m-%d') IN ('01-01', '05-02') OR (strftime(d, '%m-%d') = '12-25' AND year(d) >= 1993)),
+fiestas AS (
+  SELECT d FROM movidos UNION SELECT fecha - 1 FROM good_friday WHERE year(fecha) <= 1994
+  UNION SELECT d FROM calendario WHERE month(d) = 5 AND dayofweek(d) = 1 AND day(d) <= 7
+  UNION SELECT d FROM calendario WHERE month(d) = 8 AND dayofweek(d) = 1 AND day(d) >= 25
+  UNION SELECT d FROM calendario WHERE month(d) = 2 AND (day(d) = 29 OR (day(d) > 28 AND dayofweek(d) = 5)))""") + """
+SELECT year(o_orderdate)::INTEGER AS anio, count(*) AS pedidos, count(DISTINCT o_orderdate::DATE) AS dias
+FROM orders WHERE o_orderdate::DATE IN (SELECT d FROM fiestas) GROUP BY ALL""")
+def holiday_rules(spark, path):
+    """Orders on the holidays of one region, from fixed, moved, Easter and weekday rules with regions and years."""
+    orders = inp.table(spark, path, "orders").select(F.to_date("o_orderdate").alias("fecha"), F.year("o_orderdate").alias("anio"))
+    per_day = orders.groupBy("fecha", "anio").agg(_count().alias("n"))
+    marks = dates.holidays(per_day, spark.createDataFrame(_RULES, dates.HOLIDAY_RULES), "MD").select("fecha").distinct()
+    return per_day.join(marks, "fecha").groupBy("anio").agg(F.sum("n").alias("pedidos"), _count().alias("dias"))
+
+
 @query("""
 SELECT CASE WHEN m <= 2 THEN '0-2 min' WHEN m <= 4 THEN '2-4 min' WHEN m <= 7 THEN '4-7 min' WHEN m <= 11 THEN '7-11 min'
             ELSE '11+ min' END AS rango,
@@ -192,6 +222,23 @@ def row_ids_unique(spark, path):
     return rows.agg(_count().alias("filas"), F.count_distinct("id").alias("ids"))
 
 
+@query("""
+SELECT count(*) AS filas, count(*) AS ids, count_if(l_shipdate < DATE '1996-01-01')::BIGINT AS antes, count_if(l_shipdate < DATE '1996-01-01')::BIGINT AS conservados,
+       count(DISTINCT (l_linestatus, l_returnflag, l_linenumber)) AS distintas
+FROM lineitem""")
+def row_ids_stable(spark, path):
+    """Ids from content, for rows of few columns and so with many copies: a load that adds rows keeps all former ids."""
+    columns = ["l_linestatus", "l_returnflag", "l_linenumber"]
+    lines = inp.table(spark, path, "lineitem")
+    old = keys.content_ids(lines.filter("l_shipdate < DATE '1996-01-01'").select(*columns), "id", chunk=500)
+    new = stage(keys.content_ids(lines.select(*columns), "id", chunk=500), "ids")
+    both = new.join(old.select("id", F.lit(True).alias("old")), "id", "left")
+    counts = both.agg(_count().alias("filas"), F.count_distinct("id").alias("ids"), F.count("old").alias("conservados"),
+                      F.count_distinct(F.struct(*columns)).alias("distintas"), F.lit(1).alias("k"))
+    before = old.agg(_count().alias("antes"), F.lit(1).alias("k"))
+    return counts.join(before, "k").select("filas", "ids", "antes", "conservados", "distintas")
+
+
 @query(q.with_(q.SONGS) + "SELECT row_id, cancion, artista, album FROM songs")
 def dedup_keep_first(spark, path):
     return inp.songs(spark, path).select("row_id", "cancion", "artista", "album")
@@ -322,6 +369,38 @@ def imputation_report(spark, path):
     return audit.imputation_report(inp.star(spark, path, keep_flag=True)[0])
 
 
+_KEYS = ("idCancion", "idArtista", "idAlbum", "idHora", "idDate", "idUsuario")
+
+
+@query(q.star() + " SELECT 'fact_historial' AS tabla, 'registros' AS medida, count(*) AS valor FROM fact"
+       " UNION ALL SELECT 'fact_historial', 'imputados', count_if(is_imputed)::BIGINT FROM fact" + "".join(
+           f" UNION ALL SELECT 'fact_historial', 'sin_{k}', count(*) - count({k}) FROM fact_raw" for k in _KEYS))
+def load_audit(spark, path):
+    """Rows, imputed rows and unresolved keys of the fact, observed while it is written."""
+    rows = inp.plays(spark, path)
+    song_rows = stage(inp.songs(spark, path), "songs")
+    dims = inp.dimensions(spark, path, inp.days_between(inp.table(spark, path, "events"), "ts"), song_rows)
+    metrics = audit.Metrics()
+    stage(fact_historial(rows, song_rows, dims, observation=metrics.observation("fact_historial")), "fact")
+    return metrics.report(spark)
+
+
+@query("""
+SELECT fallas, count(*) AS n FROM (SELECT array_to_string(list_filter([
+  CASE WHEN event_type = 'signup' THEN 'sin_titulo' END, CASE WHEN user_id % 9 = 0 THEN 'sin_artista' END,
+  CASE WHEN event_type = 'error' THEN 'hora_ilegible' END, CASE WHEN value < 20 OR event_type = 'purchase' THEN 'ms_invalidos' END], lambda x: x IS NOT NULL), ',') AS fallas
+FROM events) GROUP BY fallas""")
+def play_faults(spark, path):
+    """Raw plays by what is wrong with them."""
+    kind = F.col("event_type")
+    raw = inp.table(spark, path, "events").select(
+        F.when(kind == "signup", "").otherwise(F.col("props")).alias("trackName"),
+        F.when(F.col("user_id") % 9 != 0, kind).alias("artistName"),
+        F.when(kind == "error", F.date_format("ts", "dd/MM/yyyy HH:mm")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm")).alias("endTime"),
+        F.when(kind != "purchase", F.floor(F.col("value") - 20)).alias("msPlayed"))
+    return raw.groupBy(F.concat_ws(",", audit.play_faults()).alias("fallas")).agg(_count().alias("n"))
+
+
 @query(q.star() + """
 SELECT IDHora, count(*) AS plays, round(avg(danceability), 6) AS media, sum(msNoEscuchados)::BIGINT AS sin_escuchar
 FROM fact WHERE danceability > 0 GROUP BY ALL""")
@@ -698,6 +777,40 @@ def history_scan(spark, path):
     return plays.groupBy("usuario").agg(_count().alias("n"), F.countDistinct("endTime").alias("tiempos"), F.sum("msPlayed").alias("ms"))
 
 
+_FILES = """
+WITH n AS (SELECT (count(*) + 69999) // 70000 AS n FROM events),
+plays AS (SELECT 'U' || user_id % 7 AS usuario, 'StreamingHistory_music_' || event_id % n || '.json' AS archivo, floor(value) AS ms, event_type FROM events, n),
+files AS (SELECT usuario, archivo, usuario = 'U6' AND archivo = 'StreamingHistory_music_0.json' AS ilegible, count(*) AS filas, sum(ms)::BIGINT AS suma FROM plays GROUP BY ALL)
+"""
+
+
+@query(_FILES + "SELECT usuario, archivo, CASE WHEN ilegible THEN 0 ELSE filas END AS reproducciones, ilegible, CASE WHEN NOT ilegible THEN suma END AS ms FROM files")
+def quarantine_scan(spark, path):
+    """A folder of exports one of whose files breaks off: it is reported and adds no play."""
+    folder = inp.export_tree(spark, path, f"{checkpoint_root(spark)}/exports-{uuid.uuid4().hex}")
+    plays, report = readers.scan_history_tree(spark, folder)
+    plays = plays.groupBy("archivo").agg(_count().alias("reproducciones"), F.sum("msPlayed").alias("ms"))
+    named = report.select("archivo", "ilegible").join(plays, "archivo", "left").fillna(0, ["reproducciones"])
+    parts = F.split("archivo", "/")
+    return named.select(F.element_at(parts, -2).alias("usuario"), F.element_at(parts, -1).alias("archivo"), "reproducciones", "ilegible", "ms")
+
+
+@query(_FILES + """
+SELECT usuario, count(*) AS archivos, sum(CASE WHEN ilegible THEN 0 ELSE filas END)::BIGINT AS plays,
+       sum(CASE WHEN NOT ilegible THEN suma END)::BIGINT AS ms, 1 AS version FROM files GROUP BY usuario""")
+def landing_ledger(spark, path):
+    """Raw exports landed to Bronze with a ledger; a second run lands nothing and publishes no version."""
+    root = f"{checkpoint_root(spark)}/landing-{uuid.uuid4().hex}"
+    folder = inp.export_tree(spark, path, root)
+    bronze = landing.Bronze(spark, f"{root}/bronze")
+    bronze.land(folder, "usuarios")
+    version = bronze.land(folder, "usuarios")
+    plays, _ = bronze.history()
+    files = bronze.ledger().groupBy("usuario").agg(_count().alias("archivos"))
+    sums = plays.groupBy("usuario").agg(_count().alias("plays"), F.sum("msPlayed").alias("ms"))
+    return files.join(sums, "usuario", "left").fillna(0, ["plays"]).withColumn("version", F.lit(version))
+
+
 @query("SELECT p_partkey, p_name, p_size FROM part UNION ALL SELECT NULL, 'none', 0 WHERE false")
 def optional_inputs(spark, path):
     """A source that is there and one that is not: the absent one is empty, with its schema."""
@@ -788,6 +901,46 @@ def response_first_label(spark, path):
     return stored.select("p_partkey", responses.first_label(F.col("r"), F.col("w")).alias("productora"))
 
 
+@query("""
+SELECT s_name AS nombre, CASE WHEN s_acctbal < 0 OR s_acctbal > 9000 THEN 'Desconocido' ELSE 'Group' END AS tipo,
+       CASE WHEN s_acctbal < 0 THEN 'Desconocido' WHEN s_suppkey % 5 = 0 THEN 'later ' || n_name ELSE n_name END AS pais,
+       1 + (s_suppkey % 5 = 0)::INTEGER AS respuestas
+FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 7 <> 0""")
+def enrichment_resume(spark, path):
+    """Artist lookups in batches: the first run is cut off, the second asks for the rest; later answers replace earlier ones.
+
+    Every seventh supplier never gets an answer and stays open.
+    """
+    supplier, nation = inp.table(spark, path, "supplier"), inp.table(spark, path, "nation")
+    kind = F.when(F.col("s_acctbal") <= 9000, F.lit("Group"))
+
+    def answers(country):
+        hit = F.struct(kind.alias("type"), country.alias("country"))
+        hits = F.when(F.col("s_acctbal") < 0, F.filter(F.array(hit), lambda _: F.lit(False))).otherwise(F.array(hit))
+        return supplier.filter("s_suppkey % 7 <> 0").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+            F.col("s_name").alias("artista"), "s_suppkey", F.to_json(F.struct(hits.alias("artists"))).alias("response"))
+
+    known = stage(answers(F.col("n_name")), "answers")
+    asked = []
+
+    def ask(open_keys, stop):
+        if len(asked) == stop:
+            raise TimeoutError("cut off")
+        asked.append(1)
+        return open_keys.join(known, "artista").select("artista", "album", "response")
+
+    store = enrichment.Responses(spark, f"{checkpoint_root(spark)}/responses-{uuid.uuid4().hex}")
+    wanted = supplier.select(F.col("s_name").alias("artista"), F.lit(None).cast("string").alias("album"))
+    size = -(-supplier.count() // 3)
+    try:
+        store.gather(enrichment.ARTISTS, wanted, lambda k: ask(k, 1), size)
+    except TimeoutError:
+        store.gather(enrichment.ARTISTS, wanted, lambda k: ask(k, None), size)
+    store.append(enrichment.ARTISTS, answers(F.concat(F.lit("later "), F.col("n_name"))).filter("s_suppkey % 5 = 0"))
+    times = store.all(enrichment.ARTISTS).groupBy(F.col("artista").alias("nombre")).agg(_count().cast("int").alias("respuestas"))
+    return store.artist_info().join(times, "nombre")
+
+
 _HIT_SQL = ", ".join(f"CASE WHEN p_size <= 45 THEN (p_size + {i}) / 50.0::DOUBLE END AS {f}" for i, f in enumerate(FEATURES))
 
 
