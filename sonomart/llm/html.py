@@ -7,13 +7,15 @@ reads them: no shuffle, and one page in memory at a time.
 
 * Scripts, styles, comments of the markup, hidden parts, and the head never make blocks.
 * Blocks inside menus, headers and footers of the page, sidebars, forms, adverts, notices and reader
-  comments are bad, told by element, or by the words of ``class`` and ``id``.
-  A class or id never puts away ``article``, ``main``, or what holds most of the page's text.
-* Where a page marks its content (``article`` or ``main``) and most long blocks stand in it, blocks outside are bad,
-  and inside only link lists are; undecided blocks look for neighbours inside. A content element without any decided
-  block is good.
-* Elsewhere: many links bad; short undecided; long with common words good, with few bad. On a page with few common
-  words throughout, which is in a language without a list, long is good. Short copyright lines at the end are bad.
+  comments are bad, told by element, or by a whole name in ``class``, ``id`` or ``role`` (``comments``, ``sidebar-left``),
+  however much text that is. A name of which only a part says so (``share-price``, ``has-sidebar``) leaves its blocks
+  undecided, unless the page has no other good block. No name puts away ``article`` or ``main``.
+* A page marks its content if an ``article`` or ``main`` has the form of one: a long block and a heading that is no link, or
+  two long blocks. Blocks outside are bad then, and inside only link lists are; undecided blocks look for
+  neighbours inside. A content element without any decided block is good.
+* Elsewhere: many links bad; short undecided; long with common words good. Long with few common words (code, lists of names)
+  is good between good blocks only. On a page with few common words throughout, which is in a language without a list, long
+  is good. Short copyright lines at the end are bad.
 
 Defined results
 ---------------
@@ -43,8 +45,8 @@ STOP_WORDS = frozenset(
 
 RAW = "script|style|noscript|template|svg|iframe|object|canvas|title|textarea|select|audio|video|math"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+>?"
-    r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?P<end>>?)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+>?"
+    r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*+)(?P<attrs>(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)(?P<end>>?)"
     r"|<[!?/][^>]*+>?|[^<]++|<", re.S | re.I)
 BREAKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -57,8 +59,8 @@ NESTED = frozenset(
 # Elements without markup inside; open ones reach to the end of the page.
 PLAIN = frozenset(("script", "style"))
 SKIPPED = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<plain>script|style)\b(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+>?.*?(?:</(?P=plain)\s*+>|\Z)"
-    rf"|<(?P<close>/?)(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+>?", re.S | re.I)
+    rf"<!--.*?(?:-->|\Z)|<(?P<plain>script|style)\b(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+>?.*?(?:</(?P=plain)\s*+>|\Z)"
+    rf"|<(?P<close>/?)(?P<raw>{RAW})\b(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+>?", re.S | re.I)
 BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(BREAKS))})\b", re.I)
 CONTENT = frozenset(("article", "main"))
 AWAY = frozenset("nav aside footer form button menu dialog fieldset head".split())
@@ -67,8 +69,13 @@ AWAY_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice "
     "notices popup modal overlay newsletter subscribe sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination footer "
     "masthead social share sharing related recommended comment comments respond replies disqus widget login signup skip".split())
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.I)
+# Names of attributes; a quote opens a string only right behind the equals sign.
+ATTRIBUTE = re.compile(r"""([^\s=/>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 PIECE = re.compile(r"[a-z]+")
+# Words that say where something stands or that it is a part, not what it is.
+PLACE_WORDS = frozenset(
+    "area bar block body bottom box col column container content foot group head header inner item items left link links list main "
+    "outer page panel post primary region right row secondary section site thread title top wrap wrapper".split())
 WORD = re.compile(r"\w+")
 
 MAX_LINK_DENSITY = 0.3
@@ -85,24 +92,36 @@ class Block:
     heading: bool
     away: bool
     content: int  # number of the content element it stands in, 0 outside
-    named: tuple[int, ...] = ()  # elements around it whose class or id speaks against it
+    doubted: bool = False  # a part of a class or id around it speaks against it
+    low: bool = False  # long, with few common words
     label: str = ""
 
 
+def _speaks(name: str) -> tuple[bool, bool]:
+    """Whether a class, id or role as a whole says that something is no content, and whether a part of it does."""
+    pieces = PIECE.findall(name)
+    known = AWAY_WORDS.intersection(pieces)
+    return bool(known) and all(p in known or p in PLACE_WORDS for p in pieces), bool(known)
+
+
 def _is_away(tag: str, attrs: str, in_content: bool) -> tuple[bool, bool]:
-    """Whether an element is hidden or no content by its kind, and whether its class, id or role says so."""
+    """Whether an element is hidden or no content, and whether a part of its class or id makes that doubtful."""
     if tag in AWAY or (tag == "header" and not in_content):
         return True, False
-    named = False
+    doubted = False
     for name, value in ATTRIBUTE.findall(attrs) if attrs else ():
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True, False
         if name == "style" and "display:none" in value.replace(" ", ""):
             return True, False
-        if name in ("class", "id", "role") and tag not in ("body", "html", *CONTENT) and not AWAY_WORDS.isdisjoint(PIECE.findall(value)):
-            named = True
-    return False, named
+        if name in ("class", "id", "role") and tag not in ("body", "html", *CONTENT):
+            for one in value.split():
+                whole, part = _speaks(one)
+                if whole:
+                    return True, False
+                doubted = doubted or part
+    return False, doubted
 
 
 def _skips(page: str) -> dict[int, int]:
@@ -141,34 +160,20 @@ def _tokens(page: str) -> Iterator[re.Match]:
             yield token
 
 
-def _release(found: list[Block]) -> None:
-    """Put away what stands in elements that a class or id speaks against, but for those with most of the page's text."""
-    sizes: dict[int, int] = {}
-    seen = [b for b in found if not b.away]
-    for b in seen:
-        for k in b.named:
-            sizes[k] = sizes.get(k, 0) + len(b.text)
-    total = sum(len(b.text) for b in seen)
-    marked_outside = any(b.content and not b.named for b in seen)  # content elsewhere, so this may be its comments
-    most = {k for k, n in sizes.items() if 2 * n > total and not marked_outside}
-    for b in seen:
-        b.away = not most.issuperset(b.named)
-
-
 def blocks(page: str) -> list[Block]:
     """Blocks of text in page order, with where they stand."""
     out: list[Block] = []
     pieces: list[str] = []
-    stack: list[tuple[str, bool, int, tuple[int, ...]]] = []  # tag, away, content number, named elements
-    links, link_chars, heading, contents, breaks, names = 0, 0, False, 0, 0, 0
+    stack: list[tuple[str, bool, int, bool]] = []  # tag, away, content number, doubted
+    links, link_chars, heading, contents, breaks = 0, 0, False, 0, 0
 
     def close():
         nonlocal link_chars
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                away, content, named = stack[-1][1:] if stack else (False, 0, ())
-                out.append(Block(text, link_chars, heading, away, content, named=named))
+                away, content, doubted = stack[-1][1:] if stack else (False, 0, False)
+                out.append(Block(text, link_chars, heading, away, content, doubted))
             pieces.clear()
         link_chars = 0
 
@@ -212,24 +217,22 @@ def blocks(page: str) -> list[Block]:
                         del stack[at:]
                         break
             elif not token["attrs"].endswith("/"):
-                above_away, content, named = stack[-1][1:] if stack else (False, 0, ())
-                away, speaks = _is_away(tag, token["attrs"], bool(content))
-                if (away or speaks) and not above_away:
+                above_away, content, above_doubted = stack[-1][1:] if stack else (False, 0, False)
+                away, doubted = _is_away(tag, token["attrs"], bool(content))
+                if (away or doubted) and not above_away:
                     close()
                 away = above_away or away
-                if speaks:
-                    names += 1
-                    named = (*named, names)
                 if tag in CONTENT and not away and not content:
                     contents += 1
                     content = contents
-                stack.append((tag, away, content, named))
+                stack.append((tag, away, content, above_doubted or doubted))
         elif tag == "p" and not closing and token["attrs"] and any(_is_away(tag, token["attrs"], False)):
-            stack.append(("p", True, stack[-1][2] if stack else 0, ()))
+            above_away, content, above_doubted = stack[-1][1:] if stack else (False, 0, False)
+            away, doubted = _is_away(tag, token["attrs"], False)
+            stack.append(("p", above_away or away, content, above_doubted or doubted))
         if tag in ("p", *BREAKS) and stack and stack[-1][0] == "p" and not (tag == "p" and not closing and token["attrs"]):
             stack.pop()
     close()
-    _release(out)
     return out
 
 
@@ -260,14 +263,16 @@ def judge(block: Block, marked: bool, listed: bool = True, last: bool = True) ->
     density = _density(block.text)
     if density >= STOP_HIGH or not (listed or marked):
         return "good"
-    return "bad" if density < STOP_LOW and not marked else "undecided"
+    block.low = density < STOP_LOW and not marked
+    return "undecided"
 
 
 def inherit(found: list[Block], marked: bool) -> None:
     """Pass two: undecided blocks take the label of the nearest decided ones on both sides.
 
     Where the sides differ, or one is missing, marked content stays good; elsewhere headings are good and other
-    blocks bad. Inside a content element only blocks of that element count.
+    blocks bad. Long blocks with few common words are good only between good ones. Inside a content element only blocks of
+    that element count.
     """
     undecided = [i for i, b in enumerate(found) if b.label == "undecided"]
     if not undecided:
@@ -286,7 +291,9 @@ def inherit(found: list[Block], marked: bool) -> None:
                 last = labels[i]
     for i in undecided:
         near = {before[i], after[i]} - {None}
-        if not near:
+        if found[i].low:
+            found[i].label = "good" if before[i] == after[i] == "good" else "bad"
+        elif not near:
             found[i].label = "good"  # nothing around it speaks against it
         elif len(near) == 1 and not (marked and None in (before[i], after[i])):
             found[i].label = near.pop()
@@ -294,17 +301,31 @@ def inherit(found: list[Block], marked: bool) -> None:
             found[i].label = "good" if marked or found[i].heading else "bad"
 
 
+def _marks(found: list[Block]) -> bool:
+    """Whether some content element has the form of an article."""
+    long_: dict[int, int] = {}
+    headed = set()
+    for b in found:
+        if b.content and not b.away:
+            long_[b.content] = long_.get(b.content, 0) + _long(b)
+            if b.heading and b.link_chars <= MAX_LINK_DENSITY * len(b.text):
+                headed.add(b.content)
+    return any(n > 1 or (n and content in headed) for content, n in long_.items())
+
+
 def extract(page: str | None) -> str:
     """Main text of one page: good blocks joined by line ends."""
     if not page:
         return ""
     found = blocks(page)
-    long_ = [b for b in found if _long(b)]
-    inside = sum(len(b.text) for b in long_ if b.content)
-    marked = any(b.content and not b.away for b in found) and 2 * inside >= sum(len(b.text) for b in long_)
-    listed = marked or _density(" ".join(b.text for b in long_)) >= STOP_LOW
+    marked = _marks(found)
+    listed = marked or _density(" ".join(b.text for b in found if _long(b))) >= STOP_LOW
     for k, b in enumerate(found):
         b.label = judge(b, marked, listed, k >= len(found) - LAST_BLOCKS)
+    if any(b.label == "good" and not b.doubted for b in found):
+        for b in found:
+            if b.label == "good" and b.doubted:
+                b.label = "undecided"
     inherit(found, marked)
     return "\n".join(b.text for b in found if b.label == "good")
 

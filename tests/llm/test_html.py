@@ -65,3 +65,77 @@ def test_unmarked_pages_keep_articles():
     assert html.extract(f"<p>{law}</p><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p><p>© {PROSE}</p>").split("\n") == [law, PROSE, PROSE, PROSE]
     body = "\n".join([PROSE] * 4)
     assert html.extract("<div>" + f"<p>{PROSE}</p>" * 4 + f"</div><article><p>Short teaser.</p></article>").startswith(body)
+
+
+def test_whole_names_decide_whatever_their_size():
+    for name in ("class=comments", "id=sidebar", 'class="x comment-list"', "id=main-nav", "role=navigation", 'class="ad banner"'):
+        page = f"<div><p>{PROSE}</p></div><div {name}><p>{PROSE * 3}</p><p>{PROSE * 3}</p></div>"
+        assert html.extract(page) == PROSE, name
+
+
+def test_parts_of_names_leave_blocks_to_their_neighbours():
+    for name in ("share-price", "social-history", "notice-period", "ad-hoc", "has-sidebar"):
+        page = f"<article><h1>Head</h1><p>{PROSE}</p><div class={name}><p>{PROSE} In.</p></div><p class={name}>{PROSE} At.</p><p>{PROSE} End.</p></article>"
+        assert html.extract(page).split("\n") == ["Head", PROSE, f"{PROSE} In.", f"{PROSE} At.", f"{PROSE} End."]
+        assert html.extract(f"<div class={name}><p>{PROSE}</p><p>{PROSE} Two.</p></div>").split("\n") == [PROSE, f"{PROSE} Two."]
+    links = "<p><a href=x>a link that is long enough to count as a line of links</a></p>"
+    assert html.extract(f"<p>{PROSE}</p>{links}<div class=share-price><p>{PROSE} X.</p></div>{links}") == PROSE
+
+
+def test_quotes_open_strings_only_behind_the_equals_sign():
+    page = f"<article><p>{PROSE}</p><img alt=Bob's><p>{PROSE} Two.</p><img alt=a\"b title='x > y'><p>{PROSE} It's.</p><svg class=Bob's></svg><p>{PROSE} End.</p></article>"
+    assert html.extract(page).split("\n") == [PROSE, f"{PROSE} Two.", f"{PROSE} It's.", f"{PROSE} End."]
+    # Names inside a value are no attributes.
+    assert html.extract(f'<div title="class=comments hidden id=sidebar"><p>{PROSE}</p></div>') == PROSE
+
+
+def test_code_and_names_between_good_paragraphs():
+    code, names = "for (i = 0; i < n; i++) { total[i] = alpha[i] * beta[i]; print(total[i]); } // " * 2, "Anna Meier, Bert Klose, Carla Ruiz, Dora Lind, " * 3
+    page = f"<p>{PROSE}</p><pre>{entities.escape(code)}</pre><p>{names}</p><p>{PROSE}</p><p>{names}</p><p><a href=a>menu link one</a></p>"
+    assert html.extract(page).split("\n") == [PROSE, " ".join(code.split()), names.strip(), PROSE]
+
+
+def test_teaser_card_beside_an_unmarked_body():
+    body = "".join(f"<p>{PROSE}</p>" for _ in range(3))
+    card = f"<article><h3><a href=x>Another story of the day</a></h3><p>{PROSE} Teaser.</p></article>"
+    assert html.extract(f"<div>{body}</div>{card}").startswith("\n".join([PROSE] * 3))
+
+
+def test_inherit_equals_brute_force():
+    import random
+    rng = random.Random(6)
+    for _ in range(300):
+        marked = rng.random() < 0.5
+        found = [html.Block("t", 0, rng.random() < 0.2, rng.random() < 0.2, 0 if not marked else rng.randrange(1, 3), low=not marked and rng.random() < 0.2)
+                 for _ in range(rng.randrange(1, 12))]
+        for b in found:
+            b.label = "bad" if b.away else rng.choice(["good", "bad", "undecided", "undecided"])
+            b.low = b.low and b.label == "undecided"
+        labels, want = [b.label for b in found], []
+        for i, b in enumerate(found):
+            if labels[i] != "undecided":
+                want.append(labels[i])
+                continue
+            sides = []
+            for order in (range(i - 1, -1, -1), range(i + 1, len(found))):
+                side = None
+                for j in order:
+                    if found[j].away:
+                        continue
+                    if found[j].content != b.content:
+                        break
+                    if labels[j] != "undecided":
+                        side = labels[j]
+                        break
+                sides.append(side)
+            if b.low:
+                want.append("good" if sides == ["good", "good"] else "bad")
+            elif sides == [None, None]:
+                want.append("good")
+            elif None in sides or sides[0] == sides[1]:
+                known = next(x for x in sides if x)
+                want.append("good" if marked and None in sides else known)
+            else:
+                want.append("good" if marked or b.heading else "bad")
+        html.inherit(found, marked)
+        assert [b.label for b in found] == want
