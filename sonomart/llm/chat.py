@@ -21,6 +21,7 @@ Defined results
 ---------------
 * Null text and null role are empty. A null conversation id is a conversation of its own. Null sequence
   numbers come first. Equal sequence numbers are ordered by event kind, role and text.
+* Events without a turn number belong to one turn that stands before all others.
 * Events for turns that were never opened open them. An empty log gives an empty result; repeated events are
   applied again.
 * Only the named columns are read.
@@ -40,6 +41,8 @@ START, END = "<|im_start|>", "<|im_end|>"
 TRAINED_ROLE = "assistant"
 DELTA_CHARS = 1024
 PART_CHARS = 1 << 20
+# Stands for a null turn, before all others.
+FIRST_TURN = -(1 << 63)
 
 PARTS = "conv_id string, part long, text string, loss array<struct<start:int,end:int>>"
 DIGESTS = ("conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
@@ -206,10 +209,11 @@ def _fold_messages(part_chars: int):
 
 def format_log(events: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
     """Parts of the formatted conversations of a log (conv_id, seq, kind, turn, role, text, sealed)."""
-    rows = events.select(F.col("conv_id").cast("long").alias("conv_id"), "seq", "kind", F.col("turn").cast("long").alias("turn"),
+    turn = F.coalesce(F.col("turn").cast("long"), F.lit(FIRST_TURN))
+    rows = events.select(F.col("conv_id").cast("long").alias("conv_id"), "seq", "kind", turn.alias("turn"),
                          F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
                          F.coalesce("sealed", F.lit(False)).alias("sealed"))
-    rows = rows.filter("turn IS NOT NULL").repartition("conv_id").sortWithinPartitions("conv_id", "seq", "kind", "turn", "role", "text")
+    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "seq", "kind", "turn", "role", "text")
     return _typed(_named(rows.drop("seq")).mapInPandas(_fold(part_chars), PARTS))
 
 

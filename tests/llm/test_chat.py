@@ -42,3 +42,12 @@ def test_events_fold_into_final_messages(spark):
     assert got[1].text == "<|im_start|>user\nHI<|im_end|>\n<|im_start|>assistant\nnew answer<|im_end|>\n"
     assert [got[1].text[s.start:s.end] for s in got[1].loss] == ["new answer"]
     assert got[2].text == "<|im_start|>user\nnever opened<|im_end|>\n<|im_start|>user\n<|im_end|>\n"
+
+
+def test_events_without_a_turn_are_a_turn_before_all_others(spark):
+    log = [(1, 0, "open", 0, "user", "hi", False), (1, 1, "open", None, "system", "be ", False), (1, 2, "delta", None, None, "kind", False),
+           (1, 3, "open", -5, "user", "odd", None), (2, 0, None, None, None, None, None)]
+    df = spark.createDataFrame(log, "conv_id long, seq long, kind string, turn long, role string, text string, sealed boolean")
+    got = {r.conv_id: r.text for r in chat.format_log(df).collect()}
+    assert got[1] == "<|im_start|>system\nbe kind<|im_end|>\n<|im_start|>user\nodd<|im_end|>\n<|im_start|>user\nhi<|im_end|>\n"
+    assert got[2] == "<|im_start|>\n<|im_end|>\n"
