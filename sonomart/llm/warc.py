@@ -41,6 +41,10 @@ from pyspark.sql import functions as F
 from sonomart.operators.staging import checkpoint_root, stage
 
 MIN_REVISIT = 100
+# Rows of some 100 bytes; more shared payloads are joined through the shuffle.
+BROADCAST_ROWS = 500_000
+# Compressed bytes that one reading task takes once there are more files than tasks.
+TASK_BYTES = 256 << 20
 FILE_BYTES = 64 << 20
 READ_BYTES = 1 << 16
 WARC_DATE = "2024-01-01T00:00:00Z"
@@ -63,9 +67,12 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     narrow = rows.filter(large).select("page_id", digest.alias("_digest"))
     # One row per payload that occurs more than once.
     shared = narrow.groupBy("_digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    shared = stage(shared.drop("_n"), "warc-shared")
     rows = rows.withColumn("digest", digest)
     same = (F.col("digest") == F.col("_digest")) & (F.octet_length("html") >= MIN_REVISIT)
-    return rows.join(shared.drop("_n"), same, "left").drop("_digest")
+    # Payloads stay where they are unless too many of them are shared for a broadcast.
+    shared = F.broadcast(shared) if shared.count() <= BROADCAST_ROWS else shared
+    return rows.join(shared, same, "left").drop("_digest")
 
 
 def record(page_id, url: str, payload: bytes, digest: str, refers_to) -> bytes:
@@ -258,6 +265,8 @@ def _batch(rows) -> pa.RecordBatch:
 
 def read(manifest: DataFrame, folder: str, strict: bool = True, with_payload: bool = True) -> DataFrame:
     """Records of all archives of a manifest; payloads are null for revisits or where not asked for."""
-    paths = manifest.select("path")
-    # One path per row: dealt by name, so files spread over tasks however the manifest is stored.
-    return paths.repartition("path").mapInArrow(_reader(folder, strict, with_payload), RECORDS)
+    files, size = manifest.agg(F.count(F.lit(1)), F.sum("bytes")).first()
+    parallel = manifest.sparkSession.sparkContext.defaultParallelism
+    # Rows are paths, so their number says nothing of the work: a task a file, or by bytes where files are many.
+    tasks = max(1, min(files, max(parallel, -(-(size or 0) // TASK_BYTES))))
+    return manifest.select("path").repartition(tasks).mapInArrow(_reader(folder, strict, with_payload), RECORDS)

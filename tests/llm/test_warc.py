@@ -3,6 +3,8 @@ import io
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from sonomart.llm import warc
 
 
@@ -42,3 +44,19 @@ def test_any_gzip_reader_opens_the_files_and_damage_is_found():
     for broken in (wrong, data[:-9], data[:40] + b"\0\0\0" + data[43:], data + b"rest"):
         with pytest.raises(ValueError):
             list(warc.read_stream(io.BytesIO(broken)))
+
+
+def test_files_are_read_by_many_tasks(spark):
+    df = spark.createDataFrame([(i, "u", f"page {i} " * 40) for i in range(60)], "page_id long, url string, html string").repartition(6)
+    manifest, folder = warc.write(df, file_bytes=400)
+    assert manifest.count() > 8
+    read = warc.read(manifest, folder)
+    tasks = read.select(F.spark_partition_id().alias("t")).distinct().count()
+    assert tasks == spark.sparkContext.defaultParallelism and read.count() == 60
+    assert warc.read(manifest.limit(0), folder).count() == 0
+
+
+def test_pages_cross_no_shuffle_where_few_payloads_are_shared(spark):
+    df = spark.createDataFrame([(i, "u", "same page " * 30) for i in range(10)], "page_id long, url string, html string")
+    text = warc.plan_records(df)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
