@@ -9,9 +9,10 @@ template. The templates are a bounded parameter, so their index lives in the exp
 join needs no shuffle, and no source, document or phrase can become a hot key. Only the frequencies of
 template tokens (a few dozen rows) reach the driver.
 
-Blocks are windows of ``block_words`` words, ``stride`` apart: a template of up to ``stride`` words always
-lies in a whole block. Words are runs of characters outside ``[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after
-lower-casing.
+Blocks are all windows of ``block_words`` consecutive words. A block that reaches the threshold keeps all its template
+tokens when it begins at the first of them, so blocks are opened at the places of the template's tokens alone, in documents
+that pass the prefix and length filters. Words are runs of characters outside ``[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after
+lower-casing A to Z.
 
 Defined results
 ---------------
@@ -54,7 +55,6 @@ TEMPLATES = (
 )
 THRESHOLD = 0.9
 BLOCK_WORDS = 64
-STRIDE = 32
 
 
 @dataclass(frozen=True)
@@ -72,8 +72,13 @@ def least_overlap(tokens: int, threshold: float) -> int:
     return max(1, math.ceil(threshold * tokens - 1e-9))
 
 
-def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATOR), "")
+def lowered(text: Column) -> Column:
+    """A to Z in lower case; other scripts as they are. Null is empty."""
+    return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words_of(low: Column) -> Column:
+    return F.array_remove(F.split(low, SEPARATOR), "")
 
 
 def _array(tokens) -> Column:
@@ -109,8 +114,11 @@ def _containment(block: Column, t: Template) -> Column:
             .otherwise(shared / F.lit(len(t.tokens))))
 
 
-def _best_block(t: Template) -> Column:
-    return F.array_max(F.transform("blocks", lambda block: _containment(block, t)))
+def _best_block(t: Template, block_words: int) -> Column:
+    """Largest containment over the blocks that begin at one of the template's tokens."""
+    tokens = _array(t.tokens)
+    starts = F.filter(F.sequence(F.lit(1), F.size("words")), lambda i: F.array_contains(tokens, F.element_at("words", i)))
+    return F.array_max(F.transform(starts, lambda i: _containment(F.array_intersect(tokens, F.slice("words", i, F.lit(block_words))), t)))
 
 
 def phrase_pattern(phrase: str) -> str:
@@ -118,15 +126,15 @@ def phrase_pattern(phrase: str) -> str:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES,
-         threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS, stride: int = STRIDE) -> DataFrame:
+         threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per row: id, n_words, places of the base phrases, base and all labels, score.
 
     ``score`` is the largest template containment found, 1 where a base phrase stands.
     """
     longest = max(len(w.split()) for _, w in templates)
-    if longest > stride:
-        raise ValueError(f"stride {stride} is shorter than a template of {longest} words")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("low"))
+    if longest > block_words:
+        raise ValueError(f"blocks of {block_words} words are shorter than a template of {longest}")
+    rows = docs.select(F.col(id_col).alias("doc_id"), lowered(F.col(text_col)).alias("low"))
     universe = sorted({t for _, w in templates for t in w.split()})
     frequencies = token_frequencies(rows.select(words_of(F.col("low")).alias("words")), universe)
     ordered = ordered_templates(frequencies, templates, threshold)
@@ -140,22 +148,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     based = F.col("n_base") > 0
     base_labels = F.when(based, F.array_compact(F.array(*[
         F.when(F.col("low").rlike(phrase_pattern(p)), F.lit(label)) for p, label in PHRASES])))
-    starts = F.sequence(F.lit(0), F.floor((F.greatest(F.size("words"), F.lit(1)) - 1) / stride).cast("int"))
-    blocks = F.transform(starts, lambda i: F.array_intersect(
-        _array(by_rank), F.slice("words", i * stride + 1, F.lit(block_words))))
-    # A document without a single prefix token has no block to compare.
-    possible = F.lit(False)
-    for t in ordered:
-        possible = possible | (F.arrays_overlap("known", _array(t.prefix)) & (F.size("known") >= t.least))
+    # A document without a prefix token, or with too few tokens, has no block to compare.
+    possible = [F.arrays_overlap("known", _array(t.prefix)) & (F.size(F.array_intersect("known", _array(t.tokens))) >= t.least) for t in ordered]
+    best_blocks = [F.when(ok, _best_block(t, block_words)).alias(f"t{k}") for k, (ok, t) in enumerate(zip(possible, ordered))]
     rows = rows.select("doc_id", F.size("words").cast("long").alias("n_words"), "n_base",
                        F.when(based, place("?")).cast("long").alias("first_word"),
                        F.when(based, place("")).cast("long").alias("last_word"),
-                       F.coalesce(base_labels, F.array().cast("array<string>")).alias("base"),
-                       F.when(possible, blocks).alias("blocks"))
-    found = []
-    for k, t in enumerate(ordered):
-        found.append(F.when(F.col("blocks").isNotNull(), _best_block(t)).alias(f"t{k}"))
-    rows = rows.select("*", *found)
+                       F.coalesce(base_labels, F.array().cast("array<string>")).alias("base"), *best_blocks)
     labels = F.array_compact(F.array(*[F.when(F.col(f"t{k}") > 0, F.lit(t.label)) for k, t in enumerate(ordered)]))
     best = F.greatest(F.lit(0.0), *[F.coalesce(F.col(f"t{k}"), F.lit(0.0)) for k in range(len(ordered))])
     joined = lambda a: F.array_join(F.array_sort(F.array_distinct(a)), ",")

@@ -118,7 +118,7 @@ ORACLES: dict[str, str] = {
     "op5_chat": sql.CHAT,
     "op7_warc": sql.WARC,
     "op8_topk": sql.TOPK,
-    "op10_licenses": sql.licenses(licenses.TEMPLATES, licenses.THRESHOLD, licenses.BLOCK_WORDS, licenses.STRIDE),
+    "op10_licenses": sql.licenses(licenses.TEMPLATES, licenses.THRESHOLD, licenses.BLOCK_WORDS),
     "op12_filters": sql.FILTERS,
     "op13_substrings": sql.SUBSTRINGS,
 }

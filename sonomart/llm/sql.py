@@ -32,14 +32,15 @@ SELECT doc_id, size, source_size, target,
 FROM cut"""
 
 
-def licenses(templates, threshold, block_words, stride) -> str:
-    """Every block against every template, without filters."""
+def licenses(templates, threshold, block_words) -> str:
+    """Every block that begins at a template token against that template, without further filters."""
     values = ", ".join(f"({k}, '{label}', {sorted(set(w.split()))!r})" for k, (label, w) in enumerate(templates))
     return rf"""
 WITH templates(k, label, tokens) AS (VALUES {values}),
 docs AS (
   SELECT row_number() OVER () AS r, doc_id,
-    list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
   FROM documents),
 places AS (
   SELECT r, i,
@@ -51,11 +52,11 @@ base AS (
   SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS labels
   FROM places WHERE label IS NOT NULL GROUP BY r),
 blocks AS (
-  SELECT r, words[b * {stride} + 1 : b * {stride} + {block_words}] AS block
-  FROM (SELECT r, words, unnest(range((len(words) - 1) // {stride} + 1)) AS b FROM docs)),
+  SELECT r, words[b] AS first, words[b : b + {block_words - 1}] AS block FROM (SELECT r, words, unnest(range(1, len(words) + 1)) AS b FROM docs)),
+opened AS (SELECT k, label, tokens, unnest(tokens) AS first FROM templates),
 met AS (
   SELECT r, label, len(list_intersect(tokens, block)) / len(tokens) AS share
-  FROM blocks, templates WHERE len(list_intersect(tokens, block)) >= ceil({threshold} * len(tokens) - 1e-9)),
+  FROM blocks JOIN opened USING (first) WHERE len(list_intersect(tokens, block)) >= ceil({threshold} * len(tokens) - 1e-9)),
 found AS (SELECT r, list(DISTINCT label) AS labels, max(share) AS score FROM met GROUP BY r)
 SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(b.n_base, 0) AS n_base, b.first_word, b.last_word,
   coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,

@@ -36,7 +36,7 @@ def test_equals_all_blocks_against_all_templates(documents):
     got = rows(documents, texts, threshold=0.6)
     for i, text in enumerate(texts):
         words, best, labels = text.split(), 0.0, set()
-        for start in range(0, max(1, len(words)), licenses.STRIDE):
+        for start in range(len(words)):
             block = set(words[start:start + licenses.BLOCK_WORDS])
             for label, wording in licenses.TEMPLATES:
                 tokens = set(wording.split())
@@ -47,3 +47,20 @@ def test_equals_all_blocks_against_all_templates(documents):
         base = {x for x in got[i][4].split(",") if x}
         assert {x for x in got[i][5].split(",") if x} == labels | base, text
         assert got[i][6] == (1.0 if base else best)
+
+
+def test_a_notice_is_found_wherever_it_stands(documents):
+    wording = dict((w, label) for label, w in licenses.TEMPLATES)
+    mit = next(w for w in wording if w.startswith("permission")).split()
+    spread = [x for i, w in enumerate(mit) for x in ([w, "pad", "pad", "pad"] if i % 2 else [w, "pad", "pad"])]
+    while len(spread) > 61:
+        spread.remove("pad")
+    texts = [" ".join(["fill"] * at + spread + ["fill"] * 100) for at in range(0, 70)] + [" ".join(spread[:10] + ["pad"] * 60 + spread[10:])]
+    got = rows(documents, texts)
+    assert all(got[i][5] == "mit" and got[i][6] == 1.0 for i in range(70)) and got[70][5] == ""
+
+
+def test_only_ascii_letters_are_lowered(documents):
+    got = rows(documents, ["\u212aLICENSE MIT LICENSE", "M\u0130T license", "mit license\u0130 x"])
+    assert [got[i][5] for i in range(3)] == ["mit", "", ""]
+    assert [got[i][0] for i in range(3)] == [3, 2, 3]
