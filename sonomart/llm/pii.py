@@ -2,11 +2,13 @@
 
 Regex, gazetteer and context labelers vote on candidate spans (credentials, local phone and identity
 numbers). The votes of all documents are counted by pattern, so expectation-maximisation over labeler
-reliabilities runs on a histogram whose size depends on the number of labelers only. Its posteriors are the
-targets of a logistic span classifier, whose weights become literals of the scan: detection is one narrow
+reliabilities runs on a histogram whose size depends on the number of labelers and features only. Its posteriors
+are the targets of a logistic span classifier that also sees what the labelers do not vote on: the length of a span,
+its kinds of characters and how varied they are. Its weights become literals of the scan: detection is one narrow
 pass without a shuffle, and no document, source or copy group can become a hot key.
 
-Positions come from the text between the matches, so they are code points whatever the script. Patterns are
+Positions are running sums over the matches and the text between them, so they are code points whatever the script, and
+a text with many matches costs little more than linear time. Patterns are
 possessive rewrites of the published ones: same matches, linear time, no recursion on long runs.
 
 Defined results
@@ -47,6 +49,14 @@ CUES_AGAINST = ("version", "isbn", "issn", "doi", "commit", "sha256", "md5", "ch
 CREDENTIAL_STARTS = ("AKIA", "ASIA", "ghp_", "gho_", "github_pat_", "sk-", "sk_live_", "pk_live_", "xox", "AIza", "eyJ", "glpat-")
 CONTEXT_CHARS = 24
 LABELERS = ("shape", "mixture", "gazetteer", "context", "counter_context", "dull")
+# Features of a span, in BUCKETS buckets each: bounds of its length and of its number of distinct characters; and the
+# number of kinds of characters in it.
+FEATURES, BUCKETS = ("length", "kinds", "variety"), 4
+LENGTHS, VARIETIES = (16, 28, 40), (8, 12, 16)
+# Doublings of a running sum or maximum: more elements than an array can hold.
+_DOUBLINGS = 31
+# Code points of the slices that a text is cut from.
+_SLICE = 1000
 
 
 @dataclass(frozen=True)
@@ -55,9 +65,27 @@ class Model:
     bias: float
     kind: tuple[float, ...]
     weights: tuple[tuple[float, float], ...]  # (vote against, vote for) per labeler
+    features: tuple[tuple[float, ...], ...]  # by bucket, per feature
     reliability: tuple[tuple[float, float], ...] = ()  # EM: right when voting on (negatives, positives)
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(values: Column, merge) -> Column:
+    """Running totals of an array, each with its own element, by doubling: n log n steps."""
+    steps = F.array(*[F.lit(1 << k) for k in range(_DOUBLINGS)])
+
+    def double(v: Column) -> Column:
+        wanted = F.filter(steps, lambda step: step < F.size(v))
+        return F.aggregate(wanted, v, lambda held, step: F.transform(
+            held, lambda x, i: F.when(i < step, x).otherwise(merge(x, F.get(held, i - step)))))
+
+    return _once(values, double)
+
+
 def find(text: Column, pattern: str) -> Column:
     """Array of (start, end, hit, before) of all leftmost matches; null where there is none."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -65,14 +93,8 @@ def find(text: Column, pattern: str) -> Column:
     parts = F.zip_with(gaps, hits, lambda g, h: F.struct(
         F.length(g).alias("skip"), F.length(h).alias("n"), h.alias("hit"),
         F.lower(F.right(g, F.lit(CONTEXT_CHARS))).alias("before")))
-    span = lambda at, x: F.struct((at + x["skip"]).alias("start"), (at + x["skip"] + x["n"]).alias("end"),
-                                  x["hit"].alias("hit"), x["before"].alias("before"))
-    none = F.array().cast("array<struct<start:int,end:int,hit:string,before:string>>")
-    found = F.aggregate(
-        parts, F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, x: F.struct((acc["at"] + x["skip"] + x["n"]).alias("at"),
-                                F.concat(acc["out"], F.array(span(acc["at"], x))).alias("out")),
-        lambda acc: acc["out"])
+    found = _once(parts, lambda v: F.zip_with(v, _running(F.transform(v, lambda x: x["skip"] + x["n"]), lambda x, y: x + y), lambda x, end: F.struct(
+        (end - x["n"]).alias("start"), end.alias("end"), x["hit"].alias("hit"), x["before"].alias("before"))))
     return F.when(text.rlike(pattern), found)
 
 
@@ -129,10 +151,17 @@ def _votes(kind: str, x: Column) -> list[Column]:
 
 
 def _candidates(text: Column, kind: str) -> Column:
-    """Array of (start, end, votes) of one learned kind; null where there is none."""
+    """Array of (start, end, votes, features) of one learned kind; null where there is none."""
     found = find(text, SECRET if kind == "secret" else CONTACT)
-    return F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"),
-                                                 F.array(*_votes(kind, x)).alias("votes")))
+    return F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.array(*_votes(kind, x)).alias("votes"),
+                                                 F.array(*_features(x["hit"])).alias("features")))
+
+
+def _features(hit: Column) -> list[Column]:
+    """A bucket from 0 for each feature."""
+    above = lambda c, bounds: sum((c >= b).cast("int") for b in bounds)
+    kinds = sum(hit.rlike(p).cast("int") for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    return [above(F.length(hit), LENGTHS), kinds - 1, above(F.size(F.array_distinct(F.split(hit, ""))), VARIETIES)]
 
 
 def expectation_maximisation(counts: dict[tuple[int, ...], int], rounds: int = 50):
@@ -161,24 +190,24 @@ def expectation_maximisation(counts: dict[tuple[int, ...], int], rounds: int = 5
     return dict(zip(patterns, posterior)), right
 
 
-def _design(kind: int, votes) -> list[float]:
+def _design(kind: int, votes, features) -> list[float]:
     row = [1.0, *[float(kind == k) for k in range(len(LEARNED_KINDS))]]
     for v in votes:
         row += [float(v == 0), float(v == 1)]
-    return row
+    return row + [float(f == b) for f in features for b in range(BUCKETS)]
 
 
-def train(histogram: dict[tuple[int, tuple[int, ...]], int], ridge: float = 1.0) -> Model:
-    """EM over the vote patterns, then a ridge logistic regression on its posteriors (Newton steps)."""
+def train(histogram: dict[tuple[int, tuple[int, ...], tuple[int, ...]], int], ridge: float = 1.0) -> Model:
+    """EM over the vote patterns, then a ridge logistic regression of its posteriors on votes and features (Newton steps)."""
     votes_only: dict[tuple[int, ...], int] = {}
-    for (_, votes), n in histogram.items():
+    for (_, votes, _), n in histogram.items():
         votes_only[votes] = votes_only.get(votes, 0) + n
     if not votes_only:
-        return Model(-10.0, (0.0,) * len(LEARNED_KINDS), ((0.0, 0.0),) * len(LABELERS))
+        return Model(-10.0, (0.0,) * len(LEARNED_KINDS), ((0.0, 0.0),) * len(LABELERS), ((0.0,) * BUCKETS,) * len(FEATURES))
     posterior, right = expectation_maximisation(votes_only)
     keys = sorted(histogram)
-    x = np.array([_design(k, v) for k, v in keys])
-    y = np.array([posterior[v] for _, v in keys])
+    x = np.array([_design(*key) for key in keys])
+    y = np.array([posterior[v] for _, v, _ in keys])
     n = np.array([histogram[k] for k in keys], dtype=np.float64)
     n = n / n.sum() * min(n.sum(), 1000.0)
     w = np.zeros(x.shape[1])
@@ -187,29 +216,26 @@ def train(histogram: dict[tuple[int, tuple[int, ...]], int], ridge: float = 1.0)
         gradient = x.T @ (n * (y - p)) - ridge * w
         hessian = (x * (n * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + ridge * np.eye(len(w))
         w = w + np.linalg.solve(hessian, gradient)
-    k = 1 + len(LEARNED_KINDS)
-    rest = [round(float(v), 9) for v in w[k:]]
-    return Model(round(float(w[0]), 9), tuple(round(float(v), 9) for v in w[1:k]), tuple(zip(rest[::2], rest[1::2])),
-                 tuple(map(tuple, right.round(6).tolist())))
+    k, votes_end = 1 + len(LEARNED_KINDS), 1 + len(LEARNED_KINDS) + 2 * len(LABELERS)
+    rest = [round(float(v), 9) for v in w]
+    pairs, buckets = rest[k:votes_end], rest[votes_end:]
+    return Model(rest[0], tuple(rest[1:k]), tuple(zip(pairs[::2], pairs[1::2])),
+                 tuple(tuple(buckets[i:i + BUCKETS]) for i in range(0, len(buckets), BUCKETS)), tuple(map(tuple, right.round(6).tolist())))
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> Model:
     """Learn reliabilities and the span classifier from the candidates of all rows."""
     text = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    tagged = [F.transform(_candidates(F.col("text"), kind), lambda c: c["votes"]).alias(kind) for kind in LEARNED_KINDS]
-    found = text.select(*tagged)
-    rows = None
-    for k, kind in enumerate(LEARNED_KINDS):
-        one = F.transform(F.coalesce(F.col(kind), F.array().cast("array<array<int>>")), _kind_struct(k))
-        rows = one if rows is None else F.concat(rows, one)
-    exploded = found.select(F.explode(rows).alias("x")).select("x.kind", "x.votes")
-    # At most kinds * 3 ** labelers rows, whatever the corpus.
-    counts = exploded.groupBy("kind", "votes").agg(F.count(F.lit(1)).alias("n")).collect()
-    return train({(r["kind"], tuple(r["votes"])): r["n"] for r in counts})
+    seen = [F.coalesce(F.transform(_candidates(F.col("text"), kind), _seen(k)), F.array().cast("array<struct<kind:int,votes:array<int>,features:array<int>>>"))
+            for k, kind in enumerate(LEARNED_KINDS)]
+    exploded = text.select(F.concat(*seen).alias("all")).select(F.explode("all").alias("x")).select("x.kind", "x.votes", "x.features")
+    # At most kinds * 3 ** labelers * BUCKETS ** features rows, whatever the corpus.
+    counts = exploded.groupBy("kind", "votes", "features").agg(F.count(F.lit(1)).alias("n")).collect()
+    return train({(r["kind"], tuple(r["votes"]), tuple(r["features"])): r["n"] for r in counts})
 
 
-def _kind_struct(k: int):
-    return lambda votes: F.struct(F.lit(k).alias("kind"), votes.alias("votes"))
+def _seen(k: int):
+    return lambda c: F.struct(F.lit(k).alias("kind"), c["votes"].alias("votes"), c["features"].alias("features"))
 
 
 def _accepted(cands: Column, kind: int, model: Model) -> Column:
@@ -218,6 +244,8 @@ def _accepted(cands: Column, kind: int, model: Model) -> Column:
         for k, (against, for_) in enumerate(model.weights):
             vote = F.element_at(c["votes"], k + 1)
             score = score + F.when(vote == 0, against).when(vote == 1, for_).otherwise(0.0)
+        for k, buckets in enumerate(model.features):
+            score = score + F.element_at(F.array(*[F.lit(w) for w in buckets]), F.element_at(c["features"], k + 1) + 1)
         return score
 
     none = F.array().cast("array<struct<start:int,end:int>>")
@@ -256,22 +284,31 @@ def _tagged(kind: str) -> Column:
 def redact(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind; null texts stay null."""
     kinds = BASE_KINDS + LEARNED_KINDS
-    clash = {f"_{k}" for k in kinds} | {"_spans"}
-    keep = {c: f"_in{i}" for i, c in enumerate(docs.columns)} if clash & set(docs.columns) else {c: c for c in docs.columns}
+    taken = {f"_{k}" for k in kinds} | {"_spans", "_reach", "_slices"}
+    clash = taken & {c.lower() for c in docs.columns}
+    keep = {c: f"_in{i}" for i, c in enumerate(docs.columns)} if clash else {c: c for c in docs.columns}
     rows = docs.toDF(*keep.values())
     text = F.col(keep[text_col])
     rows = rows.select("*", *[c.alias(f"_{k}") for k, c in span_columns(F.coalesce(text, F.lit("")), model).items()])
-    spans = F.array_sort(F.concat(*[_tagged(k) for k in kinds]))
-    rows = rows.select(*keep.values(), spans.alias("_spans"))
-    cut = lambda start, n: F.substring(text, start + 1, n)
-
-    def step(acc, x):
-        apart = x["start"] >= acc["at"]
-        pieces = F.when(apart, F.concat(acc["out"], F.array(cut(acc["at"], x["start"] - acc["at"]), x["tag"]))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), pieces.alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    masked = F.aggregate("_spans", start, step, lambda acc: F.concat(
-        F.array_join(acc["out"], ""), cut(acc["at"], F.length(text))))
-    new_text = F.when(text.isNotNull() & (F.size("_spans") > 0), masked).otherwise(text)
+    rows = rows.select(*keep.values(), F.array_sort(F.concat(*[_tagged(k) for k in kinds])).alias("_spans"))
+    # How far the spans up to each one reach, and the text in slices, from which a piece is cut without counting from the start.
+    reach = _running(F.transform("_spans", lambda x: x["end"]), lambda x, y: F.greatest(x, y))
+    slices = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_SLICE}}}"), F.lit(0))
+    any_span = text.isNotNull() & (F.size("_spans") > 0)
+    rows = rows.select("*", F.when(any_span, reach).alias("_reach"), F.when(any_span, slices).alias("_slices"))
+
+    def cut(start: Column, end: Column) -> Column:
+        first, last = F.floor(start / _SLICE).cast("int"), F.floor(end / _SLICE).cast("int")
+        one = lambda k: F.coalesce(F.get("_slices", k), F.lit(""))
+        inside = F.substring(one(first), start % _SLICE + 1, end - start)
+        across = F.concat(F.substring(one(first), start % _SLICE + 1, F.lit(_SLICE)),
+                          F.array_join(F.slice("_slices", first + 2, last - first - 1), ""), F.substring(one(last), F.lit(1), end % _SLICE))
+        return F.when(first == last, inside).otherwise(across)
+
+    def piece(x: Column, i: Column) -> Column:
+        before = F.coalesce(F.get("_reach", i - 1), F.lit(0))
+        return F.when(x["start"] >= before, F.concat(cut(before, x["start"]), x["tag"])).otherwise(F.lit(""))
+
+    masked = F.concat(F.array_join(F.transform("_spans", piece), ""), cut(F.element_at("_reach", -1), F.length(text)))
+    new_text = F.when(any_span, masked).otherwise(text)
     return rows.select(*[(new_text if c == text_col else F.col(k)).alias(c) for c, k in keep.items()])

@@ -65,3 +65,43 @@ def test_expectation_maximisation_finds_the_reliable_labeler():
         counts[votes] = counts.get(votes, 0) + 1
     posterior, right = pii.expectation_maximisation(counts)
     assert right[0].min() > 0.85 and posterior[(1, 1, 1)] > 0.9 > 0.1 > posterior[(0, 0, 0)]
+
+
+def test_many_spans_in_one_text(spark):
+    import time
+    n = 100_000
+    text = "😀 " + " é ".join(f"u{i}@h.io" for i in range(n))
+    df = spark.createDataFrame([(1, text, 1, 2)], "doc_id long, text string, _REACH int, _Email int")
+    model = pii.fit(df)
+    start = time.time()
+    got = pii.detect(df, model).first()
+    want = base(text)
+    assert got.n_email == n and got.base_sha256 == hashlib.sha256(",".join(sum(want, [])).encode()).hexdigest()
+    clean = pii.redact(df, model)
+    assert clean.columns == df.columns
+    assert clean.first().text == "😀 " + " é ".join(["[EMAIL]"] * n)
+    assert time.time() - start < 60
+
+
+def test_redaction_cuts_across_slices_and_overlaps(documents):
+    texts = ["x" * 995 + " a@b.cd " + "é" * 3000 + " 10.0.0.1" + " y" * 2000, "😀" * 1000 + "1.2.3.4", "4111111111111111@x.yz +1 234 567 8901 5", "a@b.cd" * 3]
+    df = documents(list(enumerate(texts)))
+    model = pii.fit(df)
+    spans = {r.doc_id: r.spans for r in pii.detect(df, model).collect()}
+    clean = {r.doc_id: r.text for r in pii.redact(df, model).collect()}
+    for i, text in enumerate(texts):
+        found = sorted((int(a), int(b), f"[{k.upper()}]") for k, a, b in (x.split(":") for x in spans[i].split(",") if x))
+        out, at = "", 0
+        for a, b, tag in found:
+            if a >= at:
+                out += text[at:a] + tag
+            at = max(at, b)
+        assert clean[i] == out + text[at:]
+
+
+def test_features_tell_what_votes_do_not():
+    votes = (1, -1, -1, -1, -1, -1)
+    histogram = {(0, votes, (3, 2, 3)): 100, (0, (1, 1, -1, 1, -1, -1), (3, 2, 3)): 100, (0, votes, (0, 0, 0)): 100,
+                 (0, (0, -1, -1, -1, 0, 0), (0, 0, 0)): 300}
+    model = pii.train(histogram)
+    assert len(model.features) == len(pii.FEATURES) and model.features[0][3] > model.features[0][0]
