@@ -7,11 +7,12 @@ of mixed-language text. A text's language is the one that labels most of its let
 The model is fitted on a bounded sample of labelled rows (``SAMPLE_ROWS`` expected per language, drawn by a
 hash of id and text) and has a fixed size: hashed n-gram buckets per language, so what reaches the driver and
 the tasks does not grow with the corpus. Prediction reads every text whole in the task that scans it, in
-pieces of bounded memory, without a shuffle.
+pieces, without a shuffle; of a long text the scores of its words stay, some 30 bytes a word and language.
 
 Defined results
 ---------------
-* Null text, or text without a letter: ``und``, score 0, no spans.
+* Null text, or text without a letter: ``und``, score 0, no spans. Combining marks alone are no letters.
+* Kept columns may have any names but those of the results (``lang_pred``, ``score``, ``spans``), which is an error.
 * Words of a script that no learned language uses may belong to any; they follow their neighbours.
 * Equal scores: the language that comes first by code point. No labelled row at all: every text is ``und``.
 * Each row is judged alone, so repeated rows give repeated results. Only the named columns are read, and only
@@ -57,14 +58,14 @@ SCRIPTS = 26
 
 @lru_cache(maxsize=1)
 def _tables():
-    """Per code point: is it part of a word, its lower case, its script."""
+    """Per code point: is it part of a word, its lower case, its script, and is it a letter and no mark."""
     top = 0x110000
-    letter = np.zeros(top, dtype=bool)
+    letter, proper = np.zeros(top, dtype=bool), np.zeros(top, dtype=bool)
     lower = np.arange(top, dtype=np.uint32)
     for c in range(0x323B0):
         kind = unicodedata.category(chr(c))
         if kind[0] == "L" or kind in ("Mn", "Mc"):
-            letter[c] = True
+            letter[c], proper[c] = True, kind[0] == "L"
             if kind in ("Lu", "Lt"):
                 small = chr(c).lower()
                 if len(small) == 1:
@@ -74,7 +75,7 @@ def _tables():
     for i, (start, kind) in enumerate(SCRIPT_RANGES):
         script[start:SCRIPT_RANGES[i + 1][0] if i + 1 < len(SCRIPT_RANGES) else top] = kind
     assert starts == sorted(starts)
-    return letter, lower, script
+    return letter, lower, script, proper
 
 
 def script_of(char: str) -> int:
@@ -93,11 +94,15 @@ class Words:
 
 
 def words_of(text: str) -> Words:
-    letter, lower, script = _tables()
+    letter, lower, script, proper = _tables()
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     inside = letter[codes]
     edges = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
     start, end = edges[::2], edges[1::2]
+    # Marks belong to a word, but do not make one.
+    letters = np.concatenate(([0], np.cumsum(proper[codes])))
+    some = letters[end] > letters[start]
+    start, end = start[some], end[some]
     if not len(start):
         none = np.zeros(0, np.int64)
         return Words(none, none, none, none, none)
@@ -295,13 +300,16 @@ def _predicted(model: Model, spans: bool):
 
 def predict(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", spans: bool = False) -> DataFrame:
     """Columns ``keep`` plus lang_pred and score, and the language spans where asked for."""
-    clash = set(keep) & {"lang_pred", "score", "spans", "text", "n"}
+    clash = {k.lower() for k in keep} & {"lang_pred", "score", *(["spans"] if spans else [])}
     if clash:
         raise ValueError(f"rename {sorted(clash)} before labelling")
-    rows = docs.select(*keep, F.col(text_col).alias("text"), F.length(text_col).alias("n"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema)
+    # Kept columns travel under numbers, so their names cannot clash with those used here.
+    kept = [F.col(k).alias(f"in_{i}") for i, k in enumerate(keep)]
+    rows = docs.select(*kept, F.col(text_col).alias("text"), F.length(text_col).alias("n"))
+    fields = "".join(f"`in_{i}` {docs.select(k).schema[0].dataType.simpleString()}, " for i, k in enumerate(keep))
     extra = "lang_pred string, score double" + (", spans array<struct<start:bigint,end:bigint,lang:string>>" if spans else "")
-    return rows.mapInArrow(_predicted(model, spans), f"{fields}, {extra}")
+    found = rows.mapInArrow(_predicted(model, spans), fields + extra)
+    return found.toDF(*keep, *found.columns[len(keep):])
 
 
 def held_out(id_col: str) -> Column:

@@ -60,3 +60,14 @@ def test_accuracy_on_held_out_rows(spark):
     path = "/root/testdata/sf0.01"
     got = op1_langid(spark, path).join(table(spark, path, "documents").select("doc_id", "lang"), "doc_id").filter("held_out")
     assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.98
+
+
+def test_marks_alone_are_no_letters_and_names_do_not_clash(spark):
+    rows = [(i, "the cat and the dog of it" if i % 2 else "le chat et le chien de la", "en" if i % 2 else "fr") for i in range(40)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    odd = spark.createDataFrame([(1, "\u0301\u0302 \u0903", 7, "a"), (2, "the cat e\u0301 and", 8, None)], "n long, TEXT string, in_0 int, lang string")
+    got = {r.n: r for r in langid.predict(odd, model, ["n", "TEXT", "in_0", "lang"], text_col="TEXT").collect()}
+    assert (got[1].lang_pred, got[1].score, got[1].in_0) == ("und", 0.0, 7) and got[2].lang_pred == "en" and got[2].TEXT.startswith("the")
+    import pytest
+    with pytest.raises(ValueError):
+        langid.predict(odd.withColumnRenamed("in_0", "Score"), model, ["Score"], text_col="TEXT")
