@@ -109,13 +109,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"),
                        words_of(F.col(text_col)).alias("words"))
-    rows = _seeds(rows.select("*", F.size("words").alias("n")), masks, short)
-    hits = rows.join(F.broadcast(seeds) if small else seeds, "seed")
+    rows = rows.select("*", F.size("words").alias("n"))
     diagonal = F.col("at") - F.col("item_at")
-    start = F.greatest(diagonal, F.lit(0))
-    length = F.least(diagonal + F.col("item_n"), F.col("n")) - start
-    hits = hits.select("doc_id", "text_hash", "item_id", "item_n", diagonal.alias("diagonal"),
-                       F.slice("words", start + 1, length).alias("piece")).distinct()
+    start = F.greatest(F.col("diagonal"), F.lit(0))
+    length = F.least(F.col("diagonal") + F.col("item_n"), F.col("n")) - start
+    if small:
+        hits = _seeds(rows, masks, short).join(F.broadcast(seeds), "seed").withColumn("diagonal", diagonal)
+    else:
+        # Only places and hashes cross the shuffle of the seeds; the few documents that are hit get their words back.
+        narrow = _seeds(rows, masks, short).select("doc_id", "text_hash", "at", "seed")
+        found = narrow.join(seeds, "seed").select("doc_id", "text_hash", "item_id", "item_n", diagonal.alias("diagonal")).distinct()
+        found = found.withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"})
+        hits = rows.join(found, rows["doc_id"].eqNullSafe(found["_doc"]) & rows["text_hash"].eqNullSafe(found["_hash"]))
+    hits = hits.select("doc_id", "text_hash", "item_id", "item_n", "diagonal", F.slice("words", start + 1, length).alias("piece")).distinct()
 
     texts = items.select(F.col("item_id").alias("_item"), F.col("words").alias("item"), F.col("n").alias("_n"))
     # Not more rows than the seed table, which was counted above.

@@ -9,7 +9,8 @@ Defined results
 ---------------
 * Null or empty text has size 0 and takes nothing. An empty table gives an empty result.
 * A null source is a source of its own, ordered last.
-* Equal keys are ordered by id, then size; rows equal in all three are interchangeable.
+* Equal keys are ordered by id, then size; rows equal in all three are interchangeable. Only rows that repeat both id
+  and text share a key, and stand in one range however many they are.
 * A source without words has target 0.
 * Only the named columns are read, so other columns, whatever their names, do not matter.
 """
@@ -31,9 +32,9 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def random_key(doc_id: Column, seed: str) -> Column:
-    """Uniform 128-bit key in hex; depends on the id and the seed only, so reruns agree."""
-    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def random_key(doc_id: Column, text: Column, seed: str) -> Column:
+    """Uniform 128-bit key in hex; depends on id, text and seed only, so reruns agree and rows of one id spread."""
+    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text, F.lit("")))))
 
 
 def source_targets(sizes: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -68,15 +69,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """Rows (id, source, size, source_size, target, taken): the words the mix takes of each document."""
     # Texts are read and counted once; what follows works on narrow rows.
     rows = stage(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                             word_count(F.col(text_col)).alias("size")), "mix-sizes")
+                             word_count(F.col(text_col)).alias("size"), random_key(F.col(id_col), F.col(text_col), seed).alias("key")), "mix-sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows"))
     targets = source_targets(sizes, max_epochs)
     joined = rows.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
-    key = random_key(F.col("doc_id"), seed)
     # The leading 32 bits of the key as a fraction: ranges of equal width hold about equally many rows.
     spot = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / float(1 << 32)
     ranges = F.ceil(F.col("n_rows") / float(range_rows))
-    keyed = (joined.withColumn("key", key).withColumn("part", F.floor(spot * ranges))
+    keyed = (joined.withColumn("part", F.floor(spot * ranges))
              .select("doc_id", "source", "size", "source_size", "target", "key", "part"))
     parts = keyed.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

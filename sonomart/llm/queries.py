@@ -114,7 +114,7 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op2_neardup": sql.NEARDUP,
     "op3_mixing": sql.MIXING,
-    "op4_decontaminate": sql.decontamination(decontam.MASKS, decontam.OVERLAP_WORDS, decontam.EQUAL_SHARE),
+    "op4_decontaminate": sql.decontamination(decontam.OVERLAP_WORDS, decontam.EQUAL_SHARE),
     "op5_chat": sql.CHAT,
     "op7_warc": sql.WARC,
     "op8_topk": sql.TOPK,

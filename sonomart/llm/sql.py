@@ -2,7 +2,8 @@
 
 MIXING = r"""
 WITH rows_ AS (
-  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key
   FROM documents),
 sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM rows_ GROUP BY source),
 ranked AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM sizes),
@@ -22,7 +23,7 @@ targets AS (
   FROM placed),
 ordered AS (
   SELECT r.doc_id, r.size, t.source_size, t.target,
-    coalesce(sum(r.size) OVER (PARTITION BY r.source ORDER BY md5('mix:' || coalesce(CAST(r.doc_id AS VARCHAR), '')), r.doc_id, r.size
+    coalesce(sum(r.size) OVER (PARTITION BY r.source ORDER BY r.key, r.doc_id, r.size
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_
   FROM rows_ r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source),
 cut AS (
@@ -65,40 +66,26 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(b.n_base, 0)
 FROM docs d LEFT JOIN base b USING (r) LEFT JOIN found f USING (r)"""
 
 
-def decontamination(masks, overlap_words, equal_share) -> str:
-    """The same seeds compared as words instead of hashes; holds for items not shorter than a mask."""
-    def picked(words, at):
-        return [", ".join(f"{words}[{at} + {i + 1}]" for i, bit in enumerate(m) if bit == "1") for m in masks]
-
-    def seeds(source, key):
-        parts = [f"SELECT {key}, spot, n, {k} AS mask, [{p}] AS seed FROM {source} WHERE spot + {len(m)} <= n"
-                 for k, (m, p) in enumerate(zip(masks, picked("words", "spot")))]
-        return " UNION ALL ".join(parts)
-
+def decontamination(overlap_words, equal_share) -> str:
+    """All diagonals of equal words, without seeds: those with a window of enough equal words count."""
     split = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
     return rf"""
-WITH items AS (SELECT DISTINCT item_id, {split} AS words FROM benchmark),
+WITH items AS (SELECT row_number() OVER () AS k, * FROM (SELECT DISTINCT item_id, {split} AS words FROM benchmark)),
 docs AS (SELECT row_number() OVER () AS r, doc_id, {split} AS words FROM documents),
-item_at AS (SELECT *, len(words) AS n, unnest(range(len(words))) AS spot FROM items),
-doc_at AS (SELECT *, len(words) AS n, unnest(range(len(words))) AS spot FROM docs),
-item_seeds AS ({seeds("item_at", "item_id")}),
-doc_seeds AS ({seeds("doc_at", "r")}),
-hits AS (
-  SELECT DISTINCT d.r, i.item_id, d.spot - i.spot AS diagonal FROM doc_seeds d JOIN item_seeds i ON d.mask = i.mask AND d.seed = i.seed),
-aligned AS (
-  SELECT h.r, h.item_id, h.diagonal, unnest(range(len(i.words))) AS spot FROM hits h JOIN items i USING (item_id)),
-equal_ AS (
-  SELECT a.*, least({overlap_words}, len(i.words)) AS wide, CAST(i.words[a.spot + 1] = d.words[a.diagonal + a.spot + 1] AS INT) AS e
-  FROM aligned a JOIN items i USING (item_id) JOIN docs d USING (r)
-  WHERE a.diagonal + a.spot >= 0 AND a.diagonal + a.spot < len(d.words)),
+item_at AS (SELECT k, unnest(words) AS word, unnest(range(len(words))) AS spot FROM items),
+doc_at AS (SELECT r, unnest(words) AS word, unnest(range(len(words))) AS place FROM docs),
+equal_ AS (SELECT r, k, place - spot AS diagonal, spot FROM doc_at JOIN item_at USING (word)),
+likely AS (
+  SELECT r, k, diagonal FROM equal_ JOIN items USING (k)
+  GROUP BY r, k, diagonal HAVING count(*) >= ceil(least({overlap_words}, max(len(words))) * {equal_share})),
 windows AS (
-  SELECT r, item_id, diagonal, wide, e, sum(e) OVER w AS inside
-  FROM equal_ WINDOW w AS (PARTITION BY r, item_id, diagonal ORDER BY spot ROWS BETWEEN {overlap_words - 1} PRECEDING AND CURRENT ROW)),
+  SELECT r, k, diagonal, count(*) OVER (PARTITION BY r, k, diagonal ORDER BY spot RANGE BETWEEN {overlap_words - 1} PRECEDING AND CURRENT ROW) AS inside
+  FROM equal_ JOIN likely USING (r, k, diagonal)),
 verified AS (
-  SELECT r, item_id, diagonal, sum(e) AS matched FROM windows GROUP BY r, item_id, diagonal
-  HAVING max(inside) >= ceil(max(wide) * {equal_share}))
-SELECT d.doc_id, v.item_id, CAST(max(v.matched) AS BIGINT) AS matched, CAST(max(len(i.words)) AS BIGINT) AS item_words
-FROM verified v JOIN docs d USING (r) JOIN items i USING (item_id) GROUP BY d.doc_id, v.item_id"""
+  SELECT r, k, diagonal, count(*) AS matched FROM windows JOIN items USING (k) GROUP BY r, k, diagonal
+  HAVING max(inside) >= ceil(least({overlap_words}, max(len(words))) * {equal_share}))
+SELECT d.doc_id, i.item_id, CAST(max(v.matched) AS BIGINT) AS matched, CAST(max(len(i.words)) AS BIGINT) AS item_words
+FROM verified v JOIN docs d USING (r) JOIN items i USING (k) GROUP BY d.doc_id, i.item_id"""
 
 
 TOPK = """

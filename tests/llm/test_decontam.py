@@ -63,3 +63,16 @@ def test_equals_alignment_without_seeds(spark, documents):
 
     want = {(i, k) for i, t in enumerate(texts) for k, item in items if accepted(t.split(), item.split())}
     assert found(spark, documents, texts, items) == want
+
+
+def test_no_words_cross_the_seed_exchange(spark):
+    import re
+    df = spark.createDataFrame([(1, "a b c d e f g h i j k l m n o p q r s t")], "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = decontam.contaminated(df, df.withColumnRenamed("doc_id", "item_id"), broadcast_seeds=0)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 << 20))
+    lines = plan.splitlines()
+    at = [i for i, line in enumerate(lines) if re.search(r"Exchange hashpartitioning\(seed", line)]
+    assert at and all("words" not in lines[i + 1].split("[", 1)[-1] for i in at)

@@ -41,3 +41,14 @@ def test_targets_and_budgets(documents):
     key = lambda r: str(tuple(r))
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, mixing.mix(df.repartition(7), range_rows=3).collect()), key=str), key
     assert mixing.mix(df.limit(0)).count() == 0
+
+
+def test_rows_of_one_id_spread_over_ranges(spark):
+    from pyspark.sql import functions as F
+    rows = [(None, f"text number {i} " + "word " * (i % 7), "s") for i in range(5000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    keys = df.select(mixing.random_key(F.col("doc_id"), F.col("text"), "mix").alias("k")).distinct().count()
+    assert keys == 5000
+    got = mixing.mix(df)
+    total = got.agg(F.sum("taken"), F.max("target")).first()
+    assert got.count() == 5000 and abs(total[0] - total[1]) < 1
