@@ -3,8 +3,9 @@
 Vectors are quantised to integers and packed into shards; queries are packed into blocks. Each (block,
 shard) tile is one matrix product with a partial selection, and the k best of each tile are merged up a
 tree whose nodes join at most ``FAN_IN`` lists. A tile holds a bounded number of vectors on either side and
-knows nothing of sources or copies, so equal vectors cannot crowd a task. Only tiles move: every shard meets
-every block of the stated query set, never every vector as a row.
+knows nothing of sources or copies, so equal vectors cannot crowd a task. Shards and blocks are dealt to the cells of a
+grid, about ``CELL`` of each to a cell, so a shard moves once for every ``CELL`` blocks of the stated query set; never does
+every vector move as a row.
 
 Products are exact: they run in doubles while all partial sums stay below 2**53, else in Python integers.
 
@@ -31,6 +32,8 @@ from sonomart.operators.staging import stage
 SHARD_ROWS = 4096
 BLOCK_ROWS = 1024
 FAN_IN = 16
+# Shards and blocks on either side of a cell, on average: some 30 MB of shards, less of blocks.
+CELL = 32
 SCALE = 256.0
 _EXACT = float(1 << 53)
 
@@ -119,14 +122,17 @@ def tile_best(q_ids, q, c_ids, c, k: int, exact: bool):
     return np.array(queries, np.int64), np.array(candidates, np.int64), np.array(values, np.int64)
 
 
-def _tiles(k: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for t in batch.itertuples(index=False):
-                exact = t.top * t.q_top * t.dim < _EXACT
-                found = tile_best(np.frombuffer(t.q_ids, np.int64), _matrix(t.q_values, t.dim),
-                                  np.frombuffer(t.ids, np.int64), _matrix(t.values, t.dim), k, exact)
-                yield pd.DataFrame({"query_id": found[0], "node": t.node, "vec_id": found[1], "score": found[2]})
+def _cell(k: int):
+    """All tiles of one cell of the grid: its shards against its blocks."""
+    def run(shards: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
+        found = [pd.DataFrame({"query_id": [], "node": [], "vec_id": [], "score": []}, dtype=np.int64)]
+        queries = [(np.frombuffer(b.ids, np.int64), _matrix(b.values, b.dim), b.top) for b in blocks.itertuples(index=False)]
+        for s in shards.itertuples(index=False):
+            ids, values = np.frombuffer(s.ids, np.int64), _matrix(s.values, s.dim)
+            for q_ids, q, q_top in queries:
+                best = tile_best(q_ids, q, ids, values, k, s.top * q_top * s.dim < _EXACT)
+                found.append(pd.DataFrame({"query_id": best[0], "node": s.node, "vec_id": best[1], "score": best[2]}))
+        return pd.concat(found, ignore_index=True)
     return run
 
 
@@ -136,15 +142,17 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = 5, id_col: str =
     asked = usable(queries, id_col, vector_col).groupBy("vec_id").agg(F.min("v").alias("v"))
     blocks = _numbered(asked.mapInPandas(_packed(block_rows), _PACK), "topk-blocks")
     shards = _numbered(usable(candidates, id_col, vector_col).mapInPandas(_packed(shard_rows), _PACK), "topk-shards")
-    # Dense numbers over packs (one row per some thousand vectors) address tiles and tree nodes.
-    q = blocks.select("dim", F.col("part").alias("block"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"),
-                      F.col("top").alias("q_top"))
-    addresses = q.groupBy("dim").agg(F.collect_list("block").alias("blocks"))
-    copies = shards.join(addresses, "dim").select("dim", F.explode("blocks").alias("block"), "part", "ids", "values", "top")
-    tiles = copies.join(q, ["dim", "block"]).withColumn("node", F.pmod(F.xxhash64("part"), F.lit(1 << 30)))
-    tiles = tiles.select("dim", "ids", "values", "top", "q_ids", "q_values", "q_top", "node")
-    found = tiles.mapInPandas(_tiles(k), "query_id long, node long, vec_id long, score long")
-    return merge_tree(found, shards.count(), k)
+    n_shards, n_blocks = shards.count(), blocks.count()
+    rows, columns = max(1, -(-n_shards // CELL)), max(1, -(-n_blocks // CELL))
+    place = lambda n: F.pmod(F.xxhash64("part"), F.lit(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    shards = shards.select("dim", "ids", "values", "top", F.pmod(F.xxhash64("part"), F.lit(1 << 30)).alias("node"),
+                           place(rows).alias("row"), every(columns).alias("column"))
+    blocks = blocks.select("dim", "ids", "values", "top", place(columns).alias("column"), every(rows).alias("row"))
+    cells = [d.withColumn("column", F.col("column").cast("long")).withColumn("row", F.col("row").cast("long")).groupBy("dim", "row", "column")
+             for d in (shards, blocks)]
+    found = cells[0].cogroup(cells[1]).applyInPandas(_cell(k), "query_id long, node long, vec_id long, score long")
+    return merge_tree(found, n_shards, k)
 
 
 def merge_tree(found: DataFrame, lists: int, k: int) -> DataFrame:

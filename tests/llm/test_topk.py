@@ -24,3 +24,13 @@ def test_equals_brute_force_with_ties_and_odd_vectors(spark):
     got = topk.search(df.filter("vec_id % 10 = 0"), df, k=5, shard_rows=7, block_rows=4).collect()
     assert {tuple(r) for r in got} == brute(rows, 5, 10) and len(got) == len({tuple(r) for r in got})
     assert topk.search(df.limit(0), df).count() == 0 and topk.search(df, df.limit(0)).count() == 0
+
+
+def test_grid_of_many_cells(spark, monkeypatch):
+    import random
+    monkeypatch.setattr(topk, "CELL", 2)
+    rng = random.Random(9)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(3)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.search(df.filter("vec_id % 3 = 0"), df, k=4, shard_rows=16, block_rows=8).collect()
+    assert {tuple(r) for r in got} == brute(rows, 4, 3)
