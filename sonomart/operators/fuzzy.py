@@ -15,12 +15,18 @@ pair needs ``LCS >= ceil(c * (n + m) / 200)``. Three exact ways find all such pa
 Cheap JVM conditions (length, character signature, position, shared bigrams, edit distance) then thin the candidates inside
 the join stage, and only the survivors are scored.
 
+The best match is looked for at a falling cutoff. A high cutoff has short prefixes, so few pairs meet; a query that finds
+any match there has its best among them and leaves, and only the others go on to the next, lower cutoff.
+
 The explodes are outer ones although no array is empty: Spark would otherwise add an is-not-empty filter
 that computes each array expression a second time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -32,25 +38,37 @@ from sonomart.operators.keys import keep_first
 from sonomart.operators.staging import stage, stage_all
 
 CUTOFF = 80
+# Cutoffs tried before the one asked for.
+EARLIER = (90,)
 _POINT = 1 << 21
 # Rows of one bigram pair that meet in one unit of the pair join, per side.
 UNIT_ROWS = 5000
 
 
 def _lcs_block(left: list[str], right: list[str]) -> np.ndarray:
-    """LCS lengths of text pairs, one numpy row update per character position of the right texts."""
+    """LCS lengths of text pairs: bits of 64-bit lanes stand for the places of the left texts, one step per right character."""
     width_l, width_r = max(map(len, left)), max(map(len, right))
-    a = np.zeros((len(left), width_l), dtype=np.uint32)
+    lanes = -(-max(width_l, 1) // 64)
+    a = np.zeros((len(left), lanes * 64), dtype=np.uint32)
     b = np.full((len(right), width_r), 0xFFFFFFFF, dtype=np.uint32)
     for i, (x, y) in enumerate(zip(left, right)):
         a[i, : len(x)] = np.frombuffer(x.encode("utf-32-le"), dtype=np.uint32)
         b[i, : len(y)] = np.frombuffer(y.encode("utf-32-le"), dtype=np.uint32)
-    row = np.zeros((len(left), width_l + 1), dtype=np.int32)
+    # A place is cleared when it joins the subsequence; padding never equals a character, so it stays set.
+    state = np.full((len(left), lanes), 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
     for j in range(width_r):
-        step = row.copy()
-        np.maximum(step[:, 1:], row[:, :-1] + (a == b[:, j : j + 1]), out=step[:, 1:])
-        row = np.maximum.accumulate(step, axis=1)
-    return row[:, -1]
+        equal = np.packbits(a == b[:, j : j + 1], axis=1, bitorder="little").view("<u8")
+        both = state & equal
+        total = state + both
+        carry = (total < state).astype(np.uint64)
+        for lane in range(1, lanes):
+            total[:, lane] += carry[:, lane - 1]
+            carry[:, lane] |= (total[:, lane] < carry[:, lane - 1]).astype(np.uint64)
+        state = total | (state - both)
+    # Text pads are zeros, which a text might hold: places behind a text never count.
+    places = np.arange(lanes * 64) < np.array([len(x) for x in left])[:, None]
+    inside = np.packbits(places, axis=1, bitorder="little").view("<u8")
+    return np.bitwise_count(~state & inside).sum(axis=1).astype(np.int32)
 
 
 @F.pandas_udf(IntegerType())
@@ -192,17 +210,20 @@ def _split_hot_pairs(l: DataFrame, r: DataFrame, unit_rows: int) -> tuple[DataFr
     return spread(l, "l", "a", "b", "u_l", "u_r"), spread(r, "r", "b", "a", "u_r", "u_l")
 
 
-def _long_candidates(left: DataFrame, right: DataFrame, cutoff: int, min_len: int, unit_rows: int) -> DataFrame:
-    # Index and join are heavy in time, not in bytes, so their partition count is not left to size.
+def _ordered(left: DataFrame, right: DataFrame, min_len: int) -> dict[str, DataFrame]:
+    """Bigram lists of both sides in one order, from rare to frequent over both; stored, as every cutoff reads them."""
+    # The lists are heavy in time, not in bytes, so their partition count is not left to size.
     parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lefts, rights = (_with_bigrams(d.filter(F.length("text") >= min_len).repartition(parts, "text")) for d in (left, right))
     grams = lefts.unionAll(rights).select(F.explode_outer("grams").alias("gram"))
-    common = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("freq"))
-    common = stage(common, "bigram-ranks")
-    index = stage_all({
-        "l": _pair_keys(_ordered_bigrams(lefts, common), cutoff, "l"),
-        "r": _pair_keys(_ordered_bigrams(rights, common), cutoff, "r"),
-    })
+    common = stage(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("freq")), "bigram-ranks")
+    return stage_all({"l": _ordered_bigrams(lefts, common), "r": _ordered_bigrams(rights, common)})
+
+
+def _long_candidates(left: DataFrame, right: DataFrame, cutoff: int, unit_rows: int) -> DataFrame:
+    """Pairs of ordered bigram lists that can reach the cutoff."""
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = stage_all({"l": _pair_keys(left, cutoff, "l"), "r": _pair_keys(right, cutoff, "r")})
     l, r = _split_hot_pairs(index["l"], index["r"], unit_rows)
     keys = ["g1", "g2", "u_l", "u_r"]
     l, r = l.repartition(parts, *keys), r.repartition(parts, *keys)
@@ -268,19 +289,29 @@ def _short_candidates(left: DataFrame, right: DataFrame, cutoff: int, min_len: i
     return met.select("text_l", "text_r").distinct()
 
 
+def _checked(cutoff: int) -> tuple[int, int]:
+    if not 80 <= cutoff <= 100:
+        raise ValueError("the lossless filters need a cutoff from 80 to 100")
+    return _short_limits(cutoff)
+
+
 def candidate_pairs(
     left: DataFrame, right: DataFrame, cutoff: int = CUTOFF, unit_rows: int = UNIT_ROWS
 ) -> DataFrame:
     """(text_l, text_r): a superset of all pairs of distinct texts that reach the cutoff."""
-    if not 80 <= cutoff <= 100:
-        raise ValueError("the lossless filters need a cutoff from 80 to 100")
-    min_len, max_len = _short_limits(cutoff)
-    return _long_candidates(left, right, cutoff, min_len, unit_rows).unionAll(
+    min_len, max_len = _checked(cutoff)
+    ordered = _ordered(left, right, min_len)
+    return _long_candidates(ordered["l"], ordered["r"], cutoff, unit_rows).unionAll(
         _short_candidates(left, right, cutoff, min_len, max_len)
     )
 
 
-def best_matches(queries: DataFrame, catalogue: DataFrame, cutoff: int = CUTOFF) -> DataFrame:
+def _scored(pairs: DataFrame, cutoff: int) -> DataFrame:
+    """Pairs that reach the cutoff; stored, so that each is scored once and the filter reads the stored score."""
+    return stage(pairs.withColumn("score", similarity(F.col("text_l"), F.col("text_r"))), "fuzzy-scores").filter(F.col("score") >= cutoff)
+
+
+def best_matches(queries: DataFrame, catalogue: DataFrame, cutoff: int = CUTOFF, earlier: Sequence[int] = EARLIER) -> DataFrame:
     """(query, entry, score) for the best catalogue text of every query text at or above the cutoff.
 
     ``queries`` has ``text``; ``catalogue`` has ``text`` and a sortable ``rank``. Equal scores go to
@@ -296,10 +327,16 @@ def best_matches(queries: DataFrame, catalogue: DataFrame, cutoff: int = CUTOFF)
 
     equal = texts.join(entries, "text").select("query", "entry", F.lit(100.0).alias("score"))
     open_texts = texts.join(entries, "text", "left_anti")
-    pairs = candidate_pairs(open_texts.select("text").distinct(), entries.select("text"), cutoff)
-    # Staged so that each surviving pair is scored once and the filter reads the stored score.
-    scored = stage(pairs.withColumn("score", similarity(F.col("text_l"), F.col("text_r"))), "fuzzy-scores")
-    scored = scored.filter(F.col("score") >= cutoff)
+    left, right = open_texts.select("text").distinct(), entries.select("text")
+    min_len, max_len = _checked(cutoff)
+    ordered = _ordered(left, right, min_len)
+    waiting, found = ordered["l"], [_scored(_short_candidates(left, right, cutoff, min_len, max_len), cutoff)]
+    for level in [*(c for c in earlier if c > cutoff), cutoff]:
+        found.append(_scored(_long_candidates(waiting, ordered["r"], level, UNIT_ROWS), level))
+        if level > cutoff:
+            # What has a match at this level has its best one among them.
+            waiting = stage(waiting.join(found[-1].select(F.col("text_l").alias("text")).distinct(), "text", "left_anti"), "fuzzy-waiting")
+    scored = reduce(DataFrame.unionAll, found)
     ranked = scored.join(entries.withColumnRenamed("text", "text_r"), "text_r")
     best = ranked.groupBy("text_l").agg(
         F.min(F.struct((-F.col("score")).alias("down"), "rank", "entry", "score")).alias("b")

@@ -32,7 +32,7 @@ class CatalogueSource:
     artist: str
     album: str | None
     artist_is_list: bool = True
-    multi_line: bool = True
+    multi_line: bool = False
 
 
 @dataclass(frozen=True)
@@ -63,7 +63,7 @@ class BuildConfig:
 ROW_ORDER = "row_order struct<file: string, block: bigint, row: bigint>"
 
 
-def _optional_csv(spark: SparkSession, path: str | None, schema: str, row_order: bool = False, multi_line: bool = True) -> DataFrame:
+def _optional_csv(spark: SparkSession, path: str | None, schema: str, row_order: bool = False, multi_line: bool = False) -> DataFrame:
     if row_order:
         schema = f"{schema}, {ROW_ORDER}"
     if path is None:

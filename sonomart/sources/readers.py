@@ -41,12 +41,12 @@ def read_json_files(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_csv_files(
-    spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = True, row_order: bool = False
+    spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = False, row_order: bool = False
 ) -> DataFrame:
     """CSV with header and doubled quotes; all strings unless a schema is given.
 
-    Columns are taken by header name, so their order in the file does not matter. Values without line ends
-    allow ``multi_line=False``, which lets Spark split large files. ``row_order`` adds ``row_order``, which
+    Columns are taken by header name, so their order in the file does not matter. Large files are split; files whose values
+    hold line ends need ``multi_line=True``, which reads each file in one task. ``row_order`` adds ``row_order``, which
     sorts rows as they stand in the files and does not change when other files are added.
     """
     raw = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)

@@ -37,6 +37,14 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
 
 
+def state(spark: SparkSession, path: str) -> tuple:
+    """What tells whether a file, or a folder of files, has changed: names, times and sizes."""
+    fs, where, _ = _hadoop(spark, path)
+    if not fs.exists(where):
+        return ()
+    return tuple(sorted((f.getPath().getName(), f.getModificationTime(), f.getLen()) for f in fs.listStatus(where)))
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     fs, where, _ = _hadoop(spark, path)
     return int(fs.getContentSummary(where).getLength())

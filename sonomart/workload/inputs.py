@@ -11,13 +11,13 @@ from sonomart.plans.fact import fact_historial
 from sonomart.sources import versions
 
 
-_tables: dict[tuple[str, str, str], DataFrame] = {}
-_warehouses: dict[tuple[str, str, bool], tuple[DataFrame, dict[str, DataFrame]]] = {}
+_tables: dict[tuple, DataFrame] = {}
+_warehouses: dict[tuple, tuple[DataFrame, dict[str, DataFrame]]] = {}
 
 
 def table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Scan of a given table; the file schema is looked up once per session."""
-    key = (spark.sparkContext.applicationId, path, name)
+    """Scan of a given table; the file schema is looked up once per session and state of the file."""
+    key = (spark.sparkContext.applicationId, path, name, versions.state(spark, f"{path}/{name}.parquet"))
     if key not in _tables:
         _tables[key] = spark.read.parquet(f"{path}/{name}.parquet")
     return _tables[key]
@@ -165,8 +165,8 @@ def star(spark: SparkSession, path: str, large: bool = False, keep_flag: bool =
 
 
 def warehouse(spark: SparkSession, path: str, large: bool = False) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """The star as stored tables: built once per session and folder, then read by every report."""
-    key = (spark.sparkContext.applicationId, path, large)
+    """The star as stored tables: built once per session and state of the folder, then read by every report."""
+    key = (spark.sparkContext.applicationId, path, large, *(versions.state(spark, f"{path}/{n}") for n in versions.names(spark, path)))
     if key not in _warehouses:
         fact, dims = star(spark, path, large)
         _warehouses[key] = stage(fact, "fact"), dims

@@ -15,7 +15,7 @@ from sonomart.plans import cube as cb
 from sonomart.plans import cuboidstore
 from sonomart.plans import dims as d
 from sonomart.plans import enrichment, linkage
-from sonomart.plans.contract import CATALOGUE_FEATURES, FEATURES, NOISY_FEATURES, conform
+from sonomart.plans.contract import CATALOGUE_FEATURES, FEATURES, NOISY_FEATURES, STAR, conform, table_schema
 from sonomart.plans.fact import fact_historial
 from sonomart.plans.segments import SegmentLedger
 from sonomart.sources import landing, readers, writers
@@ -60,6 +60,20 @@ def dim_date(spark, path):
     return days.join(per_day, "idDate", "left").fillna(0, ["pedidos"])
 
 
+@query("""
+SELECT dias.anio, count(*) AS dias, sum(n)::BIGINT AS pedidos FROM (
+  SELECT fecha, year(fecha)::INTEGER AS anio, count(o_orderkey) AS n
+  FROM (SELECT unnest(generate_series((SELECT min(o_orderdate) FROM orders), (SELECT max(o_orderdate) FROM orders), INTERVAL 1 DAY))::DATE AS fecha)
+  LEFT JOIN orders ON o_orderdate::DATE = fecha GROUP BY ALL) dias GROUP BY dias.anio""")
+def calendar_range(spark, path):
+    """The calendar between two given dates, with the orders of each year."""
+    orders = inp.table(spark, path, "orders").select(F.to_date("o_orderdate").alias("fecha"))
+    first, last = orders.agg(F.min("fecha"), F.max("fecha")).first()
+    per_day = orders.groupBy("fecha").agg(_count().alias("n"))
+    days = d.calendar_days(spark, str(first), str(last)).join(per_day, "fecha", "left")
+    return days.groupBy(F.year("fecha").alias("anio")).agg(_count().alias("dias"), F.coalesce(F.sum("n"), F.lit(0)).alias("pedidos"))
+
+
 @query(q.with_(q.HOUR) + """
 SELECT idHora, franjaHoraria, inicio, fin AS final, count(*) AS plays, sum(value) IS NOT NULL AS con_valor
 FROM events LEFT JOIN bands ON hour(ts) BETWEEN inicio AND fin GROUP BY ALL""")
@@ -720,7 +734,7 @@ def csv_roundtrip(spark, path):
     """Whole texts through the CSV sink and scan: quotes, commas, line ends and blanks survive."""
     target = f"{checkpoint_root(spark)}/csv-{uuid.uuid4().hex}"
     writers.save_csv(inp.table(spark, path, "documents").select("doc_id", "lang", "text"), target)
-    back = readers.read_csv_files(spark, target, "text string, lang string, doc_id bigint")
+    back = readers.read_csv_files(spark, target, "text string, lang string, doc_id bigint", multi_line=True)
     return back.select("doc_id", "lang", F.md5("text").alias("huella"))
 
 
@@ -841,6 +855,40 @@ def build_gate(spark, path):
     return writers.ensure_path(spark, target, lambda: brands.limit(0), "artista string")
 
 
+@query(q.star() + " UNION ALL ".join(
+    f" SELECT '{t}' AS tabla, {len(columns)} AS columnas, count(*) AS filas FROM {'fact' if t == 'fact_historial' else t}"
+    for t, (_, columns) in STAR.items()))
+def declared_tables(spark, path):
+    """The declared star tables, filled: columns of the contract and rows."""
+    fact, dims = inp.star(spark, path)
+    name = f"star_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name}")
+    now = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(name)
+    try:
+        writers.declare_tables(spark)
+    finally:
+        spark.catalog.setCurrentDatabase(now)
+    parts = []
+    for t, df in {**dims, "fact_historial": fact}.items():
+        declared = spark.table(f"{name}.{t}")
+        names = [f.name for f in table_schema(t).fields]
+        rows = conform(df, t).to(table_schema(t))
+        # The fact's table has its partition column behind the contract's.
+        rows = rows if t != "fact_historial" else rows.withColumn("anioMes", F.floor(F.col("IDDate") / 100).cast("int"))
+        rows.write.mode("append").insertInto(f"{name}.{t}")
+        columns = len([c for c in declared.columns if c in names])
+        parts.append(spark.table(f"{name}.{t}").agg(_count().alias("filas")).select(F.lit(t).alias("tabla"), F.lit(columns).alias("columnas"), "filas"))
+    return cb.union_all(parts)
+
+
+@query("SELECT doc_id, source, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 5")
+def preview_rows(spark, path):
+    """The first rows of a sorted frame."""
+    docs = inp.table(spark, path, "documents").select("doc_id", "source", "n_chars")
+    return writers.preview(docs.orderBy(F.desc("n_chars"), "doc_id"))
+
+
 @query("""
 SELECT principal, cancion, album, source_rank, energy FROM (
   SELECT *, row_number() OVER (PARTITION BY lower(cancion), lower(principal) ORDER BY source_rank, p_partkey) AS k FROM (
@@ -850,7 +898,8 @@ SELECT principal, cancion, album, source_rank, energy FROM (
 def catalogue_files(spark, path):
     """Two catalogues written as CSV and unified: list artists, an absent feature, first row of the first source."""
     target = f"{checkpoint_root(spark)}/catalogues-{uuid.uuid4().hex}"
-    part = inp.table(spark, path, "part").orderBy("p_partkey").coalesce(1)
+    # Several files, whose names sort as their keys do.
+    part = inp.table(spark, path, "part").repartitionByRange(8, "p_partkey").sortWithinPartitions("p_partkey")
     listed = F.concat(F.lit("['"), F.col("p_brand"), F.lit("', 'Other']"))
     writers.save_csv(part.filter("p_size > 25").select(
         F.col("p_name").alias("name"), listed.alias("artists"), F.col("p_type").alias("album"), (F.col("p_size") / 50.0).alias("energy")), f"{target}/a")

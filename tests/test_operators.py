@@ -147,3 +147,37 @@ def test_cutoff_is_inclusive_and_ties_take_first_rank(spark):
     assert [tuple(r) for r in fuzzy.best_matches(q, c).collect()] == [("abcde", "abcdf", 80.0)]
     with pytest.raises(ValueError):
         fuzzy.candidate_pairs(q, q, 75)
+
+
+def test_earlier_cutoffs_change_no_match(spark):
+    rng = random.Random(11)
+    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa", "lambda"]
+    entries = sorted({" ".join(rng.choice(words) for _ in range(rng.randrange(1, 6))) for _ in range(120)})
+    queries = []
+    for text in rng.sample(entries, 60):
+        chars = list(text)
+        for _ in range(rng.randrange(0, 5)):
+            chars[rng.randrange(len(chars))] = rng.choice("abcxyz ")
+        queries.append("".join(chars))
+    q = spark.createDataFrame([(x,) for x in queries], "text string")
+    c = spark.createDataFrame(list(enumerate(entries)), "rank int, text string")
+    got = [sorted(map(tuple, fuzzy.best_matches(q, c, 80, earlier).collect())) for earlier in ((), (90,), (95, 90, 85))]
+    assert got[0] == got[1] == got[2] and got[0]
+
+
+def test_lcs_of_long_texts_crosses_lanes():
+    rng = random.Random(12)
+
+    def lcs(a, b):
+        row = [0] * (len(a) + 1)
+        for y in b:
+            before = 0
+            for i, x in enumerate(a):
+                above = row[i + 1]
+                row[i + 1] = before + 1 if x == y else max(above, row[i])
+                before = above
+        return row[-1]
+
+    pairs = [tuple("".join(rng.choice("ab\0é😀") for _ in range(rng.randrange(0, 200))) for _ in range(2)) for _ in range(60)]
+    left, right = map(list, zip(*pairs))
+    assert fuzzy._lcs_block(left, right).tolist() == [lcs(a, b) for a, b in pairs]
