@@ -120,6 +120,16 @@ def test_store_answers_from_the_smallest_cover(spark, star, tmp_path):
         again.answer(("TITULO",), [("TITULO",)])
 
 
+def test_written_cuboids_are_partitions(spark, star, tmp_path):
+    fact, dims = star
+    g = cb.Group("g", ("FRANJAHORARIA", "ESTACION"))
+    cube = cb.Cube(fact, dims, groups=(g,))
+    cube.write_cuboids(str(tmp_path / "w"))
+    back = spark.read.parquet(str(tmp_path / "w" / "g"))
+    assert rows(rounded(back.select(cube.cuboids("g").columns).withColumn("cuboid", F.col("cuboid").cast("long")))) == rows(rounded(cube.cuboids("g")))
+    assert "PartitionFilters" in plan(back.filter("cuboid = 3")) and back.filter("cuboid = 3").count() == 1
+
+
 def test_windows_that_are_due():
     days = [Segment(d, d, 1, "") for d in (-1, 20240104, 20240107, 20240110, 20240111, 20240201)]
     assert {k: [s.first for s in v] for k, v in due(days, 7).items()} == {20240104: [20240104, 20240107, 20240110], 20240111: [20240111]}
