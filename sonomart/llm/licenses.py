@@ -10,8 +10,8 @@ join needs no shuffle, and no source, document or phrase can become a hot key. O
 template tokens (a few dozen rows) reach the driver.
 
 Blocks are all windows of ``block_words`` consecutive words. A block that reaches the threshold keeps all its template
-tokens when it begins at the first of them, so blocks are opened at the places of the template's tokens alone, in documents
-that pass the prefix and length filters. Words are runs of characters outside ``[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after
+tokens when it begins at the first of them, and holds a prefix token; so blocks are opened at the places of template
+tokens close before a prefix token alone, in documents that pass the prefix and length filters. Words are runs of characters outside ``[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after
 lower-casing A to Z.
 
 Defined results
@@ -72,9 +72,15 @@ def least_overlap(tokens: int, threshold: float) -> int:
     return max(1, math.ceil(threshold * tokens - 1e-9))
 
 
+# The two characters outside ASCII whose lower case holds an ASCII letter (fixed values), and what stands in for them.
+_FOLDING, _STAND_INS = "\u0130\u212a", "\u0131\u0138"
+
+
 def lowered(text: Column) -> Column:
-    """A to Z in lower case; other scripts as they are. Null is empty."""
-    return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """A to Z in lower case; null is empty. Other scripts are lowered too, which changes no ASCII letter and no end of a word."""
+    text = F.coalesce(text, F.lit(""))
+    folds = F.contains(text, F.lit(_FOLDING[0])) | F.contains(text, F.lit(_FOLDING[1]))
+    return F.lower(F.when(folds, F.translate(text, _FOLDING, _STAND_INS)).otherwise(text))
 
 
 def words_of(low: Column) -> Column:
@@ -114,11 +120,18 @@ def _containment(block: Column, t: Template) -> Column:
             .otherwise(shared / F.lit(len(t.tokens))))
 
 
-def _best_block(t: Template, block_words: int) -> Column:
-    """Largest containment over the blocks that begin at one of the template's tokens."""
-    tokens = _array(t.tokens)
-    starts = F.filter(F.sequence(F.lit(1), F.size("words")), lambda i: F.array_contains(tokens, F.element_at("words", i)))
-    return F.array_max(F.transform(starts, lambda i: _containment(F.array_intersect(tokens, F.slice("words", i, F.lit(block_words))), t)))
+def _best_block(t: Template) -> Column:
+    return F.array_max(F.transform("blocks", lambda block: _containment(block, t)))
+
+
+def _blocks(by_rank: list[str], prefixes: list[str], block_words: int) -> Column:
+    """Ordered template tokens of the blocks that begin at a template token close before a prefix token."""
+    word = lambda i: F.element_at("words", i)
+    spots = F.filter(F.sequence(F.lit(1), F.size("words")), lambda i: F.array_contains(_array(prefixes), word(i)))
+    around = F.transform(spots, lambda p: F.filter(
+        F.sequence(F.greatest(F.lit(1), p - (block_words - 1)), p), lambda i: F.array_contains(_array(by_rank), word(i))))
+    starts = F.array_distinct(F.flatten(around))
+    return F.transform(starts, lambda i: F.array_intersect(_array(by_rank), F.slice("words", i, F.lit(block_words))))
 
 
 def phrase_pattern(phrase: str) -> str:
@@ -141,20 +154,29 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     by_rank = sorted(universe, key=lambda t: (frequencies.get(t, 0), t))
 
     anywhere = "|".join(phrase_pattern(p) for p, _ in PHRASES)
-    rows = rows.select("doc_id", "low", words_of(F.col("low")).alias("words"),
-                       F.regexp_count("low", F.lit(anywhere)).cast("long").alias("n_base"))
-    rows = rows.select("*", F.array_intersect(_array(by_rank), "words").alias("known"))
+    rows = rows.select("doc_id", "low", words_of(F.col("low")).alias("words"))
+    said = sorted({w for phrase, _ in PHRASES for w in phrase.split()})
+    rows = rows.select("*", F.array_intersect(_array(by_rank), "words").alias("known"), F.array_intersect(_array(said), "words").alias("said"))
+    # The pattern is looked for only where all words of a phrase occur.
+    hinted = F.lit(False)
+    for phrase, _ in PHRASES:
+        hinted = hinted | (F.size(F.array_intersect("said", _array(phrase.split()))) == len(set(phrase.split())))
+    rows = rows.select("*", F.when(hinted, F.regexp_count("low", F.lit(anywhere))).otherwise(0).cast("long").alias("n_base"))
     place = lambda greedy: F.size(words_of(F.regexp_extract("low", f"(?s)^(.*{greedy})(?:{anywhere})", 1)))
     based = F.col("n_base") > 0
     base_labels = F.when(based, F.array_compact(F.array(*[
         F.when(F.col("low").rlike(phrase_pattern(p)), F.lit(label)) for p, label in PHRASES])))
-    # A document without a prefix token, or with too few tokens, has no block to compare.
-    possible = [F.arrays_overlap("known", _array(t.prefix)) & (F.size(F.array_intersect("known", _array(t.tokens))) >= t.least) for t in ordered]
-    best_blocks = [F.when(ok, _best_block(t, block_words)).alias(f"t{k}") for k, (ok, t) in enumerate(zip(possible, ordered))]
+    # A document without a single prefix token has no block to compare.
+    possible = F.lit(False)
+    for t in ordered:
+        possible = possible | (F.arrays_overlap("known", _array(t.prefix)) & (F.size("known") >= t.least))
+    prefixes = sorted({token for t in ordered for token in t.prefix})
     rows = rows.select("doc_id", F.size("words").cast("long").alias("n_words"), "n_base",
                        F.when(based, place("?")).cast("long").alias("first_word"),
                        F.when(based, place("")).cast("long").alias("last_word"),
-                       F.coalesce(base_labels, F.array().cast("array<string>")).alias("base"), *best_blocks)
+                       F.coalesce(base_labels, F.array().cast("array<string>")).alias("base"),
+                       F.when(possible, _blocks(by_rank, prefixes, block_words)).alias("blocks"))
+    rows = rows.select("*", *[F.when(F.col("blocks").isNotNull(), _best_block(t)).alias(f"t{k}") for k, t in enumerate(ordered)])
     labels = F.array_compact(F.array(*[F.when(F.col(f"t{k}") > 0, F.lit(t.label)) for k, t in enumerate(ordered)]))
     best = F.greatest(F.lit(0.0), *[F.coalesce(F.col(f"t{k}"), F.lit(0.0)) for k in range(len(ordered))])
     joined = lambda a: F.array_join(F.array_sort(F.array_distinct(a)), ",")
