@@ -20,33 +20,33 @@ class Conflict(RuntimeError):
     """Another writer claimed the next version."""
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where, jvm.org.apache.hadoop.fs.Path
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, where, _ = _hadoop(spark, path)
+    fs, where, _ = hadoop(spark, path)
     return fs.exists(where)
 
 
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names of what lies in the folder; none if it is absent."""
-    fs, where, _ = _hadoop(spark, path)
+    fs, where, _ = hadoop(spark, path)
     return [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
 
 
 def state(spark: SparkSession, path: str) -> tuple:
     """What tells whether a file, or a folder of files, has changed: names, times and sizes."""
-    fs, where, _ = _hadoop(spark, path)
+    fs, where, _ = hadoop(spark, path)
     if not fs.exists(where):
         return ()
     return tuple(sorted((f.getPath().getName(), f.getModificationTime(), f.getLen()) for f in fs.listStatus(where)))
 
 
 def folder_bytes(spark: SparkSession, path: str) -> int:
-    fs, where, _ = _hadoop(spark, path)
+    fs, where, _ = hadoop(spark, path)
     return int(fs.getContentSummary(where).getLength())
 
 
@@ -76,7 +76,7 @@ def publish(spark: SparkSession, root: str, rows: DataFrame, after: int) -> int:
     if max(published(spark, root), default=0) != after:
         raise Conflict(f"version {after} of {root} is no longer the latest")
     version = after + 1
-    fs, _, path = _hadoop(spark, root)
+    fs, _, path = hadoop(spark, root)
     if not fs.createNewFile(path(f"{root}/claim-{version}")):
         raise Conflict(f"version {version} of {root} is claimed")
     rows.write.mode("overwrite").parquet(f"{root}/v={version}")
@@ -85,7 +85,7 @@ def publish(spark: SparkSession, root: str, rows: DataFrame, after: int) -> int:
 
 def release(spark: SparkSession, root: str) -> None:
     """Give up claims of versions that were never published; only when their writers are known to be gone."""
-    fs, _, path = _hadoop(spark, root)
+    fs, _, path = hadoop(spark, root)
     done = set(published(spark, root))
     for v in _numbered(names(spark, root), r"claim-(\d+)"):
         if v not in done:
@@ -107,7 +107,7 @@ def vacuum(spark: SparkSession, root: str, schema: str, keep: int = 1) -> list[s
         return []
     needed = {f.split("/data/")[1].split("/")[0] for v in kept
               for (f,) in read(spark, root, schema, v).select("folder").distinct().toLocalIterator()}
-    fs, _, path = _hadoop(spark, root)
+    fs, _, path = hadoop(spark, root)
     gone = [n for n in names(spark, f"{root}/data") if n not in needed]
     for name in gone:
         fs.delete(path(f"{root}/data/{name}"), True)

@@ -191,7 +191,7 @@ def export_tree(spark: SparkSession, path: str, root: str) -> str:
     broken = (F.col("u") == EXPORT_USERS - 1) & (F.col("k") == 0)
     cut = F.when(broken, F.substring("value", F.lit(1), (F.length("value") / 2).cast("int"))).otherwise(F.col("value"))
     whole.select("u", "k", cut.alias("value")).write.partitionBy("u", "k").text(f"{root}/parts")
-    fs, _, at = versions._hadoop(spark, root)
+    fs, _, at = versions.hadoop(spark, root)
     for u in versions.names(spark, f"{root}/parts"):
         for k in versions.names(spark, f"{root}/parts/{u}") if u.startswith("u=") else []:
             (part,) = [n for n in versions.names(spark, f"{root}/parts/{u}/{k}") if n.startswith("part-")]
