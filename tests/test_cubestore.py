@@ -4,7 +4,9 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
+from sonomart.operators.staging import stage
 from sonomart.plans import cube as cb
 from sonomart.plans import cuboidstore
 from sonomart.plans.segments import Segment, SegmentLedger, due
@@ -120,6 +122,50 @@ def test_store_answers_from_the_smallest_cover(spark, star, tmp_path):
         again.answer(("TITULO",), [("TITULO",)])
 
 
+def song_base(spark, hot):
+    """300 rows by song of 30 users, one of them null; ``hot`` songs more of user 1."""
+    n = F.col("id")
+    user = F.when(n >= 300, "u1").when(n % 30 > 0, F.concat(F.lit("u"), n % 30))
+    ids = spark.range(300 + hot).select(
+        user.alias("USUARIO_NOMBRE"), F.when(n % 7 > 0, n % 2 == 0).alias("FINDE"), F.concat(F.lit("b"), n % 4).alias("FRANJAHORARIA"),
+        F.when(n % 11 > 0, n % 40 + F.when(n >= 300, n).otherwise(0)).cast("int").alias("_song"), F.lit(2).cast("long").alias(cb.COUNT),
+        *[(n % 5 + i).cast("double" if c in cb.DOUBLE_SUMS else "long").alias(m) for i, (m, c) in enumerate(cb.SUMS.items())])
+    names = ["USUARIO_NOMBRE", "FINDE", "FRANJAHORARIA"]
+    return ids.groupBy(*names, "_song").agg(*[F.sum(m).alias(m) for m in (cb.COUNT, *cb.SUMS)]), names
+
+
+@pytest.mark.parametrize("hot", [0, 200])
+def test_sets_by_key_equal_shuffled_sets(spark, monkeypatch, hot):
+    base, names = song_base(spark, hot)
+    bitmaps = cb.pack(base, names, dense=True)
+    dims = ["ANIO", *names]  # one that the base lacks
+    types = {"ANIO": IntegerType()}
+    sets = cb.Group("g", tuple(names)).grouping_sets()
+    want = rows(cb.cuboids(base, dims, sets, tuple(names), types))
+    assert len(want) > 100
+    monkeypatch.setattr(cb, "EXPANDED_ROWS", 100)
+    for form in (base, bitmaps, cb.pack(base, names)):
+        for width in (100, 400):
+            monkeypatch.setattr(cb, "EXPANDED_ROWS", width)
+            got = cb.cuboids(form, dims, sets, tuple(names), types)
+            assert rows(got) == want and got.schema["cuboid"].dataType.simpleString() == "bigint"
+
+
+def test_cells_of_the_widest_dimension_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(cb, "EXPANDED_ROWS", 400, raising=False)
+    base, names = song_base(spark, 0)
+    sets = [s for s in cb.Group("g", tuple(names)).grouping_sets() if "USUARIO_NOMBRE" in s]
+    made = plan(cb.cuboids(stage(base, "base"), names, sets))
+    assert "Expand" not in made and made.count("Exchange hashpartitioning") == 1
+    assert made.count("Exchange hashpartitioning(USUARIO_NOMBRE") == 1
+
+
+def test_parents_at_least_halve_their_source():
+    sets = [("a", "b"), ("a",), ("b",), ()]
+    size = {("a", "b"): 1000, ("a",): 600, ("b",): 20}
+    assert cb.choose_parents(sets[0], sets, size, fixed=-10**6) == [("b",)]
+
+
 def test_written_cuboids_are_partitions(spark, star, tmp_path):
     fact, dims = star
     g = cb.Group("g", ("FRANJAHORARIA", "ESTACION"))
