@@ -160,6 +160,16 @@ def test_cells_of_the_widest_dimension_are_not_shuffled(spark, monkeypatch):
     assert made.count("Exchange hashpartitioning(USUARIO_NOMBRE") == 1
 
 
+def test_store_answers_by_key_too(spark, star, monkeypatch, tmp_path):
+    fact, dims = star
+    g = cb.Group("g", ("FRANJAHORARIA", "GENERACION", "USUARIO_NOMBRE"))
+    store = cuboidstore.build(cb.Cube(fact, dims, groups=(g,)), str(tmp_path / "s"), 0, dims=g.dims)
+    want = rows(rounded(store.answer(g.dims, g.grouping_sets())))
+    monkeypatch.setattr(cb, "EXPANDED_ROWS", 100, raising=False)
+    got = store.answer(g.dims, g.grouping_sets())
+    assert "Exchange hashpartitioning(USUARIO_NOMBRE" in plan(got) and rows(rounded(got)) == want
+
+
 def test_parents_at_least_halve_their_source():
     sets = [("a", "b"), ("a",), ("b",), ()]
     size = {("a", "b"): 1000, ("a",): 600, ("b",): 20}
