@@ -88,6 +88,14 @@ def test_content_ids_stay_when_rows_are_added(spark):
     assert keys.id_collisions(first.union(first), "id").first().colisiones == len(rows)
 
 
+def test_copies_are_written_out_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(keys, "COPIES_PER_TASK", 100, raising=False)
+    rows = keys.content_ids(spark.range(2000).select((F.col("id") % 2).alias("kind")), "id", chunk=20)
+    tasks = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 2000 and len(tasks) > 4 and max(tasks) <= 500
+    assert rows.select("id").distinct().count() == 2000
+
+
 def test_answers_resume_and_the_latest_counts(spark, tmp_path):
     store = enrichment.Responses(spark, str(tmp_path / "r"))
     wanted = spark.createDataFrame([("One", None), ("Two", None), ("Two", None), (None, None), ("Six", None)], "artista string, album string")
