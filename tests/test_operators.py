@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sonomart.operators import fuzzy, joins, keys
 from sonomart.plans.dims import dim_hora
+from sonomart.workload import inputs as inp
 from tests.conftest import column
 
 
@@ -53,6 +54,18 @@ def test_split_lookup_equals_plain_join(spark):
     assert len(sizes) == 4 and max(sizes) < 1000
 
 
+def test_large_lookups_do_not_pass_the_driver(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 1000, raising=False)
+    spark.range(2000).select(F.concat(F.lit("c"), "id").alias("k"), F.col("id").alias("v")).write.parquet(str(tmp_path / "l"))
+    lookup = spark.read.parquet(str(tmp_path / "l"))
+    facts = spark.range(500).select(F.when(F.col("id") % 4 > 0, F.concat(F.lit("c"), F.col("id") % 9)).alias("k"), "id")
+    got = joins.lookup_left(facts, lookup, ["k"])
+    assert rows(got.select("id", "v")) == rows(facts.join(lookup, ["k"], "left").select("id", "v"))
+    assert "SortMergeJoin" in got._jdf.queryExecution().executedPlan().toString()
+    plays = inp.many_plays(spark, "/root/testdata/sf0.001")
+    assert plays._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 2
+
+
 def test_hour_bands(spark):
     df = spark.createDataFrame([(h,) for h in [0, 5, 6, 11, 12, 17, 18, 23]] + [(None,)], "h int")
     out = joins.hour_band_join(df, F.col("h"), dim_hora(spark))
